@@ -88,7 +88,7 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
 
 
 def _int(c: Column) -> Column:
-    return F.trim(c).cast("int")
+    return F.trim(c).try_cast("int")
 
 
 def strptime_ok(text: Column, fmt: str) -> Column:

@@ -72,9 +72,12 @@ def round_half_even(c: Column, places: int) -> Column:
 def safe_divide(n: Column, d: Column) -> Column:
     """IEEE division as pandas does it: x/0 = +-inf, 0/0 = missing (NULL)."""
     inf = F.lit(float("inf"))
+    # the sign of a zero divisor counts: 1 / -0.0 = -inf (atan2(-0.0, -1) = -pi)
+    neg_zero = F.atan2(d.cast("double"), F.lit(-1.0)) < 0
+    signed_inf = F.when(neg_zero, -inf).otherwise(inf)
     return (
         F.when(d.isNull() | n.isNull(), F.lit(None).cast("double"))
-        .when(d == 0, F.when(n > 0, inf).when(n < 0, -inf))
+        .when(d == 0, F.when(n > 0, signed_inf).when(n < 0, -signed_inf))
         .otherwise(F.try_divide(n.cast("double"), d.cast("double")))
     )
 
