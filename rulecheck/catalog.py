@@ -181,11 +181,16 @@ def tables(spark: SparkSession, d: str, names: list[str]) -> TableSet:
     return ts
 
 
+_VIEWS_FOR: dict[int, str] = {}
+
+
 def _joined(spark: SparkSession, d: str, name: str) -> DataFrame:
     """Spark side of a joined derivation: the same SQL over temp views of
     the base tables (the views are per-session names, not data copies)."""
-    for t in ("lineitem", "orders", "customer", "nation", "conversations"):
-        spark.read.parquet(os.path.join(d, f"{t}.parquet")).createOrReplaceTempView(t)
+    if _VIEWS_FOR.get(id(spark)) != d:
+        for t in ("lineitem", "orders", "customer", "nation", "conversations"):
+            spark.read.parquet(os.path.join(d, f"{t}.parquet")).createOrReplaceTempView(t)
+        _VIEWS_FOR[id(spark)] = d
     return spark.sql(JOINED_SQL[name].replace('"', "`"))
 
 

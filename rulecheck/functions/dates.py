@@ -154,26 +154,29 @@ def date_check(c: Column, dtype: DataType, fmt: str, strict_dates: bool = False)
     return strptime_ok(c.cast("string"), fmt)
 
 
-# Accepted text forms for lenient date parsing (ISO first, then US style).
-DEFAULT_DATE_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy",
-)
-
-
-def to_timestamp_lenient(c: Column, dtype: DataType, formats=DEFAULT_DATE_FORMATS) -> Column:
-    """Any value -> timestamp_ntz or NULL."""
+# Accepted US-style text forms for lenient date parsing (ISO forms are read
+# by Spark's own string -> timestamp cast).
+US_DATE_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
+
+
+def to_timestamp_lenient(c: Column, dtype: DataType, formats=None) -> Column:
+    """Any value -> timestamp_ntz or NULL.
+
+    ISO texts (``2024-01-05``, ``2024-01-05 10:30:00``, ``2024-01-05T10:30``)
+    go through the cast, which is cheap; the pattern parsers only run on
+    texts that look like ``M/d/yyyy``. ``formats`` (Java patterns) replaces
+    both with an explicit list."""
     if isinstance(dtype, (TimestampNTZType, DateType, TimestampType)):
         return c.cast("timestamp_ntz")
     if not isinstance(dtype, StringType):
         return F.lit(None).cast("timestamp_ntz")
     t = strip(c)
-    parsed = [F.try_to_timestamp(t, F.lit(f)) for f in formats]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    if formats:
+        return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    iso = t.try_cast("timestamp_ntz")
+    us = F.when(t.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"),
+                F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in US_DATE_FORMATS]).cast("timestamp_ntz"))
+    return F.coalesce(iso, us)
 
 
 def stale_cutoff(months: int, as_of: _dt.date | str | None = None) -> Column:

@@ -54,7 +54,7 @@ def business_rule(ts: TableSet, rule: Mapping, as_of: _dt.date | str | None = No
 def _parse(t, c: str, datatype: str, date_formats):
     dtype = t.dtype(c)
     if datatype == "date":
-        return to_timestamp_lenient(col(c), dtype, *( [date_formats] if date_formats else []))
+        return to_timestamp_lenient(col(c), dtype, date_formats)
     return to_double(col(c), dtype)
 
 

@@ -5,13 +5,14 @@ every configured check is tried on them; in the fixed priority order the
 first check whose match rate reaches the threshold wins, else the column is
 "Unrecognized (best match x%)" or "(no data)".
 
-Plan (one job for a whole table): each row emits one struct per column
-(non-blank flag + one pass flag per check), exploded to long form; blanks
-are dropped; ``row_number() <= N`` per column in row order (Spark puts a
-partial WindowGroupLimit before the shuffle, so each task ships at most N
-rows per column); a group-by per column counts samples and matches. The
-result has one row per column and is the only thing brought to the driver,
-to pick the check that phase 2 runs over all rows.
+Plan (one job for a whole table): each row emits one small typed payload
+per non-blank cell (text / number / timestamp form), exploded to long form;
+``row_number() <= N`` per column in row order (Spark puts a partial
+WindowGroupLimit before the shuffle, so each task ships at most N rows per
+column); only then are the checks evaluated, on the sampled payloads, and a
+group-by per column counts samples and matches. The result has one row per
+column and is the only thing brought to the driver, to pick the check that
+phase 2 runs over all rows.
 """
 
 from __future__ import annotations
@@ -20,6 +21,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ..functions.cells import INFERENCE_PRIORITY, check_passes
 from ..functions.names import col
@@ -35,24 +45,51 @@ def candidate_checks(column_checks: Mapping) -> list[str]:
     return [n for n in INFERENCE_PRIORITY if n in column_checks]
 
 
+def _proxy(check: str, dtype):
+    """Which payload field (and type) a check reads for a column of ``dtype``."""
+    if isinstance(dtype, (NumericType, BooleanType)) and check in ("amount", "number"):
+        return "d", DoubleType()
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)) and check in ("date", "amount", "number"):
+        return "t", TimestampNTZType()
+    return "s", StringType()
+
+
 def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size: int) -> DataFrame:
-    """``(column_index, sampled, m0..mk)``: per column, the sample size and
-    the number of sampled values passing each candidate check."""
+    """``(ci, sampled, m0..mk)``: per column index, the sample size and the
+    number of sampled values passing each candidate check.
+
+    Each row is exploded into one small typed payload per non-blank cell
+    (text form, numeric form, timestamp form); the checks run only on the
+    sampled payloads, after the per-column limit."""
     t = ts.get(sheet)
     checks = candidate_checks(column_checks)
     frame = t.ordered()
     structs = []
+    dtypes = []
     for i, name in enumerate(t.columns):
         dtype = t.dtype(name)
+        dtypes.append(dtype)
         c = col(name)
-        flags = [check_passes(n, c, dtype, column_checks[n]).alias(f"p{k}") for k, n in enumerate(checks)]
-        structs.append(F.struct(F.lit(i).alias("ci"), (~is_blank_cell(c, dtype)).alias("nb"), *flags))
+        is_num = isinstance(dtype, (NumericType, BooleanType))
+        is_time = isinstance(dtype, (DateType, TimestampType, TimestampNTZType))
+        structs.append(F.struct(
+            F.lit(i).alias("ci"),
+            (~is_blank_cell(c, dtype)).alias("nb"),
+            c.cast("string").alias("s"),
+            (c.cast("double") if is_num else F.lit(None).cast("double")).alias("d"),
+            (c.cast("timestamp_ntz") if is_time else F.lit(None).cast("timestamp_ntz")).alias("t"),
+        ))
     long = frame.select(F.col(FILE).alias("_f"), F.col(ROW_NO).alias("_r"), F.inline(F.array(*structs))).filter("nb")
     w = Window.partitionBy("ci").orderBy("_f", "_r")
     sample = long.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(sample_size))
-    return sample.groupBy("ci").agg(
-        F.count(F.lit(1)).alias("sampled"), *[F.count_if(f"p{k}").alias(f"m{k}") for k in range(len(checks))]
-    )
+    flags = []
+    for k, n in enumerate(checks):
+        per_col = F.lit(False)
+        for i, dtype in enumerate(dtypes):
+            field, ftype = _proxy(n, dtype)
+            per_col = F.when(F.col("ci") == i, check_passes(n, F.col(field), ftype, column_checks[n])).otherwise(per_col)
+        flags.append(F.count_if(per_col).alias(f"m{k}"))
+    return sample.groupBy("ci").agg(F.count(F.lit(1)).alias("sampled"), *flags)
 
 
 def decide(sampled: int, matches: list[int], checks: list[str], threshold: float):

@@ -79,12 +79,17 @@ def _section(config: Mapping, path: str):
 
 
 def _analysed(outcomes: list[Outcome]) -> list[Outcome]:
-    """Force analysis of every plan now, so a bad rule fails alone."""
+    """Force analysis of every plan now, so a bad rule fails alone. The
+    row-local predicates of one frame are analysed together (one analysis)."""
+    by_frame: dict[int, list[Outcome]] = {}
     for o in outcomes:
         if o.kind == "rowlocal":
-            o.frame.select((o.fail if o.fail is not None else o.weight).alias("_x")).schema
+            by_frame.setdefault(id(o.frame), []).append(o)
         elif o.kind == "counts":
             o.counts.schema
+    for group in by_frame.values():
+        exprs = [(o.fail if o.fail is not None else o.weight).alias(f"_x{k}") for k, o in enumerate(group)]
+        group[0].frame.select(*exprs).schema
     return outcomes
 
 
