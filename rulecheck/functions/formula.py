@@ -20,10 +20,11 @@ from .numbers import RuleError, no_nan, safe_divide, safe_mod
 def formula_names(formula: str) -> list[str]:
     """Column names a formula refers to, in order of appearance."""
     tree = _parse(formula)
+    names = sorted((n.col_offset, n.id) for n in ast.walk(tree) if isinstance(n, ast.Name))
     seen: list[str] = []
-    for node in ast.walk(tree):
-        if isinstance(node, ast.Name) and node.id not in seen:
-            seen.append(node.id)
+    for _, name in names:
+        if name not in seen:
+            seen.append(name)
     return seen
 
 

@@ -72,8 +72,9 @@ def round_half_even(c: Column, places: int) -> Column:
 def safe_divide(n: Column, d: Column) -> Column:
     """IEEE division as pandas does it: x/0 = +-inf, 0/0 = missing (NULL)."""
     inf = F.lit(float("inf"))
-    # the sign of a zero divisor counts: 1 / -0.0 = -inf (atan2(-0.0, -1) = -pi)
-    neg_zero = F.atan2(d.cast("double"), F.lit(-1.0)) < 0
+    # the sign of a zero divisor counts: 1 / -0.0 = -inf (only the text form
+    # of a double keeps the sign of zero; evaluated only when d == 0)
+    neg_zero = d.cast("double").cast("string").startswith("-")
     signed_inf = F.when(neg_zero, -inf).otherwise(inf)
     return (
         F.when(d.isNull() | n.isNull(), F.lit(None).cast("double"))
