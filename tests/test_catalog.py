@@ -31,9 +31,9 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     order = sorted(df.columns)
-    got = sorted(tuple(_norm(r[c]) for c in order) for r in df.collect())
+    got = sorted((tuple(_norm(r[c]) for c in order) for r in df.collect()), key=repr)
     idx = [ocols.index(c) for c in order]
-    want = sorted(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
+    want = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert got == want
 
 
