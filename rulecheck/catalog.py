@@ -390,6 +390,17 @@ def _exec_inferred(spark, d):
     return run_inferred(ts, INFER_CONFIG).execution
 
 
+BATCH_FIELDS = {"c_acctbal": ["amount"], "s_acctbal": ["amount"], "c_name": ["text_only"], "s_name": ["text_only"],
+                "c_phone": ["phone_number"]}
+BATCH_CONFIG = {"sheet_checks": {"accounts": {}}, "column_checks": COLUMN_CHECKS, "fields": {"accounts": BATCH_FIELDS}}
+BATCH_GLOB = "{customer,supplier}.parquet"
+
+
+def _batch(spark, d):
+    ts = TableSet(spark).add_batch("accounts", d, fmt="parquet", glob=BATCH_GLOB)
+    return run_fields(ts, BATCH_CONFIG, by_file=True).summary
+
+
 def _run_kpi(spark, d):
     ts = tables(spark, d, KPI_RULESET_TABLES)
     return run_kpi(ts, KPI_RULESET, as_of=STALE_AS_OF).summary
@@ -438,4 +449,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "infer_and_validate": _infer_validate,
         "exec_summary_inferred": _exec_inferred,
         "run_kpi_ruleset": _run_kpi,
+        "batch_by_file": _batch,
     }

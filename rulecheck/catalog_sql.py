@@ -484,6 +484,36 @@ def run_kpi_ruleset():
     return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
 
 
+def batch_by_file():
+    files = {"customer.parquet": ("customer", {"c_acctbal", "c_name"}),
+             "supplier.parquet": ("supplier", {"s_acctbal", "s_name"})}
+    nul = "CAST(NULL AS VARCHAR) AS source_file, "
+    parts = [nul + "'accounts' AS sheet_name, 'Sheet' AS field, 'Sheet Validation' AS test_type, "
+             "'Sheet Existence Testing' AS test_name, 'PASS' AS status, CAST(0 AS BIGINT) AS failed_count, "
+             "CAST(NULL AS BIGINT) AS total_checked, CAST(NULL AS BIGINT) AS passed_count"]
+    present = {"c_acctbal", "c_name", "s_acctbal", "s_name"}
+    for column in C.BATCH_FIELDS:
+        ok = column in present
+        parts.append(nul + f"'accounts', '{column}', 'Field Validation', 'Field Existence Testing', "
+                     f"'{'PASS' if ok else 'FAIL'}', CAST({0 if ok else 1} AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")
+    for column, checks in C.BATCH_FIELDS.items():
+        if column not in present:
+            continue
+        for check in checks:
+            for fname, (table, cols) in files.items():
+                if column in cols:
+                    num = column.endswith("acctbal")
+                    nb = nonblank(column, num)
+                    counts = (f"SELECT COUNT(*) FILTER (WHERE {nb}) t, "
+                              f"COUNT(*) FILTER (WHERE {nb} AND NOT {check_ok(check, column, num)}) f FROM {table}")
+                else:
+                    counts = "SELECT 0 t, 0 f"
+                parts.append(f"'{fname}' AS source_file, 'accounts', '{column}', 'Data Validation', '{check}', "
+                             "CASE WHEN f = 0 THEN 'PASS' ELSE 'FAIL' END, CAST(f AS BIGINT), CAST(t AS BIGINT), "
+                             f"CAST(t - f AS BIGINT) FROM ({counts})")
+    return " UNION ALL ".join(f"SELECT {p}" for p in parts)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "table_existence": table_existence(),
@@ -525,4 +555,5 @@ def oracle_sql() -> dict[str, str]:
         "infer_and_validate": infer_validate(),
         "exec_summary_inferred": exec_inferred(),
         "run_kpi_ruleset": run_kpi_ruleset(),
+        "batch_by_file": batch_by_file(),
     }

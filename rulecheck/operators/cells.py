@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.cells import check_passes, datatype_label, error_message
 from ..functions.names import col
 from ..functions.text import is_blank_cell
-from ..sources.tables import ROW_NO, TableSet
+from ..sources.tables import FILE, ROW_NO, TableSet
 from .base import DATA_VALIDATION, Outcome
 
 FAILED_SCHEMA = (
@@ -36,20 +36,24 @@ def format_params(params: Mapping | None) -> str:
     return ", ".join(f"{k}={v}" for k, v in params.items())
 
 
-def cell_check(ts: TableSet, sheet: str, column: str, check: str, params: Mapping | None) -> Outcome:
-    """Summary outcome of one check on one column (row-local, fused)."""
+def cell_check(ts: TableSet, sheet: str, column: str, check: str, params: Mapping | None,
+               by_file: bool = False) -> Outcome:
+    """Summary outcome of one check on one column (row-local, fused). With
+    ``by_file`` the frame carries the source file for per-file counts."""
     t = ts.get(sheet)
     dtype = t.dtype(column)
     c = col(column)
     nonblank = ~is_blank_cell(c, dtype)
     ok = check_passes(check, c, dtype, params)
     fail = F.lit(False) if ok is None else (nonblank & ~ok)  # unknown check: counted, never fails
-    return Outcome(sheet, column, DATA_VALIDATION, check, frame=t.df, fail=fail, checked=nonblank,
-                   params=format_params(params))
+    return Outcome(sheet, column, DATA_VALIDATION, check, frame=t.ordered() if by_file else t.df, fail=fail,
+                   checked=nonblank, params=format_params(params))
 
 
-def failed_cells(ts: TableSet, plan: Sequence[tuple[str, str, str, Mapping | None]]) -> DataFrame:
-    """One row per failing cell for ``[(table, column, check, params), ..]``."""
+def failed_cells(ts: TableSet, plan: Sequence[tuple[str, str, str, Mapping | None]],
+                 by_file: bool = False) -> DataFrame:
+    """One row per failing cell for ``[(table, column, check, params), ..]``
+    (plus ``source_file`` with ``by_file``)."""
     by_table: dict[str, list] = {}
     for sheet, column, check, params in plan:
         by_table.setdefault(sheet, []).append((column, check, params))
@@ -77,12 +81,13 @@ def failed_cells(ts: TableSet, plan: Sequence[tuple[str, str, str, Mapping | Non
             continue
         failing = F.filter(F.array(*structs), lambda s: s.isNotNull())
         parts.append(
-            frame.select(row.cast("long").alias("row"), F.explode(failing).alias("_x"))
+            frame.select(row.cast("long").alias("row"), F.col(FILE).alias("_f"), F.explode(failing).alias("_x"))
             .select(F.lit(sheet).alias("sheet_name"), "_x.field", "row", "_x.value", "_x.validation_type",
-                    "_x.required_datatype", "_x.error_message")
+                    "_x.required_datatype", "_x.error_message", *([F.col("_f").alias("source_file")] if by_file else []))
         )
     if not parts:
-        return ts.spark.createDataFrame([], FAILED_SCHEMA)
+        schema = FAILED_SCHEMA + (", source_file string" if by_file else "")
+        return ts.spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 

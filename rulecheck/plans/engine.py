@@ -31,7 +31,7 @@ from ..operators.base import (
     failed_rule,
     missing_table,
 )
-from ..sources.tables import TableSet
+from ..sources.tables import FILE, TableSet
 from .planner import materialize, summary_columns
 
 # The KPI run's steps in order: (config path, test name).
@@ -59,15 +59,20 @@ class RunResult:
     execution: DataFrame | None = None
     inferred: dict | None = None
 
+    def _cols(self) -> list[str]:
+        extra = ["source_file"] if "source_file" in self.all_rows.columns else []
+        return [*extra, *summary_columns(self.style)]
+
     @property
     def summary(self) -> DataFrame:
-        return self.all_rows.orderBy("_ord").select(*summary_columns(self.style))
+        return self.all_rows.orderBy("_ord", "source_file" if "source_file" in self.all_rows.columns else "_ord") \
+            .select(*self._cols())
 
     @property
     def details(self) -> DataFrame:
         params = F.when(F.col("test_type") != DATA_VALIDATION, F.lit("")).otherwise(
             F.coalesce(F.col("rule_parameters"), F.lit("-")))
-        cols = [*summary_columns(self.style), params.alias("rule_parameters")]
+        cols = [*self._cols(), params.alias("rule_parameters")]
         return self.all_rows.orderBy("_ord").select(*cols)
 
 
@@ -161,7 +166,8 @@ def run_kpi(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = None)
 
 # --------------------------------------------------------------------------- field dialects
 
-def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], column_checks: Mapping):
+def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], column_checks: Mapping,
+               by_file: bool = False):
     outcomes, plan = [], []
     for sheet, fmap in column_rules.items():
         for column, checks in fmap.items():
@@ -171,7 +177,7 @@ def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], col
                 params = column_checks[check]
                 outcomes.extend(_bind(
                     lambda sheet=sheet, column=column, check=check, params=params: [
-                        cells.cell_check(ts, sheet, column, check, params)],
+                        cells.cell_check(ts, sheet, column, check, params, by_file)],
                     lambda sheet=sheet, column=column, check=check: Outcome(
                         sheet, column, CONFIGURATION, check, failed=1, status="FAIL")))
                 plan.append((sheet, column, check, params))
@@ -222,8 +228,11 @@ def _execution(ts: TableSet, all_rows: DataFrame, row_tables: list[str], inferre
     return long_stats.unionByName(long_rows).orderBy("_ord").select("metric", "value")
 
 
-def run_fields(ts: TableSet, config: Mapping) -> RunResult:
-    """Explicit field dialect: table existence, field existence, cell checks."""
+def run_fields(ts: TableSet, config: Mapping, by_file: bool = False) -> RunResult:
+    """Explicit field dialect: table existence, field existence, cell checks.
+
+    ``by_file``: data-validation rows and failed cells come per source file
+    (``source_file`` column) - a batch of files checked in one query."""
     sheet_rows, missing = existence.required_tables(ts, config.get("sheet_checks", {}))
     fields = config.get("fields", {})
     field_rows, missing_fields = existence.field_existence(ts, fields, missing)
@@ -232,9 +241,9 @@ def run_fields(ts: TableSet, config: Mapping) -> RunResult:
         if sheet in missing or sheet not in ts:
             continue
         rules[sheet] = {c: list(v) for c, v in fmap.items() if c not in missing_fields.get(sheet, set())}
-    data_rows, plan = _cell_plan(ts, rules, config.get("column_checks", {}))
-    all_rows = materialize(ts.spark, sheet_rows + field_rows + data_rows, "fields")
-    failed = cells.failed_cells(ts, plan)
+    data_rows, plan = _cell_plan(ts, rules, config.get("column_checks", {}), by_file)
+    all_rows = materialize(ts.spark, sheet_rows + field_rows + data_rows, "fields", FILE if by_file else None)
+    failed = cells.failed_cells(ts, plan, by_file)
     row_tables = [n for n in fields if n in ts]
     return RunResult(all_rows, "fields", failed, _execution(ts, all_rows, row_tables, False))
 

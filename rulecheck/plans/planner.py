@@ -43,8 +43,10 @@ def _meta(i: int, o: Outcome) -> list[Column]:
     ]
 
 
-def _fused(frame: DataFrame, items: list[tuple[int, Outcome]]) -> DataFrame:
-    """One pass over ``frame`` for all its row-local outcomes."""
+def _fused(frame: DataFrame, items: list[tuple[int, Outcome]], group: str | None = None) -> DataFrame:
+    """One pass over ``frame`` for all its row-local outcomes (per ``group``
+    value when given, e.g. per source file of a batch)."""
+    gcols = [col(group)] if group else []
     plain = [(i, o) for i, o in items if o.distinct is None]
     by_key: dict[str, list[tuple[int, Outcome]]] = {}
     for i, o in items:
@@ -67,12 +69,12 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]]) -> DataFrame:
 
     rows: list[DataFrame] = []
     if not by_key:
-        rows.append(frame.agg(*plain_aggs()))
+        rows.append(frame.groupBy(*gcols).agg(*plain_aggs()))
     else:
         first = True
-        for key, group in by_key.items():
-            inner = [F.max(F.coalesce(o.fail, F.lit(False))).alias(f"f{i}") for i, o in group]
-            outer = [F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i, _ in group]
+        for key, members in by_key.items():
+            inner = [F.max(F.coalesce(o.fail, F.lit(False))).alias(f"f{i}") for i, o in members]
+            outer = [F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i, _ in members]
             if first and plain:
                 # plain counters: partial counts per key, summed afterwards
                 for c in plain_aggs(with_offset=False):
@@ -82,7 +84,11 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]]) -> DataFrame:
                     if o.checked is not None:
                         outer.append(F.coalesce(F.sum(F.col(f"t{i}")), F.lit(0)).alias(f"t{i}"))
             first = False
-            rows.append(frame.groupBy(col(key)).agg(*inner).agg(*outer))
+            outer_keys = [F.col("_grp")] if group else []
+            inner_keys = [col(group).alias("_grp")] if group else []
+            rows.append(frame.groupBy(*inner_keys, col(key)).agg(*inner).groupBy(*outer_keys).agg(*outer)
+                        .withColumnRenamed("_grp", group) if group else
+                        frame.groupBy(col(key)).agg(*inner).agg(*outer))
 
     out = []
     for one in rows:
@@ -94,12 +100,18 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]]) -> DataFrame:
             total = F.col(f"t{i}").cast("long") if f"t{i}" in present else F.lit(None).cast("long")
             structs.append(F.struct(*_meta(i, o), F.col(f"f{i}").cast("long").alias("failed_count"),
                                     total.alias("total_checked")))
-        out.append(one.select(F.inline(F.array(*structs))))
+        src = col(group).cast("string") if group else F.lit(None).cast("string")
+        out.append(one.select(src.alias("source_file"), F.inline(F.array(*structs))))
     return reduce(DataFrame.unionByName, out)
 
 
-def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "kpi") -> DataFrame:
-    """All outcomes -> DataFrame(summary columns, rule_parameters, _ord)."""
+def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "kpi",
+                group: str | None = None) -> DataFrame:
+    """All outcomes -> DataFrame(summary columns, rule_parameters, _ord).
+
+    With ``group`` (a column of the row-local frames, e.g. ``_file``), each
+    row-local result comes out once per group value in a ``source_file``
+    column; literal and precomputed results carry NULL there."""
     lit_rows = []
     parts: list[DataFrame] = []
     frames: dict[int, tuple[DataFrame, list[tuple[int, Outcome]]]] = {}
@@ -112,15 +124,15 @@ def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "
         else:
             c = o.counts
             total = col("total_checked").cast("long") if "total_checked" in c.columns else F.lit(None).cast("long")
-            parts.append(c.select(*_meta(i, o), col("failed_count").cast("long").alias("failed_count"),
-                                  total.alias("total_checked")))
+            parts.append(c.select(F.lit(None).cast("string").alias("source_file"), *_meta(i, o),
+                                  col("failed_count").cast("long").alias("failed_count"), total.alias("total_checked")))
     for frame, items in frames.values():
-        parts.append(_fused(frame, items))
+        parts.append(_fused(frame, items, group))
     if lit_rows or not parts:
         parts.append(spark.createDataFrame(
-            lit_rows,
-            "sheet_name string, field string, test_type string, test_name string, _status string, "
-            "_ord int, rule_parameters string, failed_count long, total_checked long",
+            [(None, *r) for r in lit_rows],
+            "source_file string, sheet_name string, field string, test_type string, test_name string, "
+            "_status string, _ord int, rule_parameters string, failed_count long, total_checked long",
         ))
     allrows = reduce(DataFrame.unionByName, parts)
     failed = F.coalesce(F.col("failed_count"), F.lit(0))
@@ -133,10 +145,12 @@ def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "
         failed.alias("failed_count"),
         F.col("total_checked"),
         (F.col("total_checked") - failed).alias("passed_count"),
-        "rule_parameters", "_ord",
+        "rule_parameters", "_ord", "source_file",
     )
     if style == "kpi":
         out = out.drop("total_checked", "passed_count")
+    if group is None:
+        out = out.drop("source_file")
     return out
 
 

@@ -22,7 +22,7 @@ import os
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
@@ -57,6 +57,29 @@ def _clean(df: DataFrame, na_tokens: Iterable[str] | None) -> DataFrame:
     return df.select(*out) if changed else df
 
 
+def _ordinal_by_split(raw: DataFrame) -> DataFrame:
+    """Dense 0-based row number within each file, for readers without a row
+    index (CSV, JSON, ORC).
+
+    Rows of one file split are read in order by one task, so
+    ``monotonically_increasing_id`` is consecutive inside a split. Per split
+    ``(file, byte offset)`` the first id and the row count are aggregated (one
+    row per split), a running sum over the splits of each file gives the
+    split's offset, and ``offset + id - first id`` is the row number. No
+    global sort and no single-partition window over the data."""
+    base = raw.select(
+        "*",
+        F.col("_metadata.file_name").alias(FILE),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_mid"),
+    )
+    splits = base.groupBy(FILE, "_blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(FILE).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(FILE, "_blk", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return base.join(splits, [FILE, "_blk"]).select(
+        *[col(c) for c in raw.columns], (F.col("_off") + F.col("_mid") - F.col("_first")).alias(ROW_NO), col(FILE))
+
+
 @dataclass
 class Table:
     """One named table: ``df`` (data columns only) and, when known, ``ordered``
@@ -129,17 +152,34 @@ class TableSet:
                 na_tokens = PANDAS_NA_TOKENS
         raw = reader.options(**options).load(path)
         data = _clean(raw, na_tokens)
-        ordered = None
+        self.tables[name] = Table(name, data, self._ordered(raw, fmt, na_tokens), source=path)
+        return self
+
+    @staticmethod
+    def _ordered(raw: DataFrame, fmt: str, na_tokens) -> DataFrame:
         if fmt == "parquet":
-            ordered = _clean(
-                raw.select(
-                    "*",
-                    F.col("_metadata.row_index").alias(ROW_NO),
-                    F.col("_metadata.file_name").alias(FILE),
-                ),
-                na_tokens,
-            )
-        self.tables[name] = Table(name, data, ordered, source=path)
+            with_order = raw.select("*", F.col("_metadata.row_index").alias(ROW_NO),
+                                    F.col("_metadata.file_name").alias(FILE))
+        else:
+            with_order = _ordinal_by_split(raw)
+        return _clean(with_order, na_tokens)
+
+    def add_batch(self, name: str, path: str, fmt: str = "csv", glob: str | None = None,
+                  na_tokens: Iterable[str] | None = None, **options) -> TableSet:
+        """Many files as ONE table (all files under ``path``, recursively,
+        matching ``glob``; ``~$`` lock files skipped). Files may differ in
+        columns (Parquet: merged schema). The file name is the hidden ``_file``
+        column, so checks can be grouped per source file in one query."""
+        reader = self.spark.read.format(fmt).option("recursiveFileLookup", "true")
+        reader = reader.option("pathGlobFilter", glob or f"[!~]*.{fmt}")
+        if fmt == "csv":
+            options = {"header": "true", "inferSchema": "true", **options}
+            if na_tokens is None:
+                na_tokens = PANDAS_NA_TOKENS
+        if fmt == "parquet":
+            options = {"mergeSchema": "true", **options}
+        raw = reader.options(**options).load(path)
+        self.tables[name] = Table(name, _clean(raw, na_tokens), self._ordered(raw, fmt, na_tokens), source=path)
         return self
 
     def add_formats(self, name: str, formats: DataFrame) -> TableSet:
