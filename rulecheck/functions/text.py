@@ -13,8 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
-_WS = r"[\s\x1c-\x1f]"
-_STRIP_RE = rf"(?U)^{_WS}+|{_WS}+$"
+# The characters ``str.strip()`` removes: those for which ``str.isspace()`` is
+# true, derived from Python itself rather than listed by hand.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def as_text(c: Column) -> Column:
@@ -23,8 +24,9 @@ def as_text(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """``str(value).strip()``; NULL stays NULL."""
-    return F.regexp_replace(as_text(c), _STRIP_RE, "")
+    """``str(value).strip()``; NULL stays NULL. ``btrim`` with the whitespace
+    set: a character scan, no regex."""
+    return F.btrim(as_text(c), F.lit(WHITESPACE))
 
 
 def norm_text(c: Column, blanks: Iterable[str] | None = None) -> Column:
@@ -36,6 +38,23 @@ def norm_text(c: Column, blanks: Iterable[str] | None = None) -> Column:
     return t
 
 
+def is_blank_norm(c: Column, dtype: DataType, blanks: Iterable[str] | None = None) -> Column:
+    """``norm_text(c, blanks) == ''`` without text work for non-text types
+    (their text form never carries surrounding whitespace)."""
+    tokens = sorted({str(b).strip().lower() for b in (blanks or [])} - {""})
+    if isinstance(dtype, StringType):
+        t = strip(c)
+        blank = c.isNull() | (t == F.lit(""))
+        if tokens:
+            # lower-casing only texts as long as some token (cheap length test first)
+            lengths = sorted({len(x) for x in tokens})
+            blank = blank | F.coalesce(F.length(t).isin(lengths) & F.lower(t).isin(tokens), F.lit(False))
+        return blank
+    if not tokens:
+        return c.isNull()
+    return c.isNull() | F.lower(c.cast("string")).isin(tokens)
+
+
 def is_blank_loose(c: Column) -> Column:
     """NULL or whitespace-only (used by the KPI null check)."""
     return c.isNull() | (strip(c) == F.lit(""))

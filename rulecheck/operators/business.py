@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import stale_cutoff, to_timestamp_lenient
 from ..functions.names import col
 from ..functions.numbers import RuleError, apply_operator, to_double
-from ..functions.text import norm_text
+from ..functions.text import is_blank_norm, norm_text
 from ..sources.tables import TableSet
 from .base import BUSINESS_RULE, DATA_VALIDATION, Outcome, failed_rule, missing_columns, missing_table
 
@@ -64,8 +64,8 @@ def _comparison_fail(t, rule: Mapping, date_formats):
     left, right, op = rule["leftcolumn"], rule["rightcolumn"], rule["operator"]
     datatype = rule.get("datatype", "date")
     blanks = rule.get("blankindicators", [])
-    lb = norm_text(col(left), blanks) == ""
-    rb = norm_text(col(right), blanks) == ""
+    lb = is_blank_norm(col(left), t.dtype(left), blanks)
+    rb = is_blank_norm(col(right), t.dtype(right), blanks)
     lv, rv = _parse(t, left, datatype, date_formats), _parse(t, right, datatype, date_formats)
     holds = F.coalesce(apply_operator(lv, op, rv), F.lit(False))
     return lb | rb | lv.isNull() | rv.isNull() | ~holds
@@ -76,7 +76,7 @@ def _stale_fail(t, rule: Mapping, as_of, date_formats):
     c = rule["column"]
     blanks = rule.get("blankindicators", [])
     parsed = _parse(t, c, "date", date_formats)
-    shown = norm_text(col(c), blanks) != ""
+    shown = ~is_blank_norm(col(c), t.dtype(c), blanks)
     return F.coalesce(parsed.isNotNull() & (parsed < stale_cutoff(int(rule["months"]), as_of)) & shown, F.lit(False))
 
 

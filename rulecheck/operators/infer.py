@@ -5,14 +5,18 @@ every configured check is tried on them; in the fixed priority order the
 first check whose match rate reaches the threshold wins, else the column is
 "Unrecognized (best match x%)" or "(no data)".
 
-Plan (one job for a whole table): each row emits one small typed payload
-per non-blank cell (text / number / timestamp form), exploded to long form;
-``row_number() <= N`` per column in row order (Spark puts a partial
-WindowGroupLimit before the shuffle, so each task ships at most N rows per
-column); only then are the checks evaluated, on the sampled payloads, and a
-group-by per column counts samples and matches. The result has one row per
-column and is the only thing brought to the driver, to pick the check that
-phase 2 runs over all rows.
+Plan per table, two small jobs:
+1. count non-blank cells per column per (file, block of 2^20 rows) - a plain
+   map-side aggregate, no sort - and, with a running sum over the blocks,
+   find for each column the block holding its N-th non-blank value;
+2. over the rows up to those blocks only, explode one small typed payload
+   per non-blank cell (text / number / timestamp form), keep
+   ``row_number() <= N`` per column in row order (Spark puts a partial
+   WindowGroupLimit before the shuffle, so each task ships at most N rows per
+   column), then evaluate the checks on the sampled payloads and count per
+   column.
+Both results have one row per column; the second is brought to the driver to
+pick the check that phase 2 of the run applies to all rows.
 """
 
 from __future__ import annotations
@@ -54,32 +58,71 @@ def _proxy(check: str, dtype):
     return "s", StringType()
 
 
-def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size: int) -> DataFrame:
+BLOCK_ROWS = 1 << 20
+
+
+def _block_key(block_rows: int):
+    return F.struct(F.coalesce(F.col(FILE), F.lit("")).alias("f"),
+                    F.floor(F.col(ROW_NO) / F.lit(block_rows)).alias("b"))
+
+
+def sample_cutoffs(frame: DataFrame, nonblank: list, sample_size: int, block_rows: int = BLOCK_ROWS) -> dict:
+    """Per column index, the (file, row block) that holds its N-th non-blank
+    value in row order (or its last one): blocks after it cannot be sampled.
+
+    Counting non-blank cells per (file, block) is a plain aggregate (partial
+    map-side, one row per block); a running sum over blocks per column then
+    finds the cut-off. Only one row per column reaches the driver."""
+    per_block = frame.groupBy(_block_key(block_rows).alias("k")).agg(
+        *[F.count_if(nb).alias(f"n{i}") for i, nb in enumerate(nonblank)])
+    long = per_block.select("k", F.inline(F.array(
+        *[F.struct(F.lit(i).alias("ci"), F.col(f"n{i}").alias("n")) for i in range(len(nonblank))])))
+    w = Window.partitionBy("ci").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    needed = long.filter(F.col("n") > 0).withColumn("cum", F.sum("n").over(w)).filter(
+        F.col("cum") - F.col("n") < F.lit(int(sample_size)))
+    return {r["ci"]: (r["cut"]["f"], r["cut"]["b"])
+            for r in needed.groupBy("ci").agg(F.max("k").alias("cut")).collect()}
+
+
+def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size: int,
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(ci, sampled, m0..mk)``: per column index, the sample size and the
     number of sampled values passing each candidate check.
 
-    Each row is exploded into one small typed payload per non-blank cell
-    (text form, numeric form, timestamp form); the checks run only on the
-    sampled payloads, after the per-column limit."""
+    Pass 1 (``sample_cutoffs``) bounds, per column, how far into the table
+    its sample can reach. Pass 2 explodes one small typed payload per
+    non-blank cell of the rows before that bound (text / number / timestamp
+    form), keeps the first N per column in row order and only then runs the
+    checks on the sampled payloads."""
     t = ts.get(sheet)
     checks = candidate_checks(column_checks)
     frame = t.ordered()
+    dtypes = [t.dtype(name) for name in t.columns]
+    nonblank = [~is_blank_cell(col(name), dtype) for name, dtype in zip(t.columns, dtypes)]
+    cuts = sample_cutoffs(frame, nonblank, sample_size, block_rows)
+    key = _block_key(block_rows)
     structs = []
-    dtypes = []
     for i, name in enumerate(t.columns):
-        dtype = t.dtype(name)
-        dtypes.append(dtype)
+        if i not in cuts:
+            continue  # no non-blank value at all
+        dtype = dtypes[i]
         c = col(name)
         is_num = isinstance(dtype, (NumericType, BooleanType))
         is_time = isinstance(dtype, (DateType, TimestampType, TimestampNTZType))
+        f, b = cuts[i]
+        within = key <= F.struct(F.lit(f).alias("f"), F.lit(b).cast("long").alias("b"))
         structs.append(F.struct(
             F.lit(i).alias("ci"),
-            (~is_blank_cell(c, dtype)).alias("nb"),
+            (nonblank[i] & within).alias("nb"),
             c.cast("string").alias("s"),
             (c.cast("double") if is_num else F.lit(None).cast("double")).alias("d"),
             (c.cast("timestamp_ntz") if is_time else F.lit(None).cast("timestamp_ntz")).alias("t"),
         ))
-    long = frame.select(F.col(FILE).alias("_f"), F.col(ROW_NO).alias("_r"), F.inline(F.array(*structs))).filter("nb")
+    if not structs:
+        return ts.spark.createDataFrame([], "ci int, sampled long, " + ", ".join(f"m{k} long" for k in range(len(checks))))
+    f_max, b_max = max(cuts.values())
+    prefix = frame.filter(key <= F.struct(F.lit(f_max).alias("f"), F.lit(b_max).cast("long").alias("b")))
+    long = prefix.select(F.col(FILE).alias("_f"), F.col(ROW_NO).alias("_r"), F.inline(F.array(*structs))).filter("nb")
     w = Window.partitionBy("ci").orderBy("_f", "_r")
     sample = long.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(sample_size))
     flags = []

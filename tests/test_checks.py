@@ -189,3 +189,15 @@ def test_inference_sample_limit(spark):
     assert rules == {"S": {"v": "email"}}  # 3 of the first 4 values are emails
     outcomes, rules = infer.infer_rules(ts, ["S"], checks, sample_size=10)
     assert rules == {"S": {"v": "text_only"}}
+
+
+def test_inference_block_cutoffs_match_single_block(spark):
+    rows = [(i, None if i % 3 == 0 else f"v{i}@x.com" if i < 40 else str(i), None if i < 50 else str(i))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "_row_no long, a string, b string")
+    ts = TableSet(spark).add_frame("S", df, "_row_no")
+    _, checks = _field_book(spark)
+    small = sorted(tuple(r) for r in infer.sample_stats(ts, "S", checks, 7, block_rows=2).collect())
+    big = sorted(tuple(r) for r in infer.sample_stats(ts, "S", checks, 7).collect())
+    assert small == big
+    assert [r[1] for r in big] == [7, 7]  # both columns sampled to the limit
