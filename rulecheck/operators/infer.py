@@ -66,13 +66,7 @@ def _block_key(block_rows: int):
                     F.floor(F.col(ROW_NO) / F.lit(block_rows)).alias("b"))
 
 
-def sample_cutoffs(frame: DataFrame, nonblank: list, sample_size: int, block_rows: int = BLOCK_ROWS) -> dict:
-    """Per column index, the (file, row block) that holds its N-th non-blank
-    value in row order (or its last one): blocks after it cannot be sampled.
-
-    Counting non-blank cells per (file, block) is a plain aggregate (partial
-    map-side, one row per block); a running sum over blocks per column then
-    finds the cut-off. Only one row per column reaches the driver."""
+def _cutoff_frame(frame: DataFrame, nonblank: list, sample_size: int, block_rows: int) -> DataFrame:
     per_block = frame.groupBy(_block_key(block_rows).alias("k")).agg(
         *[F.count_if(nb).alias(f"n{i}") for i, nb in enumerate(nonblank)])
     long = per_block.select("k", F.inline(F.array(
@@ -80,12 +74,44 @@ def sample_cutoffs(frame: DataFrame, nonblank: list, sample_size: int, block_row
     w = Window.partitionBy("ci").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     needed = long.filter(F.col("n") > 0).withColumn("cum", F.sum("n").over(w)).filter(
         F.col("cum") - F.col("n") < F.lit(int(sample_size)))
-    return {r["ci"]: (r["cut"]["f"], r["cut"]["b"])
-            for r in needed.groupBy("ci").agg(F.max("k").alias("cut")).collect()}
+    return needed.groupBy("ci").agg(F.max("k").alias("cut"))
+
+
+def sample_cutoffs(frame: DataFrame, nonblank: list, sample_size: int, block_rows: int = BLOCK_ROWS) -> dict:
+    """Per column index, the (file, row block) that holds its N-th non-blank
+    value in row order (or its last one): blocks after it cannot be sampled.
+
+    Counting non-blank cells per (file, block) is a plain aggregate (partial
+    map-side, one row per block); a running sum over blocks per column then
+    finds the cut-off. Only one row per column reaches the driver."""
+    rows = _cutoff_frame(frame, nonblank, sample_size, block_rows).collect()
+    return {r["ci"]: (r["cut"]["f"], r["cut"]["b"]) for r in rows}
+
+
+def _nonblank(t) -> list:
+    return [~is_blank_cell(col(name), t.dtype(name)) for name in t.columns]
+
+
+def cutoffs_for(ts: TableSet, sheets: list[str], sample_size: int, block_rows: int = BLOCK_ROWS) -> dict:
+    """``sample_cutoffs`` for several tables in ONE job: ``{sheet: {ci: cut}}``."""
+    parts = [
+        _cutoff_frame(ts.get(s).ordered(), _nonblank(ts.get(s)), sample_size, block_rows)
+        .select(F.lit(k).alias("ti"), "ci", "cut")
+        for k, s in enumerate(sheets)
+    ]
+    out: dict[str, dict] = {s: {} for s in sheets}
+    if not parts:
+        return out
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    for r in union.collect():
+        out[sheets[r["ti"]]][r["ci"]] = (r["cut"]["f"], r["cut"]["b"])
+    return out
 
 
 def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size: int,
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS, cuts: dict | None = None) -> DataFrame:
     """``(ci, sampled, m0..mk)``: per column index, the sample size and the
     number of sampled values passing each candidate check.
 
@@ -98,8 +124,9 @@ def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size:
     checks = candidate_checks(column_checks)
     frame = t.ordered()
     dtypes = [t.dtype(name) for name in t.columns]
-    nonblank = [~is_blank_cell(col(name), dtype) for name, dtype in zip(t.columns, dtypes)]
-    cuts = sample_cutoffs(frame, nonblank, sample_size, block_rows)
+    nonblank = _nonblank(t)
+    if cuts is None:
+        cuts = sample_cutoffs(frame, nonblank, sample_size, block_rows)
     key = _block_key(block_rows)
     structs = []
     for i, name in enumerate(t.columns):
@@ -111,8 +138,10 @@ def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size:
         is_time = isinstance(dtype, (DateType, TimestampType, TimestampNTZType))
         f, b = cuts[i]
         within = key <= F.struct(F.lit(f).alias("f"), F.lit(b).cast("long").alias("b"))
+        kind = 1 if is_num else 2 if is_time else 0
         structs.append(F.struct(
             F.lit(i).alias("ci"),
+            F.lit(kind).alias("kind"),
             (nonblank[i] & within).alias("nb"),
             c.cast("string").alias("s"),
             (c.cast("double") if is_num else F.lit(None).cast("double")).alias("d"),
@@ -125,13 +154,22 @@ def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size:
     long = prefix.select(F.col(FILE).alias("_f"), F.col(ROW_NO).alias("_r"), F.inline(F.array(*structs))).filter("nb")
     w = Window.partitionBy("ci").orderBy("_f", "_r")
     sample = long.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(sample_size))
+    # a check reads the payload field of the column's type class: evaluate it
+    # once per class present (at most three variants), not once per column
+    kinds = {}
+    for i, dtype in enumerate(dtypes):
+        if i in cuts:
+            is_num = isinstance(dtype, (NumericType, BooleanType))
+            is_time = isinstance(dtype, (DateType, TimestampType, TimestampNTZType))
+            kinds[1 if is_num else 2 if is_time else 0] = dtype
     flags = []
     for k, n in enumerate(checks):
-        per_col = F.lit(False)
-        for i, dtype in enumerate(dtypes):
+        per_kind = F.lit(False)
+        for kind, dtype in kinds.items():
             field, ftype = _proxy(n, dtype)
-            per_col = F.when(F.col("ci") == i, check_passes(n, F.col(field), ftype, column_checks[n])).otherwise(per_col)
-        flags.append(F.count_if(per_col).alias(f"m{k}"))
+            per_kind = F.when(F.col("kind") == kind, check_passes(n, F.col(field), ftype, column_checks[n])) \
+                .otherwise(per_kind)
+        flags.append(F.count_if(per_kind).alias(f"m{k}"))
     return sample.groupBy("ci").agg(F.count(F.lit(1)).alias("sampled"), *flags)
 
 
@@ -154,11 +192,21 @@ def infer_rules(ts: TableSet, sheets: list[str], column_checks: Mapping, thresho
     checks = candidate_checks(column_checks)
     outcomes: list[Outcome] = []
     rules: dict[str, dict[str, str]] = {}
+    sheets = [s for s in sheets if ts.get(s) is not None and ts.get(s).columns]
+    # two jobs for all tables: the cut-offs, then the samples
+    cuts = cutoffs_for(ts, sheets, sample_size)
+    parts = [sample_stats(ts, s, column_checks, sample_size, cuts=cuts[s]).select(F.lit(k).alias("ti"), "*")
+             for k, s in enumerate(sheets)]
+    stats: dict[str, dict] = {s: {} for s in sheets}
+    if parts:
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        for r in union.collect():
+            stats[sheets[r["ti"]]][r["ci"]] = r
     for sheet in sheets:
         t = ts.get(sheet)
-        if t is None or not t.columns:
-            continue
-        got = {r["ci"]: r for r in sample_stats(ts, sheet, column_checks, sample_size).collect()}
+        got = stats[sheet]
         for i, name in enumerate(t.columns):
             r = got.get(i)
             sampled = r["sampled"] if r else 0
