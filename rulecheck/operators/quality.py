@@ -25,7 +25,7 @@ from ..functions.numbers import (
     to_double,
 )
 from ..functions.text import is_blank_loose
-from ..sources.tables import ROW_NO, TableSet
+from ..sources.tables import FILE, ROW_NO, TableSet
 from .base import (
     DATA_QUALITY,
     DUPLICATE_CHECK,
@@ -206,10 +206,16 @@ def numeric_precision(ts: TableSet, rule: Mapping) -> list[Outcome]:
     fmt_cols: dict[str, Column] = {}
     if formats is not None and present:
         wanted = _unique(present)
-        wide = formats.filter(F.col("field").isin(wanted)).groupBy(F.col("row_no").alias("_fmt_row")).agg(
+        # a sidecar with a ``file`` column addresses rows per file (batches)
+        by_file = "file" in formats.columns
+        keys = [F.col("row_no").alias("_fmt_row")] + ([F.col("file").alias("_fmt_file")] if by_file else [])
+        wide = formats.filter(F.col("field").isin(wanted)).groupBy(*keys).agg(
             *[F.max(F.when(F.col("field") == c, F.col("number_format"))).alias(f"_fmt{k}") for k, c in enumerate(wanted)]
         )
-        frame = t.ordered().join(wide, F.col(ROW_NO) == F.col("_fmt_row"), "left")
+        cond = F.col(ROW_NO) == F.col("_fmt_row")
+        if by_file:
+            cond = cond & (F.col(FILE) == F.col("_fmt_file"))
+        frame = t.ordered().join(wide, cond, "left")
         fmt_cols = {c: F.col(f"_fmt{k}") for k, c in enumerate(wanted)}
     out = []
     for c in columns:

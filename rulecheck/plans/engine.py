@@ -63,17 +63,22 @@ class RunResult:
         extra = ["source_file"] if "source_file" in self.all_rows.columns else []
         return [*extra, *summary_columns(self.style)]
 
+    def _ordered(self) -> DataFrame:
+        # one row per rule (and file): every part ends in a single-partition
+        # aggregate, so one partition sorted locally replaces a range shuffle
+        keys = ["_ord", "source_file"] if "source_file" in self.all_rows.columns else ["_ord"]
+        return self.all_rows.coalesce(1).sortWithinPartitions(*keys)
+
     @property
     def summary(self) -> DataFrame:
-        return self.all_rows.orderBy("_ord", "source_file" if "source_file" in self.all_rows.columns else "_ord") \
-            .select(*self._cols())
+        return self._ordered().select(*self._cols())
 
     @property
     def details(self) -> DataFrame:
         params = F.when(F.col("test_type") != DATA_VALIDATION, F.lit("")).otherwise(
             F.coalesce(F.col("rule_parameters"), F.lit("-")))
         cols = [*self._cols(), params.alias("rule_parameters")]
-        return self.all_rows.orderBy("_ord").select(*cols)
+        return self._ordered().select(*cols)
 
 
 def _section(config: Mapping, path: str):
@@ -225,7 +230,7 @@ def _execution(ts: TableSet, all_rows: DataFrame, row_tables: list[str], inferre
     )))
     long_rows = total.select(F.lit("Total Rows Processed").alias("metric"), F.col("n").cast("string").alias("value"),
                              F.lit(pos).alias("_ord"))
-    return long_stats.unionByName(long_rows).orderBy("_ord").select("metric", "value")
+    return long_stats.unionByName(long_rows).coalesce(1).sortWithinPartitions("_ord").select("metric", "value")
 
 
 def run_fields(ts: TableSet, config: Mapping, by_file: bool = False) -> RunResult:
