@@ -301,6 +301,8 @@ COLUMN_CHECKS = {
 }
 SHEET_CHECKS = {"customer_text": {"required": True}, "orders_dates": {"required": True},
                 "events_cells": {}, "warehouse": {"required": False}, "ledger": {"required": True}}
+REQUIRED_CHECKS = {"orders": {"required": True}, "customer": {}, "events": {"required": False},
+                   "warehouse": {"required": False}, "ledger": {"required": True}}
 FIELDS = {
     "customer_text": {"cust_id": ["numeric_only"], "email": ["email"], "phone": ["phone_number"],
                       "c_acctbal": ["amount"], "segment": ["text_only"], "CUST_ID": ["numeric_only"],
@@ -410,8 +412,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "table_existence": _one(lambda ts: existence.table_list(ts, EXPECTED_TABLES), ["orders", "lineitem", "customer"]),
         "column_existence": _one(lambda ts: existence.table_columns(ts, EXPECTED_COLUMNS), ["orders", "customer"]),
-        "required_tables": _one(lambda ts: existence.required_tables(ts, SHEET_CHECKS)[0],
-                                ["customer_text", "orders_dates", "events_cells"], "fields"),
+        "required_tables": _one(lambda ts: existence.required_tables(ts, REQUIRED_CHECKS)[0],
+                                ["orders", "customer", "events"], "fields"),
         "duplicate_single": _kpi_section(quality.duplicate_check, DUP_SINGLE, ["orders"]),
         "duplicate_multi": _kpi_section(quality.duplicate_check, DUP_MULTI, ["lineitem"]),
         "duplicate_null_keys": _kpi_section(quality.duplicate_check, DUP_NULLS, ["orders_keys"]),

@@ -514,11 +514,26 @@ def batch_by_file():
     return " UNION ALL ".join(f"SELECT {p}" for p in parts)
 
 
+def required_tables_catalog():
+    rows = ", ".join(f"('{t}', {str((r or {}).get('required', True)).upper()}, {i})"
+                     for i, (t, r) in enumerate(C.REQUIRED_CHECKS.items()))
+    return (
+        f"SELECT e.name AS sheet_name, 'Sheet' AS field, 'Sheet Validation' AS test_type, "
+        "'Sheet Existence Testing' AS test_name, "
+        "CASE WHEN t.table_name IS NOT NULL THEN 'PASS' WHEN e.req THEN 'FAIL' ELSE 'SKIPPED' END AS status, "
+        "CAST(CASE WHEN t.table_name IS NULL AND e.req THEN 1 ELSE 0 END AS BIGINT) AS failed_count, "
+        "CAST(NULL AS BIGINT) AS total_checked, CAST(NULL AS BIGINT) AS passed_count "
+        f"FROM (VALUES {rows}) e(name, req, ord) "
+        "LEFT JOIN (SELECT DISTINCT table_name FROM information_schema.tables "
+        "WHERE table_name IN ('orders', 'customer', 'events')) t ON t.table_name = e.name"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "table_existence": table_existence(),
         "column_existence": column_existence(),
-        "required_tables": required_tables(),
+        "required_tables": required_tables_catalog(),
         "duplicate_single": _dup(C.DUP_SINGLE, []),
         "duplicate_multi": _dup(C.DUP_MULTI, []),
         "duplicate_null_keys": _dup(C.DUP_NULLS, ["orders_keys"]),
