@@ -403,6 +403,33 @@ def _batch(spark, d):
     return run_fields(ts, BATCH_CONFIG, by_file=True).summary
 
 
+STREAM_FIELDS = {"value": ["number"], "event_type": ["text_only"], "user_text": ["numeric_only", "email"]}
+_STREAM_RUNS = [0]
+
+
+def _stream_counts(spark, d):
+    """Cell checks over ``events`` read as a file STREAM (Structured
+    Streaming, running counts in complete mode); the query is driven to the
+    end of the available files and its result table is returned."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    from .streaming.cells import cell_counts_stream
+
+    schema = spark.read.parquet(os.path.join(d, "events.parquet")).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    stream = stream.selectExpr(*DERIVED["events_cells"][1])
+    name = f"stream_counts_{uuid.uuid4().hex[:8]}"
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), name)
+    q = (cell_counts_stream(stream, "events_cells", STREAM_FIELDS, COLUMN_CHECKS).writeStream
+         .outputMode("complete").format("memory").queryName(name).option("checkpointLocation", ckpt).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.table(name)
+
+
 def _run_kpi(spark, d):
     ts = tables(spark, d, KPI_RULESET_TABLES)
     return run_kpi(ts, KPI_RULESET, as_of=STALE_AS_OF).summary
@@ -452,4 +479,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "exec_summary_inferred": _exec_inferred,
         "run_kpi_ruleset": _run_kpi,
         "batch_by_file": _batch,
+        "stream_cell_counts": _stream_counts,
     }

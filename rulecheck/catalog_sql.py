@@ -529,6 +529,19 @@ def required_tables_catalog():
     )
 
 
+def stream_counts():
+    parts = []
+    for column, checks in C.STREAM_FIELDS.items():
+        num = column in NUMERIC
+        nb = nonblank(column, num)
+        for check in checks:
+            parts.append(f"SELECT 'events_cells' AS sheet_name, '{column}' AS field, '{check}' AS test_name, "
+                         f"CAST(COUNT(*) FILTER (WHERE {nb}) AS BIGINT) AS total_checked, "
+                         f"CAST(COUNT(*) FILTER (WHERE {nb} AND NOT {check_ok(check, column, num)}) AS BIGINT) "
+                         "AS failed_count FROM events_cells")
+    return C._sql_with(["events_cells"]) + " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "table_existence": table_existence(),
@@ -571,4 +584,5 @@ def oracle_sql() -> dict[str, str]:
         "exec_summary_inferred": exec_inferred(),
         "run_kpi_ruleset": run_kpi_ruleset(),
         "batch_by_file": batch_by_file(),
+        "stream_cell_counts": stream_counts(),
     }

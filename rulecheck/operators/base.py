@@ -59,6 +59,8 @@ class Outcome:
     counts: DataFrame | None = None
     # text for the details report
     params: str | None = None
+    # replacement outcome if the plan fails to analyse (set by the engine)
+    on_error: object | None = None
 
     @property
     def kind(self) -> str:

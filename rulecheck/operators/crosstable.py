@@ -19,7 +19,6 @@ from ..functions.numbers import RuleError, to_double
 from ..functions.text import key_text, norm_text
 from ..sources.tables import FILE, ROW_NO, TableSet
 from .base import (
-    CONFIGURATION,
     CROSS_SHEET,
     DATA_VALIDATION,
     RECONCILIATION,
@@ -131,5 +130,3 @@ def cross_sheet(ts: TableSet, rule: Mapping) -> list[Outcome]:
         raise RuleError(f"Unsupported cross-sheet validation type: {vtype}")
     return [Outcome(src_sheet, name, DATA_VALIDATION, CROSS_SHEET, counts=counts)]
 
-
-__all__ = ["reconciliation", "cross_sheet", "CONFIGURATION"]

@@ -88,29 +88,47 @@ def _section(config: Mapping, path: str):
     return node
 
 
-def _analysed(outcomes: list[Outcome]) -> list[Outcome]:
-    """Force analysis of every plan now, so a bad rule fails alone. The
-    row-local predicates of one frame are analysed together (one analysis)."""
-    by_frame: dict[int, list[Outcome]] = {}
-    for o in outcomes:
-        if o.kind == "rowlocal":
-            by_frame.setdefault(id(o.frame), []).append(o)
-        elif o.kind == "counts":
-            o.counts.schema
-    for group in by_frame.values():
-        exprs = [(o.fail if o.fail is not None else o.weight).alias(f"_x{k}") for k, o in enumerate(group)]
-        group[0].frame.select(*exprs).schema
-    return outcomes
-
-
 _RULE_ERRORS = (RuleError, KeyError, TypeError, ValueError, AnalysisException)
 
 
 def _bind(fn: Callable[[], list[Outcome]], on_error: Callable[[], Outcome]) -> list[Outcome]:
+    """Bind one rule; a binding error becomes ``on_error()``. Plans are
+    analysed later, all predicates of a frame together (``_analysed``)."""
     try:
-        return _analysed(fn())
+        outs = fn()
     except _RULE_ERRORS:
         return [on_error()]
+    for o in outs:
+        o.on_error = on_error
+    return outs
+
+
+def _expr(o: Outcome):
+    return o.fail if o.fail is not None else o.weight
+
+
+def _analysed(outcomes: list[Outcome]) -> list[Outcome]:
+    """Analyse every plan now, so a bad rule fails alone: the row-local
+    predicates of one frame in ONE analysis; only if that fails, one by one.
+    (DataFrame-built plans were analysed when they were built.)"""
+    by_frame: dict[int, list[int]] = {}
+    out = list(outcomes)
+    for i, o in enumerate(out):
+        if o.kind == "rowlocal":
+            by_frame.setdefault(id(o.frame), []).append(i)
+    for idx in by_frame.values():
+        frame = out[idx[0]].frame
+        try:
+            frame.select(*[_expr(out[i]).alias(f"_x{k}") for k, i in enumerate(idx)]).schema
+            continue
+        except AnalysisException:
+            pass
+        for i in idx:
+            try:
+                frame.select(_expr(out[i]).alias("_x")).schema
+            except AnalysisException:
+                out[i] = out[i].on_error() if callable(out[i].on_error) else out[i]
+    return out
 
 
 def kpi_outcomes(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = None) -> list[Outcome]:
@@ -161,7 +179,7 @@ def kpi_outcomes(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = N
                     out += _bind(lambda rule=rule, fn=fn: fn(ts, rule), cfg_error(rule, i))
         except _RULE_ERRORS:
             out.append(Outcome("Configuration", test_name, CONFIGURATION, test_name, failed=1))
-    return out
+    return _analysed(out)
 
 
 def run_kpi(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = None) -> RunResult:
@@ -173,6 +191,8 @@ def run_kpi(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = None)
 
 def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], column_checks: Mapping,
                by_file: bool = False):
+    """Summary outcomes of every (table, column, check) and the plan of the
+    failed-cells pass (checks that could not be bound are left out of it)."""
     outcomes, plan = [], []
     for sheet, fmap in column_rules.items():
         for column, checks in fmap.items():
@@ -186,6 +206,8 @@ def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], col
                     lambda sheet=sheet, column=column, check=check: Outcome(
                         sheet, column, CONFIGURATION, check, failed=1, status="FAIL")))
                 plan.append((sheet, column, check, params))
+    outcomes = _analysed(outcomes)
+    plan = [p for p, o in zip(plan, outcomes) if o.test_type != CONFIGURATION]
     return outcomes, plan
 
 

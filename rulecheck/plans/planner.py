@@ -25,7 +25,6 @@ KPI_SUMMARY_SCHEMA = (
     "sheet_name string, field string, test_type string, test_name string, status string, failed_count long"
 )
 FIELDS_SUMMARY_SCHEMA = KPI_SUMMARY_SCHEMA + ", total_checked long, passed_count long"
-_INTERNAL = "_ord int, rule_parameters string"
 
 KPI_COLUMNS = ["sheet_name", "field", "test_type", "test_name", "status", "failed_count"]
 FIELDS_COLUMNS = KPI_COLUMNS + ["total_checked", "passed_count"]

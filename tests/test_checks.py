@@ -201,3 +201,15 @@ def test_inference_block_cutoffs_match_single_block(spark):
     big = sorted(tuple(r) for r in infer.sample_stats(ts, "S", checks, 7).collect())
     assert small == big
     assert [r[1] for r in big] == [7, 7]  # both columns sampled to the limit
+
+
+def test_bad_cell_check_is_isolated(spark):
+    ts, checks = _field_book(spark)
+    bad = dict(checks, date={})  # no format: the date check cannot be bound
+    cfg = {"sheet_checks": {"Employee Details": {}}, "column_checks": bad,
+           "fields": {"Employee Details": {"Joining_Date": ["date"], "Employee_ID": ["numeric_only"]}}}
+    res = run_fields(ts, cfg)
+    s = {(r.field, r.test_type): (r.status, r.failed_count) for r in res.summary.collect()}
+    assert s[("Joining_Date", "Configuration Validation")] == ("FAIL", 1)
+    assert s[("Employee_ID", "Data Validation")] == ("FAIL", 1)
+    assert {r.field for r in res.failed.collect()} == {"Employee_ID"}
