@@ -150,7 +150,7 @@ JOINED_SQL = {
         "SELECT conv_id, CASE WHEN turn = 1 AND conv_id % 4 = 0 THEN 'ASSISTANT' ELSE 'User ' END AS first_role "
         "FROM conversations WHERE turn <= 1 "
         "UNION ALL SELECT conv_id + 100000 AS conv_id, CASE WHEN conv_id % 2 = 0 THEN '' ELSE 'user' END AS first_role "
-        "FROM conversations WHERE turn = 0 AND conv_id % 6 = 0"
+        "FROM conversations WHERE turn = 0"
     ),
 }
 

@@ -226,9 +226,10 @@ def infer_rules(ts: TableSet, sheets: list[str], column_checks: Mapping, thresho
 
 def inference_frame(ts: TableSet, sheets: list[str], column_checks: Mapping,
                     threshold: float = DEFAULT_MATCH_THRESHOLD, sample_size: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
-    """Rule determination as a DataFrame computed entirely in Spark:
-    ``(sheet_name, field, test_name, status, sample_count, match_rate)``.
-    The percentage label rounds half-to-even like Python's ``:.0%``."""
+    """Rule determination as a DataFrame: ``(sheet_name, field, test_name,
+    status, sample_count, match_rate)``; the decision itself is made by Spark
+    expressions (only the per-column sampling cut-offs are collected). The
+    percentage label rounds half-to-even like Python's ``:.0%``."""
     checks = candidate_checks(column_checks)
     parts = []
     for sheet in sheets:

@@ -213,3 +213,25 @@ def test_bad_cell_check_is_isolated(spark):
     assert s[("Joining_Date", "Configuration Validation")] == ("FAIL", 1)
     assert s[("Employee_ID", "Data Validation")] == ("FAIL", 1)
     assert {r.field for r in res.failed.collect()} == {"Employee_ID"}
+
+
+def test_kpi_zero_denominator_and_null_keys(spark):
+    rows = [("P1", 1, 100.0, 50.0), ("P1", 2, 0.0, 10.0), ("P2", 1, 0.0, 0.0), ("P2", 2, 80.0, 120.0),
+            (None, None, 5.0, 1.0), (None, None, 5.0, 1.0), ("P3", 1, 10.0, None)]
+    df = spark.createDataFrame(rows, "PracticeCode string, FiscalMonth int, Current_Charges double, "
+                                     "AssociatedPayments double")
+    ts = TableSet.from_frames(spark, {"KPI": df})
+    gcr = {"name": "gcr", "validationtype": "threshold", "formula": "(AssociatedPayments / Current_Charges) * 100",
+           "threshold": 100, "operator": "<="}
+    # 10/0 -> inf fails; 0/0 -> missing passes; 120/80 -> 150 fails; NULL payments -> missing passes
+    assert _counts(spark, quality.formula_rule(ts, gcr)) == [("gcr", "F", 2)]
+    dup = {"sheetname": "KPI", "columns": ["PracticeCode", "FiscalMonth"]}
+    # the two all-NULL key rows are ignored
+    assert _counts(spark, quality.duplicate_check(ts, dup)) == [("PracticeCode, FiscalMonth", "P", 0)]
+    dup1 = {"sheetname": "KPI", "columns": ["PracticeCode"]}
+    assert _counts(spark, quality.duplicate_check(ts, dup1)) == [("PracticeCode", "F", 4)]
+    two = {"name": "t2", "sheet": "KPI", "metric": "AssociatedPayments", "previousmetric": "Current_Charges",
+           "operator": ">", "threshold": 30}
+    # groups (PracticeCode [+FiscalMonth absent: only FiscalYear/FiscalMonth are added]): P1 m1 50 vs 100 -> 50 %,
+    # P1 m2 prev 0 skipped, P2 m1 prev 0 skipped, P2 m2 120 vs 80 -> 50 %, P3 m1 NULL sum = 0 vs 10 -> 100 %
+    assert _counts(spark, trend.trend(ts, dict(two, distinctcolumn="PracticeCode"))) == [("t2", "F", 3)]
