@@ -145,12 +145,18 @@ class TableSet:
         return self
 
     def add_path(self, name: str, path: str, fmt: str | None = None,
-                 na_tokens: Iterable[str] | None = None, **options) -> TableSet:
-        """Add a table read from a file or directory (lazy; schema only)."""
+                 na_tokens: Iterable[str] | None = None, schema=None, **options) -> TableSet:
+        """Add a table read from a file or directory (lazy; schema only).
+
+        CSV: header row, pandas' missing tokens, and the column types inferred
+        like pandas does - which costs a pass over the data; give ``schema``
+        (DDL string or StructType) to skip it on large inputs."""
         fmt = fmt or _FORMATS.get(os.path.splitext(path)[1].lower(), "parquet")
         reader = self.spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
         if fmt == "csv":
-            options = {"header": "true", "inferSchema": "true", **options}
+            options = {"header": "true", "inferSchema": "false" if schema is not None else "true", **options}
             if na_tokens is None:
                 na_tokens = PANDAS_NA_TOKENS
         raw = reader.options(**options).load(path)
@@ -168,15 +174,17 @@ class TableSet:
         return _clean(with_order, na_tokens)
 
     def add_batch(self, name: str, path: str, fmt: str = "csv", glob: str | None = None,
-                  na_tokens: Iterable[str] | None = None, **options) -> TableSet:
+                  na_tokens: Iterable[str] | None = None, schema=None, **options) -> TableSet:
         """Many files as ONE table (all files under ``path``, recursively,
         matching ``glob``; ``~$`` lock files skipped). Files may differ in
         columns (Parquet: merged schema). The file name is the hidden ``_file``
         column, so checks can be grouped per source file in one query."""
         reader = self.spark.read.format(fmt).option("recursiveFileLookup", "true")
         reader = reader.option("pathGlobFilter", glob or f"[!~]*.{fmt}")
+        if schema is not None:
+            reader = reader.schema(schema)
         if fmt == "csv":
-            options = {"header": "true", "inferSchema": "true", **options}
+            options = {"header": "true", "inferSchema": "false" if schema is not None else "true", **options}
             if na_tokens is None:
                 na_tokens = PANDAS_NA_TOKENS
         if fmt == "parquet":
