@@ -6,8 +6,9 @@ fails. A previous value that is missing or 0 is skipped.
 * aggregate: sum the metric per ``groupbycolumns`` (NULL keys dropped, values
   made numeric with unparsable -> 0), then compare each group with the
   previous group of the same first column, ordered by the other columns.
-  Plan: partial aggregate + shuffle on all keys, then a window partitioned
-  on the first key over the (already small) aggregated rows.
+  Plan: partial aggregate + shuffle on all keys, then ``lag_by_range`` over
+  the aggregated rows (range partitions + a per-partition carry), so no task
+  ever holds a whole first-column group.
 * two-column: sum the metric and its previous-period column per
   ``distinctcolumn`` (+ FiscalYear / FiscalMonth when present) and compare
   the two sums. One aggregate, no window.
@@ -18,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, underscored
@@ -31,6 +32,42 @@ PERIOD_COLUMNS = ("FiscalYear", "FiscalMonth")
 DEFAULT_DISTINCT = "PracticeCode"
 
 
+def lag_by_range(agg: DataFrame, first: str, order: list[str], value: str, parts: int) -> DataFrame:
+    """``agg`` plus ``_prev``: ``lag(value)`` within ``first`` in ``order``
+    order, without a window whose partition holds a whole ``first`` group.
+
+    The (unique-keyed) rows are range-partitioned on all keys, so a hot
+    ``first`` value is spread over several balanced, contiguous partitions.
+    The lag is taken inside each (partition, first) group; the only rows that
+    may need a value from an earlier partition are the first row of each
+    partition. A table with one row per partition (its first key; its last key
+    and value) gives them that value: within each ``first`` value, the last
+    partition-end before the partition-start. That table is bounded by the
+    number of partitions, so it is broadcast back."""
+    keys = [first] + order
+    # The range bounds come from sampling the input; sorting each input
+    # partition first makes that sample - and so every row's partition -
+    # the same wherever this plan is (re)computed.
+    ranged = (agg.select(*keys, value).sortWithinPartitions(*keys)
+              .repartitionByRange(parts, *[F.col(k) for k in keys])
+              .withColumn("_pid", F.spark_partition_id()))
+    w_local = Window.partitionBy("_pid", first).orderBy(*order)
+    local = ranged.withColumn("_prev", F.lag(value).over(w_local))
+    ends = ranged.groupBy("_pid").agg(
+        F.min(F.struct(*keys, F.col(value).alias("_v"))).alias("_lo"),
+        F.max(F.struct(*keys, F.col(value).alias("_v"))).alias("_hi"))
+    bounds = ends.select(F.inline(F.array(
+        F.struct(*[F.col(f"_lo.{k}").alias(k) for k in keys], F.lit(0).alias("_kind"),
+                 F.lit(None).cast("double").alias("_v")),
+        F.struct(*[F.col(f"_hi.{k}").alias(k) for k in keys], F.lit(1).alias("_kind"),
+                 F.col("_hi._v").cast("double").alias("_v")))))
+    w_carry = Window.partitionBy(first).orderBy(*order, "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (bounds.withColumn("_carry", F.last("_v", ignorenulls=True).over(w_carry))
+             .filter(F.col("_kind") == 0).select(*keys, "_carry"))
+    out = local.join(F.broadcast(carry), keys, "left")
+    return out.withColumn("_prev", F.coalesce(F.col("_prev"), F.col("_carry"))).drop("_carry", "_pid")
+
+
 def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
     sheet, name = rule["sheet"], rule["name"]
     metric, previous = rule["metric"], rule["previousmetric"]
@@ -57,11 +94,11 @@ def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
         keys_ok = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in groups])
         agg = t.df.filter(keys_ok).groupBy(*[col(names[g]).alias(f"_g{k}") for k, g in enumerate(groups)]).agg(
             F.sum(F.coalesce(num(metric), F.lit(0.0))).alias("_cur"))
-        w = Window.partitionBy("_g0").orderBy(*[f"_g{k}" for k in range(1, len(groups))])
-        prev = F.lag("_cur", 1).over(w)
-        dev = pct_deviation(F.col("_cur"), prev)
+        parts = int(ts.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        lagged = lag_by_range(agg, "_g0", [f"_g{k}" for k in range(1, len(groups))], "_cur", parts)
+        dev = pct_deviation(F.col("_cur"), F.col("_prev"))
         fail = dev.isNotNull() & apply_operator(dev, op, threshold)
-        counts = agg.select(F.coalesce(fail, F.lit(False)).alias("_f")).agg(
+        counts = lagged.select(F.coalesce(fail, F.lit(False)).alias("_f")).agg(
             F.count_if("_f").alias("failed_count"))
     else:
         gcols = [distinct] + [c for c in PERIOD_COLUMNS if c in names]

@@ -235,3 +235,23 @@ def test_kpi_zero_denominator_and_null_keys(spark):
     # groups (PracticeCode [+FiscalMonth absent: only FiscalYear/FiscalMonth are added]): P1 m1 50 vs 100 -> 50 %,
     # P1 m2 prev 0 skipped, P2 m1 prev 0 skipped, P2 m2 120 vs 80 -> 50 %, P3 m1 NULL sum = 0 vs 10 -> 100 %
     assert _counts(spark, trend.trend(ts, dict(two, distinctcolumn="PracticeCode"))) == [("t2", "F", 3)]
+
+
+def test_lag_by_range_matches_window(spark):
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(7)
+    rows = set()
+    for _ in range(400):
+        g0 = "HOT" if rnd.random() < 0.5 else f"k{rnd.randint(0, 12)}"
+        rows.add((g0, rnd.randint(2000, 2003), rnd.randint(1, 12)))
+    data = [(g, y, m, float(rnd.randint(0, 50))) for g, y, m in sorted(rows)]
+    agg = spark.createDataFrame(data, "g0 string, y int, m int, v double")
+    want = agg.withColumn("_prev", F.lag("v").over(Window.partitionBy("g0").orderBy("y", "m")))
+    want = sorted(tuple(r) for r in want.collect())
+    for parts in (1, 3, 7, 25):
+        got = trend.lag_by_range(agg, "g0", ["y", "m"], "v", parts).select("g0", "y", "m", "v", "_prev")
+        assert sorted(tuple(r) for r in got.collect()) == want
