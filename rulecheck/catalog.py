@@ -11,6 +11,7 @@ oracles that depend on row order only use tables stored in key order
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -181,17 +182,18 @@ def tables(spark: SparkSession, d: str, names: list[str]) -> TableSet:
     return ts
 
 
-_VIEWS_FOR: dict[int, str] = {}
+_BASES = ("lineitem", "orders", "customer", "nation", "conversations")
 
 
 def _joined(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """Spark side of a joined derivation: the same SQL over temp views of
-    the base tables (the views are per-session names, not data copies)."""
-    if _VIEWS_FOR.get(id(spark)) != d:
-        for t in ("lineitem", "orders", "customer", "nation", "conversations"):
-            spark.read.parquet(os.path.join(d, f"{t}.parquet")).createOrReplaceTempView(t)
-        _VIEWS_FOR[id(spark)] = d
-    return spark.sql(JOINED_SQL[name].replace('"', "`"))
+    """Spark side of a joined derivation: the same SQL, run over private temp
+    views of the base tables of ``d`` (names, not data copies; named so they
+    never collide with a caller's views)."""
+    tag = "rc_" + format(abs(hash(os.path.abspath(d))) % (1 << 40), "x")
+    for t in _BASES:
+        spark.read.parquet(os.path.join(d, f"{t}.parquet")).createOrReplaceTempView(f"{tag}_{t}")
+    sql = re.sub(r"\b(" + "|".join(_BASES) + r")\b", lambda m: f"{tag}_{m.group(1)}", JOINED_SQL[name])
+    return spark.sql(sql.replace('"', "`"))
 
 
 def _sql_with(names: list[str]) -> str:

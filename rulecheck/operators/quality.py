@@ -62,14 +62,17 @@ def duplicate_check(ts: TableSet, rule: Mapping) -> list[Outcome]:
         return [missing_columns(sheet, missing, DATA_QUALITY, DUPLICATE_CHECK)]
     keys = _unique(columns)
     some_key = reduce(lambda a, b: a | b, [col(c).isNotNull() for c in keys])
-    counts = (
-        t.df.select(*[col(c) for c in keys])
+    per_file = [F.col(FILE)] if FILE in t.df.columns else []  # batch runs: duplicates within each file
+    groups = (
+        t.df.select(*[col(c) for c in keys], *per_file)
         .filter(some_key)
-        .groupBy(*[col(c) for c in keys])
+        .groupBy(*[col(c) for c in keys], *per_file)
         .count()
-        .filter(F.col("count") > 1)
-        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("failed_count"))
     )
+    # rows of groups with more than one member (a file without any still gets its 0)
+    total = F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count")).otherwise(F.lit(0))), F.lit(0)) \
+        .alias("failed_count")
+    counts = groups.groupBy(*per_file).agg(total) if per_file else groups.agg(total)
     return [Outcome(sheet, ", ".join(columns), DATA_QUALITY, DUPLICATE_CHECK, counts=counts)]
 
 

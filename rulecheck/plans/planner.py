@@ -123,7 +123,8 @@ def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "
         else:
             c = o.counts
             total = col("total_checked").cast("long") if "total_checked" in c.columns else F.lit(None).cast("long")
-            parts.append(c.select(F.lit(None).cast("string").alias("source_file"), *_meta(i, o),
+            src = col("_file").cast("string") if "_file" in c.columns else F.lit(None).cast("string")
+            parts.append(c.select(src.alias("source_file"), *_meta(i, o),
                                   col("failed_count").cast("long").alias("failed_count"), total.alias("total_checked")))
     for frame, items in frames.values():
         parts.append(_fused(frame, items, group))

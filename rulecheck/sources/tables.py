@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 from ..functions.names import col
 
@@ -95,11 +95,11 @@ class Table:
 
     @property
     def columns(self) -> list[str]:
-        return list(self.df.columns)
+        return [c for c in self.df.columns if c not in HIDDEN]
 
     @property
     def schema(self):
-        return self.df.schema
+        return StructType([f for f in self.df.schema.fields if f.name not in HIDDEN])
 
     def dtype(self, column: str):
         return self.df.schema[column].dataType
@@ -254,6 +254,16 @@ class TableSet:
     def formats_for(self, name: str) -> DataFrame | None:
         return self.formats.get(name)
 
+    def with_file_column(self) -> TableSet:
+        """The same tables whose frames also carry the hidden ``_file``
+        column, so checks can be grouped per source file (batch runs)."""
+        out = TableSet(self.spark, formats=dict(self.formats))
+        for name, t in self.tables.items():
+            framed = t.ordered().drop(ROW_NO) if t.ordered_df is not None else t.df.withColumn(
+                FILE, F.lit(None).cast("string"))
+            out.tables[name] = Table(name, framed, t.ordered_df, source=t.source)
+        return out
+
     def catalogue(self) -> DataFrame:
         """``(table_name, column_name, ordinal)`` of every table: schema metadata."""
         rows = [(t, c, i) for t, tab in self.tables.items() for i, c in enumerate(tab.columns)]

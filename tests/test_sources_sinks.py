@@ -60,3 +60,25 @@ def test_batch_by_file_and_sinks(spark):
     assert back.count() == res.failed.count()
     details = spark.read.parquet(parts["details"]).filter("test_name = 'amount'").select("rule_parameters").first()[0]
     assert details == "min_value=0, max_value=100"
+
+
+def test_kpi_batch_by_file(spark):
+    from rulecheck import run_kpi
+
+    folder = tempfile.mkdtemp(prefix="rulecheck-kpibatch-")
+    _write_csvs(folder, n_files=2, rows=120)
+    with open(os.path.join(folder, "part1.csv"), "a") as fh:
+        fh.write("0,1,dup\n1,2,dup\n")  # two duplicate ids in part1 only
+    ts = TableSet(spark).add_batch("Sheet1", folder, fmt="csv", inferSchema="false")
+    cfg = {"sheetlist": ["Sheet1"],
+           "dataqualityvalidation": {"duplicatecheck": [{"sheetname": "Sheet1", "columns": ["id"]}],
+                                     "nullcheck": [{"sheetname": "Sheet1", "columns": ["score"]}]}}
+    rows = run_kpi(ts, cfg, by_file=True).summary.collect()
+    got = {(r.source_file, r.test_name): r.failed_count for r in rows if r.source_file}
+    nas = sum(1 for i in range(120) if i % 50 == 7)
+    assert got[("part0.csv", "Duplicate Check")] == 0
+    assert got[("part1.csv", "Duplicate Check")] == 4
+    assert got[("part0.csv", "Null Check")] == nas and got[("part1.csv", "Null Check")] == nas
+    assert any(r.source_file is None and r.test_name == "Sheet Existence Testing" for r in rows)
+    whole = {r.test_name: r.failed_count for r in run_kpi(ts, cfg).summary.collect()}
+    assert whole["Duplicate Check"] == 2 * 120 + 2  # every id repeats across the two files, 0 and 1 thrice
