@@ -177,6 +177,8 @@ def kpi_outcomes(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = N
                 }[path]
                 for i, rule in enumerate(section):
                     out += _bind(lambda rule=rule, fn=fn: fn(ts, rule), cfg_error(rule, i))
+        except KeyError:
+            out.append(Outcome("Configuration", path, CONFIGURATION, test_name, failed=1))
         except _RULE_ERRORS:
             out.append(Outcome("Configuration", test_name, CONFIGURATION, test_name, failed=1))
     return _analysed(out)

@@ -63,3 +63,20 @@ def cell_counts_stream(df: DataFrame, sheet: str, fields: Mapping[str, list], co
             .groupBy("field", "test_name")
             .agg(F.sum("c").alias("total_checked"), F.sum("f").alias("failed_count"))
             .select(F.lit(sheet).alias("sheet_name"), "field", "test_name", "total_checked", "failed_count"))
+
+
+def write_batch_summaries(df: DataFrame, sheet: str, fields: Mapping[str, list], column_checks: Mapping,
+                          path: str, checkpoint: str, fmt: str = "parquet"):
+    """Start a stream that writes, for every micro-batch, the summary of that
+    batch (``batch_id, field, test_name, total_checked, failed_count``) under
+    ``path``, partitioned by batch id. The checkpoint makes the output
+    exactly-once across restarts: a re-run batch overwrites its own
+    partition only. Returns the StreamingQuery."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        summary = (cell_counts_stream(batch, sheet, fields, column_checks)
+                   .withColumn("batch_id", F.lit(batch_id).cast("long")))
+        (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").format(fmt).save(path))
+
+    return (df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

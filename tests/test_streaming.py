@@ -28,3 +28,23 @@ def test_stream_matches_batch(spark):
             if r.test_type == "Data Validation"}
     assert got == want
     assert spark.table("cell_failures").count() == sum(f for _, f in want.values())
+
+
+def test_batch_summaries(spark):
+    from rulecheck.streaming.cells import write_batch_summaries
+
+    batch = spark.read.parquet(f"{SF}/events.parquet")
+    stream = (spark.readStream.schema(batch.schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(SF))
+    scratch = tempfile.mkdtemp(prefix="rulecheck-batches-")
+    q = write_batch_summaries(stream, "events", FIELDS, CHECKS, f"{scratch}/out", f"{scratch}/ckpt")
+    q.awaitTermination(120)
+    out = spark.read.parquet(f"{scratch}/out")
+    got = {(r.field, r.test_name): (r.total_checked, r.failed_count) for r in
+           out.groupBy("field", "test_name").sum("total_checked", "failed_count")
+           .toDF("field", "test_name", "total_checked", "failed_count").collect()}
+    ts = TableSet.from_paths(spark, {"events": f"{SF}/events.parquet"})
+    res = run_fields(ts, {"column_checks": CHECKS, "fields": {"events": FIELDS}})
+    want = {(r.field, r.test_name): (r.total_checked, r.failed_count) for r in res.summary.collect()
+            if r.test_type == "Data Validation"}
+    assert got == want
