@@ -191,7 +191,8 @@ def _joined(spark: SparkSession, d: str, name: str) -> DataFrame:
     never collide with a caller's views)."""
     tag = "rc_" + format(abs(hash(os.path.abspath(d))) % (1 << 40), "x")
     for t in _BASES:
-        spark.read.parquet(os.path.join(d, f"{t}.parquet")).createOrReplaceTempView(f"{tag}_{t}")
+        if not spark.catalog.tableExists(f"{tag}_{t}"):
+            spark.read.parquet(os.path.join(d, f"{t}.parquet")).createOrReplaceTempView(f"{tag}_{t}")
     sql = re.sub(r"\b(" + "|".join(_BASES) + r")\b", lambda m: f"{tag}_{m.group(1)}", JOINED_SQL[name])
     return spark.sql(sql.replace('"', "`"))
 
