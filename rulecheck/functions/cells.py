@@ -69,7 +69,7 @@ def phone_number(c: Column, dtype: DataType, params: Mapping) -> Column:
 
 def in_range(c: Column, dtype: DataType, params: Mapping) -> Column:
     """``min <= float(value) <= max``; unparsable, NaN or non-numeric types fail."""
-    v = to_double(c, dtype)
+    v = to_double(c, dtype, python_float=True)
     lo = float(params.get("min_value", float("-inf")))
     hi = float(params.get("max_value", float("inf")))
     ok = v.isNotNull() & ~F.isnan(v) & (v >= F.lit(lo)) & (v <= F.lit(hi))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -43,19 +44,34 @@ def is_number_type(dtype: DataType) -> bool:
     return isinstance(dtype, NumericType)
 
 
-def to_double(c: Column, dtype: DataType) -> Column:
-    """``float(value)`` / ``pd.to_numeric(errors='coerce')``: NULL when unparsable.
+# Non-ASCII decimal digits and their values, derived from the Unicode
+# database (Python's ``float`` accepts any of them).
+_UNICODE_DIGITS = "".join(ch for ch in map(chr, range(0x80, 0x20000)) if unicodedata.decimal(ch, None) is not None)
+_ASCII_DIGITS = "".join(str(unicodedata.decimal(ch)) for ch in _UNICODE_DIGITS)
 
-    Text is parsed like Python's ``float``: Java's trailing ``d``/``f`` type
-    suffixes (accepted by Spark's cast) are rejected; non-numeric,
-    non-text types (dates, timestamps, binaries) give NULL.
+
+def to_double(c: Column, dtype: DataType, python_float: bool = False) -> Column:
+    """Text or number -> double, NULL when unparsable.
+
+    Default: ``pd.to_numeric(errors='coerce')``. ``python_float``: Python's
+    ``float(value)`` (cell checks, precision), which also takes Unicode
+    whitespace around the number, non-ASCII decimal digits and ``_`` between
+    digits. Both reject Java's ``d``/``f`` type suffixes, which Spark's cast
+    would accept. Non-numeric, non-text types (dates, timestamps) give NULL.
     """
     if isinstance(dtype, (NumericType, BooleanType)):
         return c.cast("double")
-    if isinstance(dtype, StringType):
-        java_suffix = c.rlike(r"(?i)[0-9.][df]\s*$")
-        return F.when(~java_suffix, c.try_cast("double"))
-    return F.lit(None).cast("double")
+    if not isinstance(dtype, StringType):
+        return F.lit(None).cast("double")
+    t = c
+    if python_float:
+        from .text import strip
+
+        t = strip(c)
+        t = F.when(t.rlike("[^\\x00-\\x7f]"), F.translate(t, _UNICODE_DIGITS, _ASCII_DIGITS)).otherwise(t)
+        t = F.when(t.contains("_"), F.regexp_replace(t, "(?<=[0-9])_(?=[0-9])", "")).otherwise(t)
+    java_suffix = t.rlike(r"(?i)[0-9.][df]\s*$")
+    return F.when(~java_suffix, t.try_cast("double"))
 
 
 def no_nan(c: Column) -> Column:

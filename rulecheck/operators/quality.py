@@ -234,6 +234,6 @@ def numeric_precision(ts: TableSet, rule: Mapping) -> list[Outcome]:
                 places = format_decimal_places(fmt_cols[c])
                 fail = v.isNotNull() & F.when(places.isNotNull(), places > p).otherwise(raw_precision_fails(v, p))
         else:
-            fail = raw_precision_fails(to_double(col(c), dtype), p)
+            fail = raw_precision_fails(to_double(col(c), dtype, python_float=True), p)
         out.append(Outcome(sheet, c, DATA_QUALITY, NUMERIC_PRECISION, frame=frame, fail=F.coalesce(fail, F.lit(False))))
     return out
