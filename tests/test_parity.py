@@ -96,3 +96,74 @@ def test_cell_checks_match_python(spark):
             if got[i][k] != v:
                 bad.append((repr(s), k, got[i][k], v))
     assert not bad, bad[:10]
+
+
+def _py_format_places(fmt):
+    if not fmt or fmt == "General":
+        return None
+    section = fmt.split(";")[0]
+    if "." not in section:
+        return 0
+    count = 0
+    for ch in section.split(".")[-1]:
+        if ch not in "0#":
+            break
+        count += 1
+    return count
+
+
+def _py_raw_places(v, p):
+    if not math.isfinite(v):
+        return 0
+    if abs(v - round(v, p)) <= 1e-6:
+        return p
+    t = f"{v:.10f}".rstrip("0")
+    return len(t.split(".")[1]) if "." in t else 0
+
+
+def test_precision_functions_match_python(spark):
+    from rulecheck.functions import numbers
+
+    rnd = random.Random(5)
+    parts = ["0", "#", ",", ".", ";", "%", "[Red]", "-", "$", "General", "E+", "@", "x"]
+    fmts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 8))) for _ in range(600)]
+    fmts += ["#,##0.00", "#,##0.0000", "0", "General", "", "0.00;[Red]-0.000", "0.0#%", "0.", "."]
+    fdf = spark.createDataFrame([(i, f) for i, f in enumerate(fmts)], "i int, f string")
+    got = {r[0]: r[1] for r in fdf.select("i", numbers.format_decimal_places(F.col("f"))).collect()}
+    assert [got[i] for i in range(len(fmts))] == [_py_format_places(f) for f in fmts]
+
+    vals = []
+    for _ in range(3000):
+        d = rnd.randint(0, 7)
+        v = round(rnd.uniform(-1e6, 1e6), d)
+        if rnd.random() < 0.2:
+            v = v + rnd.choice([1e-9, -1e-9, 5e-7, 2e-6])
+        vals.append(v)
+    vals += [0.125, 2.675, 1.005, 123.456, 123.45, 1e15 + 0.3, float("inf")]
+    vdf = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    for p in (0, 2, 3, 6):
+        got = {r[0]: r[1] for r in vdf.select("i", numbers.raw_precision_fails(F.col("v"), p)).collect()}
+        want = [_py_raw_places(v, p) > p for v in vals]
+        assert [got[i] for i in range(len(vals))] == want, p
+
+
+def test_strptime_formats_match_python(spark):
+    rnd = random.Random(3)
+    months = ["Jan", "feb", "MARCH", "April", "Sept", "dec", "Foo"]
+    texts = []
+    for _ in range(1500):
+        y, m, d = rnd.randint(0, 2100), rnd.randint(0, 13), rnd.randint(0, 32)
+        hh, mi = rnd.randint(0, 25), rnd.randint(0, 61)
+        texts.append(rnd.choice([
+            f"{d:02d}/{m:02d}/{y:04d}", f"{d}/{m}/{y}", f"{m}-{d}-{y % 100:02d}", f"{d} {rnd.choice(months)} {y}",
+            f"{y:04d}-{m:02d}-{d:02d} {hh:02d}:{mi:02d}", f"{y:04d}-{m}-{d}  {hh}:{mi}", f"{y}{m:02d}{d:02d}",
+        ]))
+    formats = ["%d/%m/%Y", "%m-%d-%y", "%d %b %Y", "%d %B %Y", "%Y-%m-%d %H:%M", "%Y%m%d"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    from rulecheck.functions.dates import strptime_ok
+
+    got = {r["i"]: r for r in df.select("i", *[strptime_ok(F.col("v"), f).alias(f"f{k}")
+                                                for k, f in enumerate(formats)]).collect()}
+    bad = [(t, f, got[i][f"f{k}"]) for i, t in enumerate(texts) for k, f in enumerate(formats)
+           if got[i][f"f{k}"] != _py_date_ok(t, f)]
+    assert not bad, bad[:10]
