@@ -74,6 +74,20 @@ def to_double(c: Column, dtype: DataType, python_float: bool = False) -> Column:
     return F.when(~java_suffix, t.try_cast("double"))
 
 
+def stable_sum(v: Column) -> Column:
+    """``sum`` of doubles that does not depend on the order of the rows.
+
+    Summed exactly as ``decimal(38,18)`` (each double at its shortest decimal
+    form), so equal multisets give equal sums on any partitioning - as a
+    compensated sum (pandas) practically does - then returned as double.
+    Falls back to the plain double sum when a value or the total does not fit.
+    NULL for a group without values (callers add ``coalesce(.., 0)``)."""
+    d = v.try_cast("decimal(38,18)")
+    exact = F.try_sum(d)
+    unfit = F.count_if(v.isNotNull() & d.isNull()) > 0
+    return F.when(unfit | (exact.isNull() & (F.count(v) > 0)), F.sum(v)).otherwise(exact.cast("double"))
+
+
 def no_nan(c: Column) -> Column:
     """NaN -> NULL (pandas treats both as missing)."""
     return F.nanvl(c, F.lit(None).cast("double"))

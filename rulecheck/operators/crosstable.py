@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, lowered, spaced
-from ..functions.numbers import RuleError, to_double
+from ..functions.numbers import RuleError, stable_sum, to_double
 from ..functions.text import key_text, norm_text
 from ..sources.tables import FILE, ROW_NO, TableSet
 from .base import (
@@ -60,7 +60,7 @@ def reconciliation(ts: TableSet, rule: Mapping) -> list[Outcome]:
         keys_ok = reduce(lambda a, b: a & b, [col(names[m]).isNotNull() for m in match])
         v = F.coalesce(to_double(col(names[value_col]), tab.dtype(names[value_col])), F.lit(0.0))
         return tab.df.filter(keys_ok).groupBy(*[col(names[m]).alias(m) for m in match]).agg(
-            F.sum(v).alias(alias))
+            stable_sum(v).alias(alias))
 
     merged = side(s, sn, src_col, "_src").join(side(t, tn, tgt_col, "_tgt"), on=match, how="full_outer")
     diff = F.abs(F.coalesce(F.col("_src"), F.lit(0.0)) - F.coalesce(F.col("_tgt"), F.lit(0.0)))

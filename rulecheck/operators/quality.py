@@ -22,6 +22,7 @@ from ..functions.numbers import (
     is_number_type,
     raw_precision_fails,
     round_half_even,
+    stable_sum,
     to_double,
 )
 from ..functions.text import is_blank_loose
@@ -120,7 +121,7 @@ def _grouped(t, names: Mapping[str, str], group_cols: list[str], sum_cols: list[
     keys = [col(names[g]).alias(g) for g in group_cols]
     not_null = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in group_cols])
     sums = [
-        F.coalesce(F.sum(to_double(col(names[c]), t.dtype(names[c]))), F.lit(0.0)).alias(c)
+        F.coalesce(stable_sum(to_double(col(names[c]), t.dtype(names[c]))), F.lit(0.0)).alias(c)
         for c in _unique(sum_cols) if c not in group_cols
     ]
     return t.df.filter(not_null).groupBy(*keys).agg(*sums)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, underscored
-from ..functions.numbers import apply_operator, pct_deviation, to_double
+from ..functions.numbers import apply_operator, pct_deviation, stable_sum, to_double
 from ..sources.tables import TableSet
 from .base import DATA_VALIDATION, TREND, Outcome, missing_columns, missing_table
 
@@ -93,7 +93,7 @@ def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
             return [Outcome(sheet, name, DATA_VALIDATION, TREND, failed=0)]
         keys_ok = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in groups])
         agg = t.df.filter(keys_ok).groupBy(*[col(names[g]).alias(f"_g{k}") for k, g in enumerate(groups)]).agg(
-            F.sum(F.coalesce(num(metric), F.lit(0.0))).alias("_cur"))
+            stable_sum(F.coalesce(num(metric), F.lit(0.0))).alias("_cur"))
         parts = int(ts.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         lagged = lag_by_range(agg, "_g0", [f"_g{k}" for k in range(1, len(groups))], "_cur", parts)
         dev = pct_deviation(F.col("_cur"), F.col("_prev"))
@@ -104,8 +104,8 @@ def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
         gcols = [distinct] + [c for c in PERIOD_COLUMNS if c in names]
         keys_ok = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in gcols])
         agg = t.df.filter(keys_ok).groupBy(*[col(names[g]) for g in gcols]).agg(
-            F.coalesce(F.sum(num(metric)), F.lit(0.0)).alias("_cur"),
-            F.coalesce(F.sum(num(previous)), F.lit(0.0)).alias("_prev"))
+            F.coalesce(stable_sum(num(metric)), F.lit(0.0)).alias("_cur"),
+            F.coalesce(stable_sum(num(previous)), F.lit(0.0)).alias("_prev"))
         dev = pct_deviation(F.col("_cur"), F.col("_prev"))
         fail = F.coalesce(dev.isNotNull() & apply_operator(dev, op, threshold), F.lit(False))
         counts = agg.agg(F.count_if(fail).alias("failed_count"))

@@ -77,3 +77,15 @@ def test_to_double_types(spark):
     df = spark.createDataFrame([("1e3",)], "v string")
     assert df.select(numbers.to_double(F.col("v"), StringType())).first()[0] == 1000.0
     assert df.select(numbers.to_double(F.lit(2.5), DoubleType())).first()[0] == 2.5
+
+
+def test_stable_sum_is_order_independent(spark):
+    vals = [0.1] * 10 + [0.01, 0.02, -0.03]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for parts in (1, 3, 13):
+        got = df.repartition(parts).agg(numbers.stable_sum(F.col("v"))).first()[0]
+        assert got == 1.0
+    big = spark.createDataFrame([(1e30,), (1.0,), (None,)], "v double")
+    assert big.agg(numbers.stable_sum(F.col("v"))).first()[0] == 1e30 + 1.0
+    empty = spark.createDataFrame([(None,)], "v double")
+    assert empty.agg(numbers.stable_sum(F.col("v"))).first()[0] is None
