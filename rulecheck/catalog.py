@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import business, cells, crosstable, existence, infer, quality, trend
-from .plans.engine import kpi_outcomes, run_fields, run_inferred, run_kpi
+from .plans.engine import run_fields, run_inferred, run_kpi
 from .plans.planner import materialize, summary_columns
 from .sources.tables import FILE, ROW_NO, TableSet
 
