@@ -395,6 +395,31 @@ def _exec_inferred(spark, d):
     return run_inferred(ts, INFER_CONFIG).execution
 
 
+FIELD_EXIST = {"orders": {"o_orderkey": [], "O_ORDERKEY": [], "o_totalprice": []},
+               "customer": {"c_name": [], "c_phone": []}, "ledger": {"amount": []}}
+
+# cell display formats of ``orders_precision``, derived from ``orders`` (a NULL format = none)
+FORMAT_EXPRS = {
+    "o_totalprice": "CASE o_orderkey % 4 WHEN 0 THEN '#,##0.00' WHEN 1 THEN '#,##0.0000' WHEN 2 THEN 'General' "
+                    "ELSE '0' END",
+    "price_7th": "CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN '0.00;[Red]-0.000' "
+                 "WHEN o_orderkey % 3 = 1 THEN '' ELSE '0.000' END",
+}
+PREC_FORMATS = {"sheetname": "orders_precision", "columns": ["price_7th", "o_totalprice", "price_text"],
+                "precision": 2}
+
+
+def _precision_formats(spark, d):
+    ts = tables(spark, d, ["orders_precision"])
+    base = _read(spark, d, "orders")
+    sidecar = None
+    for field, expr in FORMAT_EXPRS.items():
+        part = base.selectExpr(f"{ROW_NO} AS row_no", f"'{field}' AS field", f"{expr} AS number_format")
+        sidecar = part if sidecar is None else sidecar.unionByName(part)
+    ts.add_formats("orders_precision", sidecar)
+    return _summary(spark, quality.numeric_precision(ts, PREC_FORMATS))
+
+
 BATCH_FIELDS = {"c_acctbal": ["amount"], "s_acctbal": ["amount"], "c_name": ["text_only"], "s_name": ["text_only"],
                 "c_phone": ["phone_number"]}
 BATCH_CONFIG = {"sheet_checks": {"accounts": {}}, "column_checks": COLUMN_CHECKS, "fields": {"accounts": BATCH_FIELDS}}
@@ -444,6 +469,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "column_existence": _one(lambda ts: existence.table_columns(ts, EXPECTED_COLUMNS), ["orders", "customer"]),
         "required_tables": _one(lambda ts: existence.required_tables(ts, REQUIRED_CHECKS)[0],
                                 ["orders", "customer", "events"], "fields"),
+        "field_existence": _one(lambda ts: existence.field_existence(ts, FIELD_EXIST, {"ledger"})[0],
+                                ["orders", "customer"], "fields"),
+        "precision_formats": _precision_formats,
         "duplicate_single": _kpi_section(quality.duplicate_check, DUP_SINGLE, ["orders"]),
         "duplicate_multi": _kpi_section(quality.duplicate_check, DUP_MULTI, ["lineitem"]),
         "duplicate_null_keys": _kpi_section(quality.duplicate_check, DUP_NULLS, ["orders_keys"]),

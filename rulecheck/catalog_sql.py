@@ -542,11 +542,49 @@ def stream_counts():
     return C._sql_with(["events_cells"]) + " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
 
 
+def field_existence():
+    rows = []
+    for sheet, fmap in C.FIELD_EXIST.items():
+        if sheet == "ledger":
+            continue
+        for column in fmap:
+            rows.append(f"('{sheet}', '{column}')")
+    return (
+        f"SELECT e.sheet AS sheet_name, e.col AS field, 'Field Validation' AS test_type, "
+        "'Field Existence Testing' AS test_name, CASE WHEN c.column_name IS NULL THEN 'FAIL' ELSE 'PASS' END AS status, "
+        "CAST(CASE WHEN c.column_name IS NULL THEN 1 ELSE 0 END AS BIGINT) AS failed_count, "
+        "CAST(NULL AS BIGINT) AS total_checked, CAST(NULL AS BIGINT) AS passed_count "
+        f"FROM (VALUES {', '.join(rows)}) e(sheet, col) "
+        "LEFT JOIN (SELECT DISTINCT table_name, column_name FROM information_schema.columns) c "
+        "ON c.table_name = e.sheet AND c.column_name = e.col"
+    )
+
+
+def precision_formats():
+    parts = []
+    for column in C.PREC_FORMATS["columns"]:
+        if column == "price_text":  # text cells are skipped when cell formats are known
+            parts.append(_lit("orders_precision", column, DQ, "Numeric Precision", 0))
+            continue
+        fmt = f"({C.FORMAT_EXPRS[column]})"
+        section = f"split_part({fmt}, ';', 1)"
+        places = (f"(CASE WHEN {fmt} IS NULL OR {fmt} = '' OR {fmt} = 'General' THEN NULL "
+                  f"WHEN position('.' IN {section}) = 0 THEN 0 "
+                  f"ELSE length(regexp_extract({section}, '^.*\.([0#]*)', 1)) END)")
+        v = f"CAST({column} AS DOUBLE)"
+        fail = f"({v} IS NOT NULL AND (CASE WHEN {places} IS NOT NULL THEN {places} > 2 ELSE {_prec_fail(v)} END))"
+        parts.append(_wrap(_kpi("orders_precision", column, DQ, "Numeric Precision", ["orders_precision"],
+                                f"SELECT SUM(CASE WHEN {fail} THEN 1 ELSE 0 END) FROM orders_precision")))
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "table_existence": table_existence(),
         "column_existence": column_existence(),
         "required_tables": required_tables_catalog(),
+        "field_existence": field_existence(),
+        "precision_formats": precision_formats(),
         "duplicate_single": _dup(C.DUP_SINGLE, []),
         "duplicate_multi": _dup(C.DUP_MULTI, []),
         "duplicate_null_keys": _dup(C.DUP_NULLS, ["orders_keys"]),
