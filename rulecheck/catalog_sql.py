@@ -570,7 +570,7 @@ def precision_formats():
         section = f"split_part({fmt}, ';', 1)"
         places = (f"(CASE WHEN {fmt} IS NULL OR {fmt} = '' OR {fmt} = 'General' THEN NULL "
                   f"WHEN position('.' IN {section}) = 0 THEN 0 "
-                  f"ELSE length(regexp_extract({section}, '^.*\.([0#]*)', 1)) END)")
+                  f"ELSE length(regexp_extract({section}, '^.*\\.([0#]*)', 1)) END)")
         v = f"CAST({column} AS DOUBLE)"
         fail = f"({v} IS NOT NULL AND (CASE WHEN {places} IS NOT NULL THEN {places} > 2 ELSE {_prec_fail(v)} END))"
         parts.append(_wrap(_kpi("orders_precision", column, DQ, "Numeric Precision", ["orders_precision"],
