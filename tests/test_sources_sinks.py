@@ -82,3 +82,32 @@ def test_kpi_batch_by_file(spark):
     assert any(r.source_file is None and r.test_name == "Sheet Existence Testing" for r in rows)
     whole = {r.test_name: r.failed_count for r in run_kpi(ts, cfg).summary.collect()}
     assert whole["Duplicate Check"] == 2 * 120 + 2  # every id repeats across the two files, 0 and 1 thrice
+
+
+def test_from_dir_split_set_and_kpi_report(spark):
+    from rulecheck import run_kpi
+
+    folder = tempfile.mkdtemp(prefix="rulecheck-split-")
+    long_name = "Practice Detail With A Very Long Sheet Name"
+    with open(os.path.join(folder, f"{long_name}.csv"), "w") as fh:
+        fh.write("code,reason\nP1,Active\nP2,\n")
+    with open(os.path.join(folder, "KPI.csv"), "w") as fh:
+        fh.write("code,charges\nP1,10.5\nP2,NA\n")
+    with open(os.path.join(folder, "~$KPI.csv"), "w") as fh:
+        fh.write("x\n1\n")
+    spark.range(3).write.parquet(os.path.join(folder, "numbers"))
+    ts = TableSet.from_dir(spark, folder)
+    assert ts.names == ["KPI", long_name[:31], "numbers"]
+    assert ts.get("KPI").df.filter("charges IS NULL").count() == 1
+    cfg = {"sheetlist": ["KPI", long_name[:31], "numbers", "Missing"],
+           "dataqualityvalidation": {"nullcheck": [{"sheetname": long_name[:31], "columns": ["reason"]}]}}
+    res = run_kpi(ts, cfg)
+    out = tempfile.mkdtemp(prefix="rulecheck-kpireport-")
+    for fmt in ("csv", "json"):
+        parts = write_report(res, os.path.join(out, fmt), fmt=fmt)
+        assert set(parts) == {"summary"}
+        back = spark.read.format(fmt).option("header", "true").load(parts["summary"])
+        assert back.count() == res.summary.count()
+    rows = {(r.sheet_name, r.test_name): (r.status, r.failed_count) for r in res.summary.collect()}
+    assert rows[("Missing", "Sheet Existence Testing")] == ("F", 1)
+    assert rows[(long_name[:31], "Null Check")] == ("F", 1)
