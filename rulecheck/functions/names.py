@@ -9,13 +9,16 @@ back-quotes so names like ``PatientAR90+`` or ``Source Values`` work.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=8192)
 def col(name: str) -> Column:
-    """Reference a column by its exact physical name."""
+    """Reference a column by its exact physical name. Column references are
+    immutable and unresolved, so one object per name is shared (cached)."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
