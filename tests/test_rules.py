@@ -53,3 +53,14 @@ def test_example_inferred_rules(spark):
     res = run_inferred(ts, load_rules(os.path.join(HERE, "examples", "inferred_rules.json")))
     assert res.inferred["region"]["r_regionkey"] == "amount"  # 0..4 is within 0..5000; amount outranks numeric_only
     assert res.inferred["customer"]["c_mktsegment"] == "text_only"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from rulecheck.__main__ import main
+
+    out = tmp_path / "report"
+    rules = os.path.join(HERE, "examples", "field_rules.json")
+    assert main(["fields", "--tables", SF, "--rules", rules, "--out", str(out), "--format", "json"]) == 0
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(printed["report"]) == {"summary", "details", "failed_records", "execution_summary"}
+    assert spark.read.json(printed["report"]["summary"]).count() > 0
