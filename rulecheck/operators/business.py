@@ -18,7 +18,7 @@ from ..functions.dates import stale_cutoff, to_timestamp_lenient
 from ..functions.names import col
 from ..functions.numbers import RuleError, apply_operator, to_double
 from ..functions.text import is_blank_norm, norm_text
-from ..sources.tables import TableSet
+from ..sources.tables import FILE, TableSet
 from .base import BUSINESS_RULE, DATA_VALIDATION, Outcome, failed_rule, missing_columns, missing_table
 
 _PRIMARY_KEYS = ("leftcolumn", "column", "referencecolumn", "distinctcolumn", "lookupkeyleft")
@@ -94,7 +94,8 @@ def _lookup_counts(ts: TableSet, t, rule: Mapping):
     if drop_null:
         left = left.filter(col(lk).isNotNull())
     lv = norm_text(col(left_col))
-    left_agg = left.groupBy(col(lk).alias("_k")).agg(F.min(lv).alias("_lmin"), F.max(lv).alias("_lmax"))
+    per_file = [F.col(FILE)] if FILE in left.columns else []  # batch runs: the left table per file
+    left_agg = left.groupBy(col(lk).alias("_k"), *per_file).agg(F.min(lv).alias("_lmin"), F.max(lv).alias("_lmax"))
     rv = norm_text(col(right_col))
     right = lookup.df
     if drop_null:
@@ -105,4 +106,4 @@ def _lookup_counts(ts: TableSet, t, rule: Mapping):
     matched = F.col("_rmin").isNotNull()
     same = (F.col("_lmin") == F.col("_lmax")) & (F.col("_lmin") == F.col("_rmin")) & (F.col("_rmin") == F.col("_rmax"))
     fail = F.when(matched, ~same).otherwise(F.col("_lmax") != F.lit(""))
-    return joined.agg(F.count_if(fail).alias("failed_count"))
+    return joined.groupBy(*per_file).agg(F.count_if(fail).alias("failed_count"))

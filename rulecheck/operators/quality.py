@@ -119,6 +119,8 @@ def _grouped(t, names: Mapping[str, str], group_cols: list[str], sum_cols: list[
         if c not in names:
             raise KeyError(c)
     keys = [col(names[g]).alias(g) for g in group_cols]
+    if FILE in t.df.columns:  # batch runs: groups never span files
+        keys.append(F.col(FILE))
     not_null = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in group_cols])
     sums = [
         F.coalesce(stable_sum(to_double(col(names[c]), t.dtype(names[c]))), F.lit(0.0)).alias(c)
@@ -175,7 +177,8 @@ def formula_rule(ts: TableSet, rule: Mapping, sheet: str = "KPI") -> list[Outcom
     else:
         raise RuleError(f"Unsupported validation type: {vtype}")
     if aggregate:
-        counts = frame.agg(F.count_if(fail).alias("failed_count"))
+        per_file = [F.col(FILE)] if FILE in frame.columns else []
+        counts = frame.groupBy(*per_file).agg(F.count_if(fail).alias("failed_count"))
         return [Outcome(sheet, name, DATA_QUALITY, FORMULA_VALIDATION, counts=counts)]
     return [Outcome(sheet, name, DATA_QUALITY, FORMULA_VALIDATION, frame=frame, fail=fail)]
 

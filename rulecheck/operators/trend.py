@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, underscored
 from ..functions.numbers import apply_operator, pct_deviation, stable_sum, to_double
-from ..sources.tables import TableSet
+from ..sources.tables import FILE, TableSet
 from .base import DATA_VALIDATION, TREND, Outcome, missing_columns, missing_table
 
 # Period columns added to the grouping of a two-column trend.
@@ -87,26 +87,33 @@ def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
     def num(c):
         return to_double(col(names[c]), t.dtype(names[c]))
 
+    per_file = FILE in t.df.columns
+
     if aggregate:
         if len(groups) == 1:
             # one group column: every window partition holds a single row
             return [Outcome(sheet, name, DATA_VALIDATION, TREND, failed=0)]
         keys_ok = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in groups])
-        agg = t.df.filter(keys_ok).groupBy(*[col(names[g]).alias(f"_g{k}") for k, g in enumerate(groups)]).agg(
+        keys = [col(names[g]).alias(f"_g{k}") for k, g in enumerate(groups)]
+        if per_file:  # batch runs: the first group key becomes (file, key), so lags never cross files
+            keys[0] = F.struct(F.col(FILE).alias("f"), col(names[groups[0]]).alias("k")).alias("_g0")
+        agg = t.df.filter(keys_ok).groupBy(*keys).agg(
             stable_sum(F.coalesce(num(metric), F.lit(0.0))).alias("_cur"))
         parts = int(ts.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         lagged = lag_by_range(agg, "_g0", [f"_g{k}" for k in range(1, len(groups))], "_cur", parts)
         dev = pct_deviation(F.col("_cur"), F.col("_prev"))
         fail = dev.isNotNull() & apply_operator(dev, op, threshold)
-        counts = lagged.select(F.coalesce(fail, F.lit(False)).alias("_f")).agg(
-            F.count_if("_f").alias("failed_count"))
+        file_col = [F.col("_g0.f").alias(FILE)] if per_file else []
+        counts = lagged.select(F.coalesce(fail, F.lit(False)).alias("_f"), *file_col).groupBy(
+            *[F.col(FILE)] if per_file else []).agg(F.count_if("_f").alias("failed_count"))
     else:
         gcols = [distinct] + [c for c in PERIOD_COLUMNS if c in names]
         keys_ok = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in gcols])
-        agg = t.df.filter(keys_ok).groupBy(*[col(names[g]) for g in gcols]).agg(
+        file_key = [F.col(FILE)] if per_file else []
+        agg = t.df.filter(keys_ok).groupBy(*[col(names[g]) for g in gcols], *file_key).agg(
             F.coalesce(stable_sum(num(metric)), F.lit(0.0)).alias("_cur"),
             F.coalesce(stable_sum(num(previous)), F.lit(0.0)).alias("_prev"))
         dev = pct_deviation(F.col("_cur"), F.col("_prev"))
         fail = F.coalesce(dev.isNotNull() & apply_operator(dev, op, threshold), F.lit(False))
-        counts = agg.agg(F.count_if(fail).alias("failed_count"))
+        counts = agg.groupBy(*file_key).agg(F.count_if(fail).alias("failed_count"))
     return [Outcome(sheet, name, DATA_VALIDATION, TREND, counts=counts)]

@@ -187,10 +187,10 @@ def kpi_outcomes(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = N
 def run_kpi(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = None, by_file: bool = False) -> RunResult:
     """KPI dialect: ten check families -> one summary DataFrame (P/F).
 
-    ``by_file``: row-local rules and duplicate checks are reported per source
-    file of each table (``source_file``); rules that combine rows across a
-    table (group sums, lookups, reconciliation, cross-table, trend) are
-    reported once for the whole batch (``source_file`` NULL)."""
+    ``by_file``: single-table rules (row-local, duplicates, formulas per
+    group, trends) and lookups are reported per source file (``source_file``);
+    reconciliation and cross-table rules, which pair two tables, are reported
+    once for the whole batch (``source_file`` NULL)."""
     if by_file:
         ts = ts.with_file_column()
         return RunResult(materialize(ts.spark, kpi_outcomes(ts, config, as_of), "kpi", FILE), "kpi")

@@ -111,3 +111,31 @@ def test_from_dir_split_set_and_kpi_report(spark):
     rows = {(r.sheet_name, r.test_name): (r.status, r.failed_count) for r in res.summary.collect()}
     assert rows[("Missing", "Sheet Existence Testing")] == ("F", 1)
     assert rows[(long_name[:31], "Null Check")] == ("F", 1)
+
+
+def test_kpi_batch_group_rules_per_file(spark):
+    from rulecheck import run_kpi
+
+    folder = tempfile.mkdtemp(prefix="rulecheck-kpigroups-")
+    for k in range(2):
+        with open(os.path.join(folder, f"f{k}.csv"), "w") as fh:
+            fh.write("code,month,cur,prev\n")
+            for m in range(1, 7):
+                cur = 100.0 * (2 if (k == 1 and m == 4) else 1)
+                fh.write(f"P1,{m},{cur},100.0\n")
+    ts = TableSet(spark).add_batch("KPI", folder, fmt="csv")
+    cfg = {"trendvalidation": [
+        {"name": "lag", "sheet": "KPI", "metric": "cur", "previousmetric": "x", "operator": ">", "threshold": 30,
+         "aggregate": True, "groupbycolumns": ["code", "month"]},
+        {"name": "two", "sheet": "KPI", "metric": "cur", "previousmetric": "prev", "operator": ">", "threshold": 30,
+         "distinctcolumn": "code"}],
+        "formulavalidation": [{"name": "ratio", "sheetname": "KPI", "validationtype": "threshold",
+                               "formula": "cur / prev * 100", "threshold": 150, "operator": "<=", "aggregate": True,
+                               "groupbycolumns": ["code", "month"], "sourcecolumns": ["cur", "prev"]}]}
+    rows = run_kpi(ts, cfg, by_file=True).summary.collect()
+    got = {(r.source_file, r.field): r.failed_count for r in rows if r.source_file}
+    # f1: month 4 doubles (+100 %) then halves (-50 %) -> 2 lag failures; f0 flat. Months never pair across files.
+    assert got[("f0.csv", "lag")] == 0 and got[("f1.csv", "lag")] == 2
+    # two-column: summed per code per file: f1 700 vs 600 -> 16.7 %, passes
+    assert got[("f0.csv", "two")] == 0 and got[("f1.csv", "two")] == 0
+    assert got[("f0.csv", "ratio")] == 0 and got[("f1.csv", "ratio")] == 1
