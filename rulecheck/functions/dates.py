@@ -35,11 +35,15 @@ _DIRECTIVE_RE = {
     "S": "(6[01]|[0-5][0-9]|[0-9])",
     "f": "([0-9]{1,6})",
     "p": "(am|pm)",
+    "j": "(36[0-6]|3[0-5][0-9]|[12][0-9][0-9]|0[1-9][0-9]|00[1-9]|[1-9][0-9]|0[1-9]|[1-9])",
 }
 # English month names and abbreviations, January first.
 _MONTHS = ["january", "february", "march", "april", "may", "june", "july",
            "august", "september", "october", "november", "december"]
 _MONTHS_ABBR = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+# English weekday names and abbreviations, Monday first.
+_WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+_WEEKDAYS_ABBR = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
 # Java DateTimeFormatter letters for each directive (rendering).
 _JAVA = {"d": "dd", "m": "MM", "Y": "yyyy", "y": "yy", "H": "HH", "I": "hh", "M": "mm",
          "S": "ss", "f": "SSSSSS", "p": "a", "b": "MMM", "B": "MMMM"}
@@ -74,6 +78,10 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
                 out.append(_month_alt(_MONTHS))
             elif d == "b":
                 out.append(_month_alt(_MONTHS_ABBR))
+            elif d == "A":
+                out.append(_month_alt(_WEEKDAYS))
+            elif d == "a":
+                out.append(_month_alt(_WEEKDAYS_ABBR))
             else:
                 raise RuleError(f"unsupported date directive %{d} in {fmt!r}")
             groups.append(d)

@@ -157,8 +157,11 @@ def test_strptime_formats_match_python(spark):
         texts.append(rnd.choice([
             f"{d:02d}/{m:02d}/{y:04d}", f"{d}/{m}/{y}", f"{m}-{d}-{y % 100:02d}", f"{d} {rnd.choice(months)} {y}",
             f"{y:04d}-{m:02d}-{d:02d} {hh:02d}:{mi:02d}", f"{y:04d}-{m}-{d}  {hh}:{mi}", f"{y}{m:02d}{d:02d}",
+            f"{rnd.choice(['Mon', 'tuesday', 'Fri', 'Xyz', 'SUN'])}, {d:02d}/{m:02d}/{y:04d}",
+            f"{y:04d}-{rnd.randint(0, 400):03d}", f"{y:04d}-{rnd.randint(0, 400)}",
         ]))
-    formats = ["%d/%m/%Y", "%m-%d-%y", "%d %b %Y", "%d %B %Y", "%Y-%m-%d %H:%M", "%Y%m%d"]
+    formats = ["%d/%m/%Y", "%m-%d-%y", "%d %b %Y", "%d %B %Y", "%Y-%m-%d %H:%M", "%Y%m%d", "%a, %d/%m/%Y",
+               "%A, %d/%m/%Y", "%Y-%j"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
     from rulecheck.functions.dates import strptime_ok
 
