@@ -255,3 +255,33 @@ def test_lag_by_range_matches_window(spark):
     for parts in (1, 3, 7, 25):
         got = trend.lag_by_range(agg, "g0", ["y", "m"], "v", parts).select("g0", "y", "m", "v", "_prev")
         assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_null_keys_match_each_other_when_kept(spark):
+    left = spark.createDataFrame([("A", "x"), (None, "y"), (None, "y"), ("B", "z"), ("C", "")],
+                                 "k string, v string")
+    right = spark.createDataFrame([("A", "X "), (None, "y"), ("B", "q"), ("B", "z")], "k string, w string")
+    ts = TableSet.from_frames(spark, {"L": left, "R": right})
+    rule = {"name": "m", "type": "lookupmatch", "sheetname": "L", "leftcolumn": "v", "lookupsheet": "R",
+            "lookupkeyleft": "k", "lookupkeyright": "k", "rightcolumn": "w", "dropnullkeys": False}
+    # A matches (case/space-insensitive); NULL matches NULL ('y' = 'y'); B has a mismatching lookup row;
+    # C is unmatched with a blank value -> passes
+    assert _counts(spark, business.business_rule(ts, rule)) == [("m", "F", 1)]
+    rule_drop = dict(rule, dropnullkeys=True)
+    assert _counts(spark, business.business_rule(ts, rule_drop)) == [("m", "F", 1)]
+    right2 = spark.createDataFrame([("A", "x"), (None, "other")], "k string, w string")
+    ts2 = TableSet.from_frames(spark, {"L": left, "R": right2})
+    # NULL key now mismatches (counted once), B unmatched with 'z' -> fails
+    assert _counts(spark, business.business_rule(ts2, rule)) == [("m", "F", 2)]
+
+    src = spark.createDataFrame([(0, None, "p"), (1, None, "q"), (2, "K", "r")], "_row_no long, key string, a string")
+    tgt = spark.createDataFrame([(None, "P"), ("K", "r"), ("Z", "")], "key string, b string")
+    ts3 = TableSet(spark).add_frame("S", src, "_row_no").add_frame("T", tgt)
+    cross = {"name": "c", "sourcesheet": "S", "targetsheet": "T", "matchcolumn": "key", "sourcecolumn": "a",
+             "targetcolumn": "b", "validationtype": "valuecomparison", "dropnullkeys": False}
+    # the first NULL-key source row ('p') matches the NULL-key target ('P'); K matches; Z has a blank value
+    assert _counts(spark, crosstable.cross_sheet(ts3, cross)) == [("c", "P", 0)]
+    src2 = spark.createDataFrame([(0, None, "q"), (1, None, "p")], "_row_no long, key string, a string")
+    ts4 = TableSet(spark).add_frame("S", src2, "_row_no").add_frame("T", tgt)
+    # now the first NULL-key row is 'q' -> mismatch; K only in target with 'r' -> mismatch
+    assert _counts(spark, crosstable.cross_sheet(ts4, cross)) == [("c", "F", 2)]
