@@ -158,7 +158,7 @@ JOINED_SQL = {
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(d, f"{name}.parquet"))
-    return df.select("*", F.col("_metadata.row_index").alias(ROW_NO), F.col("_metadata.file_name").alias(FILE))
+    return df.select("*", F.col("_metadata.row_index").alias(ROW_NO), F.col("_metadata.file_path").alias(FILE))
 
 
 def tables(spark: SparkSession, d: str, names: list[str]) -> TableSet:
@@ -428,7 +428,9 @@ BATCH_GLOB = "{customer,supplier}.parquet"
 
 def _batch(spark, d):
     ts = TableSet(spark).add_batch("accounts", d, fmt="parquet", glob=BATCH_GLOB)
-    return run_fields(ts, BATCH_CONFIG, by_file=True).summary
+    summary = run_fields(ts, BATCH_CONFIG, by_file=True).summary
+    # results are keyed by file path; the comparison uses the file name
+    return summary.withColumn("source_file", F.regexp_extract("source_file", "[^/]*$", 0))
 
 
 STREAM_FIELDS = {"value": ["number"], "event_type": ["text_only"], "user_text": ["numeric_only", "email"]}

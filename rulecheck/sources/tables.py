@@ -12,7 +12,8 @@ Ingestion rules (applied once, as a projection, so every check sees them):
 Row order: checks that depend on the physical row order (first row per key,
 first N values of a column, the reported row number of a failing cell) use
 ``Table.ordered`` which adds ``_row_no`` (0-based row within its file) and
-``_file``. For Parquet this is ``_metadata.row_index``: computed by the reader
+``_file`` (the file's full path: part files of partitioned datasets often
+share a name). For Parquet this is ``_metadata.row_index``: computed by the reader
 inside each task, no shuffle and no global sort.
 """
 
@@ -69,7 +70,7 @@ def _ordinal_by_split(raw: DataFrame) -> DataFrame:
     global sort and no single-partition window over the data."""
     base = raw.select(
         "*",
-        F.col("_metadata.file_name").alias(FILE),
+        F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"),
     )
@@ -168,7 +169,7 @@ class TableSet:
     def _ordered(raw: DataFrame, fmt: str, na_tokens) -> DataFrame:
         if fmt == "parquet":
             with_order = raw.select("*", F.col("_metadata.row_index").alias(ROW_NO),
-                                    F.col("_metadata.file_name").alias(FILE))
+                                    F.col("_metadata.file_path").alias(FILE))
         else:
             with_order = _ordinal_by_split(raw)
         return _clean(with_order, na_tokens)
@@ -177,7 +178,7 @@ class TableSet:
                   na_tokens: Iterable[str] | None = None, schema=None, **options) -> TableSet:
         """Many files as ONE table (all files under ``path``, recursively,
         matching ``glob``; ``~$`` lock files skipped). Files may differ in
-        columns (Parquet: merged schema). The file name is the hidden ``_file``
+        columns (Parquet: merged schema). The file path is the hidden ``_file``
         column, so checks can be grouped per source file in one query."""
         reader = self.spark.read.format(fmt).option("recursiveFileLookup", "true")
         reader = reader.option("pathGlobFilter", glob or f"[!~]*.{fmt}")
@@ -195,7 +196,8 @@ class TableSet:
 
     def add_formats(self, name: str, formats: DataFrame) -> TableSet:
         """Cell-format sidecar ``(row_no long, field string, number_format string)``
-        for table ``name``: the display format of each cell."""
+        for table ``name``: the display format of each cell. An optional
+        ``file`` column (the file path) addresses rows of multi-file tables."""
         self.formats[name] = formats
         return self
 
