@@ -5,10 +5,12 @@
     result.summary.show()
 """
 
+from .functions.cells import register_check
 from .plans.engine import RunResult, kpi_outcomes, run_fields, run_inferred, run_kpi
 from .plans.planner import materialize
 from .rules import load_rules
+from .sinks.report import write_report
 from .sources.tables import TableSet
 
 __all__ = ["TableSet", "RunResult", "run_kpi", "run_fields", "run_inferred", "kpi_outcomes", "materialize",
-           "load_rules"]
+           "load_rules", "write_report", "register_check"]

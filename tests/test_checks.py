@@ -285,3 +285,26 @@ def test_null_keys_match_each_other_when_kept(spark):
     ts4 = TableSet(spark).add_frame("S", src2, "_row_no").add_frame("T", tgt)
     # now the first NULL-key row is 'q' -> mismatch; K only in target with 'r' -> mismatch
     assert _counts(spark, crosstable.cross_sheet(ts4, cross)) == [("c", "F", 2)]
+
+
+def test_registered_check(spark):
+    from pyspark.sql import functions as F
+
+    from rulecheck import register_check
+    from rulecheck.functions import cells as registry
+
+    name = "test_zip5"
+    register_check(name, lambda c, dtype, params: F.coalesce(c.cast("string").rlike(r"^\d{5}$"), F.lit(False)),
+                   "Invalid zip code in column '{column}'", "zip_code")
+    try:
+        df = spark.createDataFrame([(0, "12345"), (1, "1234"), (2, None)], "_row_no long, zip string")
+        ts = TableSet(spark).add_frame("A", df, "_row_no")
+        res = run_fields(ts, {"column_checks": {name: {}}, "fields": {"A": {"zip": [name]}}})
+        s = {(r.field, r.test_name): (r.status, r.failed_count, r.total_checked) for r in res.summary.collect()
+             if r.test_type == "Data Validation"}
+        assert s[("zip", name)] == ("FAIL", 1, 2)
+        (row,) = res.failed.collect()
+        assert (row.row, row.value, row.error_message) == (3, "1234", "Invalid zip code in column 'zip'")
+    finally:
+        for table in (registry.CHECKS, registry.ERROR_MESSAGES, registry.REQUIRED_DATATYPE):
+            table.pop(name, None)
