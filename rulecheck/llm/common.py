@@ -64,6 +64,25 @@ def free_name(df: DataFrame, wish: str) -> str:
     return name
 
 
+def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """df without the columns (whatever their case) that an operator is about to make: outputs replace such columns."""
+    new = {n.lower() for n in names}
+    return df.drop(*[c for c in df.columns if c.lower() in new])
+
+
+def shield(df: DataFrame, *own: str) -> DataFrame:
+    """The columns ``own`` beside one struct _rest of all others, so that no name can clash with an operator's."""
+    rest = [c for c in df.columns if c not in own]
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in rest] or [F.lit(None).alias("none")]).alias("_rest"), *own)
+
+
+def restore(df: DataFrame, columns: Sequence[str], new: Sequence[str] = ()) -> list[Column]:
+    """The select list that gives a shielded table's columns back in their order (but for those that new replaces), then new."""
+    made = {n.lower() for n in new}
+    own = set(df.columns)
+    return [*[F.col(c) if c in own else F.col(f"_rest.`{c}`") for c in columns if c.lower() not in made], *map(F.col, new)]
+
+
 def gapless_number(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, total: int,
                    rows_per_task: int = 20_000) -> DataFrame:
     """Number the rows of each group 0, 1, 2, .. without one task for a group.

@@ -58,5 +58,59 @@ def quality_sql() -> str:
                            d=f"{quality.DELTA / (len(quality.STRATA) * len(quality.SIGNALS))!r}::DOUBLE")
 
 
+_CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, coalesce(role, '') AS r,
+    length(replace(text, '\', '\\')) + len(regexp_extract_all(replace(text, '\', '\\'), '<(?:\||/?s>|</?SYS>>)|\[/?INST\]')) AS escaped
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|><|im_sep|><|im_end|>') + 1 + length(r) + escaped)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+_MERKLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS next_text
+  FROM documents WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (
+  SELECT *, length(text) AS n_chars,
+    left(text, (length(text) - length(text) // 2)::BIGINT) || left(next_text, (length(text) // 2)::BIGINT) AS edited FROM d),
+f AS (
+  SELECT *, {root_text} AS fingerprint, {root_edited} AS edited_fingerprint, {root_next} AS next_fingerprint,
+    {tree_text} AS ts, {tree_edited} AS es, {blocks_text} AS b, {blocks_edited} AS eb, {blocks_next} AS nb
+  FROM e),
+g AS (
+  SELECT *, list_position(list_transform(range(1, greatest(len(ts), len(es)) + 1), lambda i: ts[i] IS DISTINCT FROM es[i]), TRUE) AS sec FROM f)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+  CASE WHEN fingerprint = edited_fingerprint THEN 1.0 WHEN len(b) + len(eb) = 0 THEN 0.0
+    ELSE 2.0::DOUBLE * len(list_intersect(b, eb)) / (len(b) + len(eb)) END::DOUBLE AS near_edited,
+  CASE WHEN fingerprint = next_fingerprint THEN 1.0 WHEN len(b) + len(nb) = 0 THEN 0.0
+    ELSE 2.0::DOUBLE * len(list_intersect(b, nb)) / (len(b) + len(nb)) END::DOUBLE AS near_next,
+  CASE WHEN fingerprint <> edited_fingerprint THEN sec - 1 END::INT AS edited_section,
+  CASE WHEN fingerprint <> edited_fingerprint THEN greatest(0, list_position(list_transform(
+    range(1, greatest(len(coalesce(ts[sec], [])), len(coalesce(es[sec], []))) + 1), lambda j: ts[sec][j] IS DISTINCT FROM es[sec][j]), TRUE) - 1) END::INT AS edited_paragraph
+FROM g
+"""
+
+
+def merkle_sql() -> str:
+    from rulecheck.llm.merkle import BLOCK
+
+    parts = {}
+    for name, c in (("text", "text"), ("edited", "edited"), ("next", "next_text")):
+        tree = f"list_transform(string_split({c}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: sha256('p:' || p)))"
+        parts[f"tree_{name}"] = tree
+        parts[f"root_{name}"] = f"sha256('r:' || array_to_string(list_transform({tree}, lambda ps: sha256('s:' || array_to_string(ps, ','))), ','))"
+        parts[f"blocks_{name}"] = f"list_distinct(regexp_extract_all({c}, '{BLOCK}'))"
+    return _MERKLE.format(**parts)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_risk_controlled_rules": quality_sql()}
+    return {"op3_merkle_fingerprints": merkle_sql(), "op7_event_sourced_chat": _CHAT, "op9_risk_controlled_rules": quality_sql()}

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import free_name, gapless_number, table
+from rulecheck.llm.common import free_name, gapless_number, table, without
 
 FINE = 6  # bits of a length that a histogram cell keeps below the leading one
 
@@ -65,11 +65,9 @@ def pack(df: DataFrame, length: str, row_key: str, buckets: int = 16, budget: in
 
     Lengths may be null (0). A row longer than the budget forms a batch of its own; nothing is cut. Inside a bucket
     rows are dealt to batches in a fixed order of a hash of ``row_key``; equal rows keep separate places. An empty
-    table stays empty. The four new names must be free; helper columns avoid every name of the input.
+    table stays empty. The four new columns replace others of their names; helper columns avoid every name of the input.
     """
-    new = ("bucket", "padded_length", "batch", "place")
-    for taken in set(new) & {c.lower() for c in df.columns}:
-        raise ValueError(f"the input already has a column {taken}")
+    df = without(df, ["bucket", "padded_length", "batch", "place"])
     n, number, key, tie = (free_name(df, x) for x in ("_n", "_number", "_key", "_tie"))
     sized = df.withColumn(n, F.coalesce(F.col(length), F.lit(0)).cast("bigint"))
     histogram = length_histogram(sized.select(F.col(n).alias("n")))
@@ -77,7 +75,6 @@ def pack(df: DataFrame, length: str, row_key: str, buckets: int = 16, budget: in
     if not bounds:
         bounds = [0]
     at = F.array(*[F.lit(b).cast("bigint") for b in bounds])
-    # a missing name would be a hash of all columns: text is hashed once, not moved twice
     placed = sized.withColumns({"bucket": F.size(F.filter(at, lambda b: b < F.col(n))),
                                 key: F.xxhash64(F.col(row_key)), tie: F.xxhash64(*df.columns)})
     placed = placed.withColumn("padded_length", at[F.col("bucket")])

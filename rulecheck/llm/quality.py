@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import WHITE, let, materialize, table
+from rulecheck.llm.common import WHITE, let, materialize, restore, shield, table
 
 SYMBOLS = "#*$%&|<>"
 #: Signals in thousandths: name -> (numerator, denominator) among the counts.
@@ -64,19 +64,22 @@ def repeated_words(ws: Column) -> Column:
         F.size(F.array_distinct(hs)) == F.size(hs), none).otherwise(again(hs)))))
 
 
-def signals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs without its text, with word_chars, n_words, n_symbols, n_lines, n_dup_lines, n_repeat_words (null text: 0)."""
+COUNTS = ["word_chars", "n_symbols", "n_words", "n_repeat_words", "n_lines", "n_dup_lines"]
+
+
+def signals(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """docs (without its text, unless kept) and the COUNTS, which replace columns of their names. Null text: all 0."""
     whole = F.coalesce(F.col(text), F.lit(""))
     bare = F.translate(whole, WHITE, "")
     lines = F.filter(F.split(whole, "\n"), lambda x: F.translate(x, WHITE, "") != "")
-    counted = docs.select(
-        *[c for c in docs.columns if c != text], F.char_length(bare).cast("bigint").alias("word_chars"),
+    counted = shield(docs, text).select(
+        "_rest", text, F.char_length(bare).cast("bigint").alias("word_chars"),
         (F.char_length(bare) - F.char_length(F.translate(bare, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         let(words(whole), lambda ws: F.struct(F.size(ws).cast("bigint").alias("n"), repeated_words(ws).alias("r"))).alias("_w"),
         let(lines, lambda ls: F.struct(F.size(ls).cast("bigint").alias("n"), F.size(F.array_distinct(ls)).cast("bigint").alias("d"))).alias("_l"))
-    keep = [c for c in counted.columns if c not in ("_w", "_l")]
-    return counted.select(*keep, F.col("_w.n").alias("n_words"), F.col("_w.r").alias("n_repeat_words"),
-                          F.col("_l.n").alias("n_lines"), (F.col("_l.n") - F.col("_l.d")).alias("n_dup_lines"))
+    named = counted.select("_rest", *[text] * keep_text, "word_chars", "n_symbols", F.col("_w.n").alias("n_words"), F.col("_w.r").alias("n_repeat_words"),
+                           F.col("_l.n").alias("n_lines"), (F.col("_l.n") - F.col("_l.d")).alias("n_dup_lines"))
+    return named.select(*restore(named, [c for c in docs.columns if keep_text or c != text], COUNTS))
 
 
 def base_failed() -> Column:
@@ -130,19 +133,22 @@ def thresholds(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     return best
 
 
-def judge(docs: DataFrame, labels: DataFrame, text: str = "text", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """docs without its text, with the counts, base_failed and kept.
+def judge(docs: DataFrame, labels: DataFrame, text: str = "text", alpha: float = ALPHA, delta: float = DELTA,
+          keep_text: bool = False) -> DataFrame:
+    """docs (without its text, unless kept) with the COUNTS, base_failed and kept, which replace columns of their names.
 
     kept is false for a document that fails the base rules or has a signal above its stratum's certified cutoff. Null
     text counts as no words; every row of docs gives one row; without labels no cutoff is certified and the base rules
-    decide alone. doc_id must be there; the names of the counts must be free.
+    decide alone. doc_id must be there.
     """
-    counted = materialize(signals(docs, text), "quality-signals")
-    cut = F.broadcast(thresholds(counted, labels, alpha, delta))  # one row for each class of length: len(STRATA) at most
-    cut = cut.select(F.col("stratum").alias("_stratum"), *[F.col(n).alias(f"_cut_{n}") for n in SIGNALS])
-    joined = counted.withColumn("_own", stratum()).join(cut, F.col("_own") == F.col("_stratum"), "left")
-    over = reduce(lambda x, y: x | y, [F.coalesce(signal(n) > F.col(f"_cut_{n}"), F.lit(False)) for n in SIGNALS])
-    return joined.select(*counted.columns, base_failed().alias("base_failed"), (~(base_failed() | over)).alias("kept"))
+    counted = materialize(signals(docs, text, keep_text), "quality-signals")
+    cut = thresholds(counted.select("doc_id", *COUNTS), labels, alpha, delta)
+    cut = F.broadcast(cut.select(F.col("stratum").alias("_stratum"), F.struct(*SIGNALS).alias("_cut")))  # len(STRATA) rows at most
+    work = shield(counted, *COUNTS)
+    joined = work.join(cut, stratum() == F.col("_stratum"), "left")
+    over = reduce(lambda x, y: x | y, [F.coalesce(signal(n) > F.col(f"_cut.{n}"), F.lit(False)) for n in SIGNALS])
+    told = joined.withColumns({"base_failed": base_failed(), "kept": ~(base_failed() | over)})
+    return told.select(*restore(told, counted.columns, ["base_failed", "kept"]))
 
 
 def op9_risk_controlled_rules(spark, sf_dir: str) -> DataFrame:

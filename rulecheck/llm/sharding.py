@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import free_name, gapless_number, materialize
+from rulecheck.llm.common import free_name, gapless_number, materialize, table, without
 
 KEY_BITS, FIRST_BITS, STEP_BITS = 62, 12, 10
 
@@ -121,10 +121,9 @@ def histogram_shards(df: DataFrame, shards: int, group: str, row_key: str, size:
 
     ``group``: rows with equal values lie side by side; ``row_key`` orders the rows of a group; ``size``: long, null
     counts as 0. Rows equal in both keys stay in one shard. Null groups form one group; an empty table stays empty;
-    columns named like helper columns are left alone (shard and slot themselves must be free).
+    shard and slot replace columns of these names, and no other column is touched.
     """
-    for taken in {"shard", "slot"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"the input already has a column {taken}")
+    df = without(df, ["shard", "slot"])
     k1, k2 = free_name(df, "_k1"), free_name(df, "_k2")
     keyed = df.withColumns({k1: key_column(group), k2: key_column(row_key, seed=7)})
     keys = materialize(keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"),
@@ -138,8 +137,6 @@ def histogram_shards(df: DataFrame, shards: int, group: str, row_key: str, size:
 
 def op10_histogram_shards(spark, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes. Null text: size 8, crc32 of the empty text; null doc_id: as a value."""
-    from rulecheck.llm.common import table
-
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
