@@ -6,11 +6,12 @@ such vector share a bucket. Two texts are linked if their edit distance over wor
 longer one's length; classes are the connected components of the links, named by their least doc_id.
 
 No bucket emits all its pairs. Equal texts are one node from the start (by digest, after a partial aggregate). In each
-bucket leaders are compared with every member; members without a link to a leader go on, with four times the leaders in
-each round, until none is left. So every text is linked to a leader or is one, and what two linked texts that share no
-leader might miss is settled afterwards: the edit distance obeys the triangle inequality, so only members that lie
-between one and three thresholds from a leader can be linked to that leader's followers; those pairs, where their classes differ
-and the distances allow a link, are verified too.
+bucket one leader, the member with the most company in all its buckets and so the most central one, is compared with
+every member. Members that are not of its class after that (they may share no more than a common passage) are dealt anew
+by the next vector too, under a leader drawn by a hash, round after round, until every bucket is of one class. So the
+pairs of a round are fewer than the places in buckets, which only become fewer, and texts that agree in many vectors meet
+in ever smaller buckets, under ever other leaders. A link can be missed only
+where two texts follow different leaders in every bucket they share; the README gives the recall measured.
 """
 
 from __future__ import annotations
@@ -175,11 +176,8 @@ def distance(a: np.ndarray, b: np.ndarray, bound: int) -> int | None:
     return banded_distance(a, b, bound)
 
 
-_FAR = 3  # distances up to so many thresholds are computed
-
-
 def verify(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """pairs(hub, node) -> hub, node, n_hub, n_node, d: their edit distance, null if above _FAR thresholds.
+    """pairs(hub, node) -> hub, node, n_hub, n_node, d: their edit distance, null if above the threshold of a link.
 
     ``words``: node, words, n_words. Rows of a leader lie together, the leader first; a leader of many pairs is sent to
     several tasks, so neither a task nor memory grows with it.
@@ -200,7 +198,7 @@ def verify(pairs: DataFrame, words: DataFrame) -> DataFrame:
                 if node is None:
                     leader, its = hub, seq
                 elif hub == leader:
-                    found.append((hub, node, len(its), len(seq), distance(its, seq, _FAR * threshold(max(len(its), len(seq))))))
+                    found.append((hub, node, len(its), len(seq), distance(its, seq, threshold(max(len(its), len(seq))))))
                 else:
                     raise ValueError("a follower came before its leader")
             columns = zip(*found, strict=True) if found else [[]] * 5
@@ -236,47 +234,40 @@ def links(sketched: DataFrame) -> DataFrame | None:
     # one row of each text: joined on both keys, so the copies of a frequent text are spread
     one = sketched.select("doc_id", "node", "keys").join(
         nodes.select(F.col("node").alias("n"), "rep"), (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    held = one.select("node", F.explode("keys").alias("key")).distinct()
+    held = one.select("node", F.posexplode("keys").alias("at", "key")).distinct()
     size = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    members = materialize(held.withColumn("size", size).filter("size > 1").select("key", "node"), "buckets")
+    shared = materialize(held.withColumn("size", size).filter("size > 1"), "buckets")
+    company = shared.groupBy("node").agg(F.sum("size").alias("company"))
+    vectors_of = one.select(F.col("node").alias("same"), "keys")
+    members = materialize(shared.join(company, "node").join(vectors_of, F.col("node") == F.col("same"), "left").select(
+        "key", "at", "node", "company", "keys"), "members")
     if members.isEmpty():
         return None
     wanted = members.select("node").distinct().join(nodes, "node").select(F.col("node").alias("n"), "rep")
     words = materialize(sketched.select("doc_id", "node", "n_words", "words").join(
         wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
         .select("node", "n_words", "words").dropDuplicates(["node"]), "words")
-    linked = F.col("d") <= _limit(F.col("n_hub"), F.col("n_node"))
-    open_, known, leaders = members, None, 1
+    open_, known, depth = members, None, 0
     while True:
-        place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        hubs = open_.withColumn("place", place).filter(F.col("place") <= leaders).select("key", F.col("node").alias("hub"))
-        met = materialize(members.join(hubs, "key").filter("hub <> node").select(
-            "key", "node", F.greatest("hub", "node").alias("a"), F.least("hub", "node").alias("b")), "met")
-        pairs = met.select(F.col("a").alias("hub"), F.col("b").alias("node")).distinct()
+        depth += 1
+        order = [F.desc("company")] if depth == 1 else [F.xxhash64("key", "node")]
+        central = Window.partitionBy("key").orderBy(*order, "node")
+        led = materialize(open_.withColumn("hub", F.first("node").over(central)).filter("hub <> node"), "led")
+        pairs = led.select("hub", "node").distinct()
         fresh = materialize(verify(pairs if known is None else pairs.join(known, ["hub", "node"], "left_anti"), words), "verified")
         known = fresh if known is None else known.unionByName(fresh)
-        close = known.filter(linked).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        settled = met.join(close, ["a", "b"], "left_semi").select("key", "node").unionByName(hubs.select("key", F.col("hub").alias("node")))
-        open_ = materialize(open_.join(settled, ["key", "node"], "left_anti"), "open")
-        if open_.isEmpty():
-            break
-        leaders *= 4
-    sure = materialize(known.filter(linked).select(F.col("hub").alias("a"), F.col("node").alias("b")), "links")
-    # what the triangle inequality leaves open around a leader: a near miss y and a follower x of another class
-    near = known.filter(~linked & F.col("d").isNotNull())
-    if near.isEmpty() or sure.isEmpty():
-        return sure
-    classes = components(sure)
-    side = lambda df, hub, node, n: df.select(F.col(hub).alias("l"), F.col(node).alias("v"), F.col(n).alias("n"), "d")
-    around = lambda df: side(df, "hub", "node", "n_node").unionByName(side(df, "node", "hub", "n_hub"))
-    named = classes.select(F.col("node").alias("c"), "label")
-    place = lambda df: df.join(named, df.v == named.c, "left").withColumn("label", F.coalesce("label", "v")).drop("c")
-    x = place(around(known.filter(linked))).select("l", *[F.col(c).alias(f"x_{c}") for c in ("v", "n", "d", "label")])
-    y = place(around(near)).select("l", *[F.col(c).alias(f"y_{c}") for c in ("v", "n", "d", "label")])
-    may = (F.col("x_label") != F.col("y_label")) & (F.abs(F.col("y_d") - F.col("x_d")) <= _limit(F.col("x_n"), F.col("y_n")))
-    rest = x.join(y, (x.l == y.l) & may).select(F.greatest("x_v", "y_v").alias("hub"), F.least("x_v", "y_v").alias("node")).distinct()
-    rest = materialize(verify(rest.join(known, ["hub", "node"], "left_anti"), words), "verified")
-    return sure.unionByName(rest.filter(linked).select(F.col("hub").alias("a"), F.col("node").alias("b")))
+        close = known.filter(F.col("d") <= _limit(F.col("n_hub"), F.col("n_node"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        labels = components(close)
+        of = lambda c: labels.select(F.col("node").alias(f"{c}_"), F.col("label").alias(f"{c}_label"))
+        named = led.join(of("node"), F.col("node") == F.col("node_"), "left").join(of("hub"), F.col("hub") == F.col("hub_"), "left")
+        rest = named.withColumn("label", F.coalesce("node_label", "node")).filter(F.col("label") != F.coalesce("hub_label", "hub"))
+        following = F.get("keys", F.pmod(F.col("at") + depth, F.lit(VECTORS)))
+        dealt = rest.select(F.xxhash64("key", following).alias("key"), "at", "node", "company", "keys", "label")
+        alike = Window.partitionBy("key")
+        open_ = materialize(dealt.withColumns({"least": F.min("label").over(alike), "most": F.max("label").over(alike)})
+                            .filter("least <> most").drop("label", "least", "most"), "open")
+        if depth == VECTORS - 1 or open_.isEmpty():  # texts that agree in all vectors have met under each of them
+            return close
 
 
 def duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
