@@ -79,7 +79,7 @@ def shield(df: DataFrame, *own: str) -> DataFrame:
 def restore(df: DataFrame, columns: Sequence[str], new: Sequence[str] = ()) -> list[Column]:
     """The select list that gives a shielded table's columns back in their order (but for those that new replaces), then new."""
     made = {n.lower() for n in new}
-    own = set(df.columns)
+    own = set(df.columns) - {"_rest"}  # a column of that name lies inside the struct, like all others
     return [*[F.col(c) if c in own else F.col(f"_rest.`{c}`") for c in columns if c.lower() not in made], *map(F.col, new)]
 
 
