@@ -40,6 +40,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
+    if args.batch and args.dialect == "inferred":
+        _parser().error("--batch is not available for inferred: run it once for each file")
     if args.local:
         from .session import local_session
 

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import business, cells, crosstable, existence, infer, quality, trend
+from .operators import business, cells, crosstable, infer, quality, trend
 from .plans.engine import run_fields, run_inferred, run_kpi
 from .plans.planner import materialize, summary_columns
 from .sources.tables import FILE, ROW_NO, TableSet
@@ -149,9 +149,9 @@ JOINED_SQL = {
     ),
     "conversation_meta": (
         "SELECT conv_id, CASE WHEN turn = 1 AND conv_id % 4 = 0 THEN 'ASSISTANT' ELSE 'User ' END AS first_role "
-        "FROM conversations WHERE turn <= 1 "
+        "FROM conversations "
         "UNION ALL SELECT conv_id + 100000 AS conv_id, CASE WHEN conv_id % 2 = 0 THEN '' ELSE 'user' END AS first_role "
-        "FROM conversations WHERE turn = 0"
+        "FROM conversations"
     ),
 }
 
@@ -314,6 +314,7 @@ FIELDS = {
     "events_cells": {"value": ["number"], "user_text": ["numeric_only", "text_only"]},
     "ledger": {"amount": ["amount"]},
 }
+FIELD_TABLES = ["customer_text", "orders_dates", "events_cells"]
 FIELD_CONFIG = {"sheet_checks": SHEET_CHECKS, "column_checks": dict(COLUMN_CHECKS, zip_code={}), "fields": FIELDS}
 INFER_TABLES = ["customer_text", "region", "events_cells"]
 INFER_CONFIG = {"sheet_checks": {"customer_text": {}, "region": {}, "events_cells": {}, "ledger": {"required": False}},
@@ -363,17 +364,17 @@ def _cell_failures(sheet: str, column: str, check: str):
 
 
 def _field_summary(spark, d):
-    ts = tables(spark, d, list(FIELDS) [:3])
+    ts = tables(spark, d, FIELD_TABLES)
     return run_fields(ts, FIELD_CONFIG).summary
 
 
 def _fields_failed(spark, d):
-    ts = tables(spark, d, list(FIELDS)[:3])
+    ts = tables(spark, d, FIELD_TABLES)
     return run_fields(ts, FIELD_CONFIG).failed
 
 
 def _exec_explicit(spark, d):
-    ts = tables(spark, d, list(FIELDS)[:3])
+    ts = tables(spark, d, FIELD_TABLES)
     return run_fields(ts, FIELD_CONFIG).execution
 
 
@@ -434,7 +435,6 @@ def _batch(spark, d):
 
 
 STREAM_FIELDS = {"value": ["number"], "event_type": ["text_only"], "user_text": ["numeric_only", "email"]}
-_STREAM_RUNS = [0]
 
 
 def _stream_counts(spark, d):
@@ -467,12 +467,6 @@ def _run_kpi(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "table_existence": _one(lambda ts: existence.table_list(ts, EXPECTED_TABLES), ["orders", "lineitem", "customer"]),
-        "column_existence": _one(lambda ts: existence.table_columns(ts, EXPECTED_COLUMNS), ["orders", "customer"]),
-        "required_tables": _one(lambda ts: existence.required_tables(ts, REQUIRED_CHECKS)[0],
-                                ["orders", "customer", "events"], "fields"),
-        "field_existence": _one(lambda ts: existence.field_existence(ts, FIELD_EXIST, {"ledger"})[0],
-                                ["orders", "customer"], "fields"),
         "precision_formats": _precision_formats,
         "duplicate_single": _kpi_section(quality.duplicate_check, DUP_SINGLE, ["orders"]),
         "duplicate_multi": _kpi_section(quality.duplicate_check, DUP_MULTI, ["lineitem"]),

@@ -580,10 +580,6 @@ def precision_formats():
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "table_existence": table_existence(),
-        "column_existence": column_existence(),
-        "required_tables": required_tables_catalog(),
-        "field_existence": field_existence(),
         "precision_formats": precision_formats(),
         "duplicate_single": _dup(C.DUP_SINGLE, []),
         "duplicate_multi": _dup(C.DUP_MULTI, []),

@@ -46,7 +46,7 @@ def formula_column(formula: str, resolve: Callable[[str], Column] | Mapping[str,
             return F.lit(float(node.value))
         if isinstance(node, ast.Name):
             try:
-                return lookup(node.id).cast("double")
+                return lookup(node.id).try_cast("double")  # text that is no number is missing
             except KeyError as e:
                 raise RuleError(f"unknown column {node.id!r} in formula {formula!r}") from e
         if isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.UAdd, ast.USub)):

@@ -115,7 +115,8 @@ def safe_divide(n: Column, d: Column) -> Column:
 
 def safe_mod(n: Column, d: Column) -> Column:
     """Python/numpy modulo (sign of the divisor); x % 0 = missing."""
-    return F.when(d != 0, F.pmod(n.cast("double"), d.cast("double")))
+    n, d = n.cast("double"), d.cast("double")
+    return F.when(d != 0, n - d * F.floor(F.try_divide(n, d)))
 
 
 def format_decimal_places(fmt: Column) -> Column:

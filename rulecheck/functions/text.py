@@ -67,6 +67,15 @@ def is_blank_cell(c: Column, dtype: DataType) -> Column:
     return c.isNull()
 
 
+def aligned_keys(a: Column, a_type, b: Column, b_type) -> tuple[Column, Column]:
+    """Two key columns in one type: as they are if the types agree or are both numbers, else both as trimmed text."""
+    from pyspark.sql.types import NumericType
+
+    if a_type == b_type or isinstance(a_type, NumericType) and isinstance(b_type, NumericType):
+        return a, b
+    return key_text(a.cast("string")), key_text(b.cast("string"))
+
+
 def key_text(c: Column) -> Column:
     """Key compared as trimmed text."""
     return strip(c)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import stale_cutoff, to_timestamp_lenient
 from ..functions.names import col
 from ..functions.numbers import RuleError, apply_operator, to_double
-from ..functions.text import is_blank_norm, norm_text
+from ..functions.text import aligned_keys, is_blank_norm, norm_text
 from ..sources.tables import FILE, TableSet
 from .base import BUSINESS_RULE, DATA_VALIDATION, Outcome, failed_rule, missing_columns, missing_table
 
@@ -37,6 +37,7 @@ def business_rule(ts: TableSet, rule: Mapping, as_of: _dt.date | str | None = No
     if missing:
         return [missing_columns(sheet, missing, DATA_VALIDATION, BUSINESS_RULE)]
     distinct = rule.get("distinctcolumn") or None
+    date_formats = rule.get("dateformats") or date_formats
     if rtype == "comparison":
         fail = _comparison_fail(t, rule, date_formats)
         return [Outcome(sheet, name, DATA_VALIDATION, BUSINESS_RULE, frame=t.df, fail=fail, distinct=distinct)]
@@ -90,17 +91,18 @@ def _lookup_counts(ts: TableSet, t, rule: Mapping):
     if lookup is None or rk not in lookup.columns or right_col not in lookup.columns:
         return None
     drop_null = bool(rule.get("dropnullkeys", True))
+    left_key, right_key = aligned_keys(col(lk), t.dtype(lk), col(rk), lookup.dtype(rk))
     left = t.df
     if drop_null:
         left = left.filter(col(lk).isNotNull())
     lv = norm_text(col(left_col))
     per_file = [F.col(FILE)] if FILE in left.columns else []  # batch runs: the left table per file
-    left_agg = left.groupBy(col(lk).alias("_k"), *per_file).agg(F.min(lv).alias("_lmin"), F.max(lv).alias("_lmax"))
+    left_agg = left.groupBy(left_key.alias("_k"), *per_file).agg(F.min(lv).alias("_lmin"), F.max(lv).alias("_lmax"))
     rv = norm_text(col(right_col))
     right = lookup.df
     if drop_null:
         right = right.filter(col(rk).isNotNull())
-    right_agg = right.groupBy(col(rk).alias("_rk")).agg(F.min(rv).alias("_rmin"), F.max(rv).alias("_rmax"))
+    right_agg = right.groupBy(right_key.alias("_rk")).agg(F.min(rv).alias("_rmin"), F.max(rv).alias("_rmax"))
     cond = F.col("_k") == F.col("_rk") if drop_null else F.col("_k").eqNullSafe(F.col("_rk"))
     joined = left_agg.join(right_agg, cond, "left")
     matched = F.col("_rmin").isNotNull()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, lowered, spaced
 from ..functions.numbers import RuleError, stable_sum, to_double
-from ..functions.text import key_text, norm_text
+from ..functions.text import aligned_keys, key_text, norm_text
 from ..sources.tables import FILE, ROW_NO, TableSet
 from .base import (
     CROSS_SHEET,
@@ -56,10 +56,12 @@ def reconciliation(ts: TableSet, rule: Mapping) -> list[Outcome]:
     if tgt_col not in tn:
         return [missing_columns(tgt_sheet, [tgt_col], DATA_VALIDATION, RECONCILIATION)]
 
+    aligned = {m: aligned_keys(col(sn[m]), s.dtype(sn[m]), col(tn[m]), t.dtype(tn[m])) for m in match}
+
     def side(tab, names, value_col, alias):
         keys_ok = reduce(lambda a, b: a & b, [col(names[m]).isNotNull() for m in match])
         v = F.coalesce(to_double(col(names[value_col]), tab.dtype(names[value_col])), F.lit(0.0))
-        return tab.df.filter(keys_ok).groupBy(*[col(names[m]).alias(m) for m in match]).agg(
+        return tab.df.filter(keys_ok).groupBy(*[aligned[m][alias == "_tgt"].alias(m) for m in match]).agg(
             stable_sum(v).alias(alias))
 
     merged = side(s, sn, src_col, "_src").join(side(t, tn, tgt_col, "_tgt"), on=match, how="full_outer")
@@ -108,10 +110,11 @@ def cross_sheet(ts: TableSet, rule: Mapping) -> list[Outcome]:
         if drop_null:
             src, tgt = src.filter(sk.isNotNull()), tgt.filter(tk.isNotNull())
         order = F.struct(F.col(FILE), F.col(ROW_NO))
-        first = src.groupBy(sk.alias("_k")).agg(
+        s_key, t_key = aligned_keys(sk, s.dtype(sn[key]), tk, t.dtype(tn[key]))
+        first = src.groupBy(s_key.alias("_k")).agg(
             F.min_by(norm_text(col(sn[sc])), order).alias("_s"), F.lit(True).alias("_hs"))
         tv = norm_text(col(tn[tc]))
-        tagg = tgt.groupBy(tk.alias("_tk")).agg(F.min(tv).alias("_tmin"), F.max(tv).alias("_tmax"))
+        tagg = tgt.groupBy(t_key.alias("_tk")).agg(F.min(tv).alias("_tmin"), F.max(tv).alias("_tmax"))
         cond = (F.col("_k") == F.col("_tk")) if drop_null else F.col("_k").eqNullSafe(F.col("_tk"))
         joined = first.join(tagg, cond, "full_outer")
         both = F.col("_hs").isNotNull() & F.col("_tmin").isNotNull()

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, underscored
 from ..functions.numbers import apply_operator, pct_deviation, stable_sum, to_double
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import FILE, TableSet
 from .base import DATA_VALIDATION, TREND, Outcome, missing_columns, missing_table
 
@@ -45,12 +46,12 @@ def lag_by_range(agg: DataFrame, first: str, order: list[str], value: str, parts
     partition-end before the partition-start. That table is bounded by the
     number of partitions, so it is broadcast back."""
     keys = [first] + order
-    # The range bounds come from sampling the input; sorting each input
-    # partition first makes that sample - and so every row's partition -
-    # the same wherever this plan is (re)computed.
-    ranged = (agg.select(*keys, value).sortWithinPartitions(*keys)
-              .repartitionByRange(parts, *[F.col(k) for k in keys])
-              .withColumn("_pid", F.spark_partition_id()))
+    # Range bounds come from sampling, so the dealt rows are written once to the
+    # shared checkpoint folder: both branches below read the same partitions,
+    # whether or not Spark reuses an exchange.
+    ensure_checkpoint_dir(agg.sparkSession)
+    ranged = (agg.select(*keys, value).repartitionByRange(parts, *[F.col(k) for k in keys])
+              .withColumn("_pid", F.spark_partition_id()).checkpoint())
     w_local = Window.partitionBy("_pid", first).orderBy(*order)
     local = ranged.withColumn("_prev", F.lag(value).over(w_local))
     ends = ranged.groupBy("_pid").agg(

@@ -32,10 +32,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``; a local
-    scratch folder is set only when the session has none (tests)."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; only a
+    local session that has none gets a scratch folder (tests)."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.conf.get("spark.master", "local").startswith("local[") and spark.conf.get("spark.master", "local") != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="rulecheck-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

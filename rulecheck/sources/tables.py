@@ -39,6 +39,7 @@ PANDAS_NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+_MARKERS = ("_SUCCESS", "_temporary", "_metadata", "_common_metadata")
 _FORMATS = {".parquet": "parquet", ".csv": "csv", ".orc": "orc", ".json": "json"}
 
 
@@ -181,7 +182,7 @@ class TableSet:
         columns (Parquet: merged schema). The file path is the hidden ``_file``
         column, so checks can be grouped per source file in one query."""
         reader = self.spark.read.format(fmt).option("recursiveFileLookup", "true")
-        reader = reader.option("pathGlobFilter", glob or f"[!~]*.{fmt}")
+        reader = reader.option("pathGlobFilter", glob or f"{{[!~],~[!$]}}*.{fmt}")
         if schema is not None:
             reader = reader.schema(schema)
         if fmt == "csv":
@@ -219,21 +220,29 @@ class TableSet:
     @classmethod
     def from_dir(cls, spark: SparkSession, path: str, fmt: str | None = None,
                  names: Iterable[str] | None = None, **options) -> TableSet:
-        """One table per file (or sub-directory) of ``path``, named by its stem
-        cut to 31 characters, in sorted order; ``~$`` lock files are ignored.
-        ``names`` limits the set to those tables (others are not opened)."""
+        """One table per file (or sub-directory) of ``path``, named by its stem,
+        in sorted order. Only ``~$`` lock files, hidden files and the writers'
+        markers are ignored; two entries of one name, a name with a leading
+        underscore or a file of an unknown kind (without ``fmt``) raise. ``names`` limits the set to those tables
+        (others are not opened). Lists a local folder: object stores are read
+        through ``from_paths``."""
+        path = path.removeprefix("file://")
         wanted = set(names) if names is not None else None
         ts = cls(spark)
         for entry in sorted(os.listdir(path)):
-            if entry.startswith("~$") or entry.startswith(".") or entry.startswith("_"):
+            if entry.startswith(("~$", ".")) or entry in _MARKERS:
                 continue
-            stem, ext = os.path.splitext(entry)
+            plain = entry[:-3] if entry.lower().endswith(".gz") else entry
+            name, ext = os.path.splitext(plain)
             full = os.path.join(path, entry)
-            if os.path.isfile(full) and ext.lower() not in _FORMATS:
-                continue
-            name = stem[:31]
             if wanted is not None and name not in wanted:
                 continue
+            if entry.startswith("_"):
+                raise ValueError(f"{full}: Spark does not read names that begin with an underscore; rename it or name the tables wanted")
+            if os.path.isfile(full) and fmt is None and ext.lower() not in _FORMATS:
+                raise ValueError(f"{full}: not a known table format; name the tables wanted or give fmt")
+            if name in ts:
+                raise ValueError(f"two tables named {name!r} in {path}")
             ts.add_path(name, full, fmt or _FORMATS.get(ext.lower()), **options)
         return ts
 
