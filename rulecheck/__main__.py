@@ -59,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_fields(ts, rules, by_file=args.batch)
     else:
         result = run_inferred(ts, rules)
+    result = result.once()
     parts = write_report(result, args.out, fmt=args.format,
                          partition_by=["source_file"] if args.batch else None)
     failed = result.summary.filter("status IN ('F', 'FAIL')").count()

@@ -318,7 +318,7 @@ FIELD_TABLES = ["customer_text", "orders_dates", "events_cells"]
 FIELD_CONFIG = {"sheet_checks": SHEET_CHECKS, "column_checks": dict(COLUMN_CHECKS, zip_code={}), "fields": FIELDS}
 INFER_TABLES = ["customer_text", "region", "events_cells"]
 INFER_CONFIG = {"sheet_checks": {"customer_text": {}, "region": {}, "events_cells": {}, "ledger": {"required": False}},
-                "column_checks": COLUMN_CHECKS, "rule_detection": {"match_threshold": 0.6, "sample_size": 200}}
+                "column_checks": COLUMN_CHECKS, "rule_detection": {"match_threshold": 0.6}}
 
 KPI_RULESET = {
     "sheetlist": EXPECTED_TABLES,
@@ -380,10 +380,7 @@ def _exec_explicit(spark, d):
 
 def _infer_rules(spark, d):
     ts = tables(spark, d, INFER_TABLES)
-    f = infer.inference_frame(ts, INFER_TABLES, COLUMN_CHECKS)
-    return f.select("sheet_name", "field", F.lit("Rule Determination").alias("test_type"), "test_name", "status",
-                    F.lit(0).cast("long").alias("failed_count"), F.lit(None).cast("long").alias("total_checked"),
-                    F.lit(None).cast("long").alias("passed_count"))
+    return _summary(spark, infer.infer_rules(ts, INFER_TABLES, COLUMN_CHECKS)[0], "fields")
 
 
 def _infer_validate(spark, d):

@@ -112,14 +112,14 @@ def formula_grouped():
     v = f"({_div('t', 'd')} * 100)"
     return _kpi("lineitem", "order tax to discount", DQ, "Formula Validation", [],
                 f"SELECT SUM(CASE WHEN {v} IS NOT NULL AND NOT ({v} <= 100) THEN 1 ELSE 0 END) FROM "
-                "(SELECT COALESCE(CAST(SUM(CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE), 0) t, COALESCE(CAST(SUM(CAST(CAST(l_discount AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE), 0) d FROM lineitem "
+                "(SELECT COALESCE(SUM(l_tax), 0) t, COALESCE(SUM(l_discount), 0) d FROM lineitem "
                 "WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey)")
 
 
 def formula_cmp_grouped():
     return _kpi("orders_parts", "parts add up per customer", DQ, "Formula Validation", ["orders_parts"],
                 "SELECT SUM(CASE WHEN COALESCE(round_even(a + b, 2) <> round_even(t, 2), TRUE) THEN 1 ELSE 0 END) FROM "
-                "(SELECT COALESCE(CAST(SUM(CAST(CAST(part_a AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE), 0) a, COALESCE(CAST(SUM(CAST(CAST(part_b AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE), 0) b, COALESCE(CAST(SUM(CAST(CAST(total AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE), 0) t "
+                "(SELECT COALESCE(SUM(part_a), 0) a, COALESCE(SUM(part_b), 0) b, COALESCE(SUM(total), 0) t "
                 "FROM orders_parts WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey)")
 
 
@@ -173,9 +173,9 @@ def rule_lookup(keep_nulls=False):
 
 def _recon_sides(keys_src, keys_tgt):
     return (
-        f"s AS (SELECT {keys_src}, CAST(SUM(CAST(CAST(COALESCE(TRY_CAST(\"Line Amount\" AS DOUBLE), 0) AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) v FROM line_amounts "
+        f"s AS (SELECT {keys_src}, SUM(COALESCE(TRY_CAST(\"Line Amount\" AS DOUBLE), 0)) v FROM line_amounts "
         "WHERE {nn_s} GROUP BY ALL), "
-        f"t AS (SELECT {keys_tgt}, CAST(SUM(CAST(CAST(COALESCE(TRY_CAST(\"Order Total\" AS DOUBLE), 0) AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) v FROM order_amounts "
+        f"t AS (SELECT {keys_tgt}, SUM(COALESCE(TRY_CAST(\"Order Total\" AS DOUBLE), 0)) v FROM order_amounts "
         "WHERE {nn_t} GROUP BY ALL)"
     )
 
@@ -234,14 +234,14 @@ def trend_lag():
     return _kpi("orders_dates", C.TREND_LAG["name"], DV, "Trend Validation", ["orders_dates"],
                 "SELECT COUNT(*) FILTER (WHERE p IS NOT NULL AND p <> 0 AND abs((v - p) / p * 100) > 30) FROM "
                 "(SELECT v, lag(v) OVER (PARTITION BY o_custkey ORDER BY yr, mo) p FROM "
-                "(SELECT o_custkey, yr, mo, CAST(SUM(CAST(CAST(COALESCE(o_totalprice, 0) AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) v FROM orders_dates "
+                "(SELECT o_custkey, yr, mo, SUM(COALESCE(o_totalprice, 0)) v FROM orders_dates "
                 "WHERE o_custkey IS NOT NULL AND yr IS NOT NULL AND mo IS NOT NULL GROUP BY ALL))")
 
 
 def trend_two():
     return _kpi("events_trend", C.TREND_TWO["name"], DV, "Trend Validation", ["events_trend"],
                 "SELECT COUNT(*) FILTER (WHERE p <> 0 AND abs((v - p) / p * 100) > 30) FROM "
-                "(SELECT COALESCE(CAST(SUM(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE), 0) v, COALESCE(CAST(SUM(CAST(CAST(prev_value AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE), 0) p FROM events_trend "
+                "(SELECT COALESCE(SUM(value), 0) v, COALESCE(SUM(prev_value), 0) p FROM events_trend "
                 "WHERE user_id IS NOT NULL AND FiscalYear IS NOT NULL AND FiscalMonth IS NOT NULL "
                 "GROUP BY user_id, FiscalYear, FiscalMonth)")
 
@@ -389,11 +389,11 @@ INFER_COLUMNS = {
 PRIORITY = ["email", "phone_number", "date", "amount", "number", "numeric_only", "text_only"]
 
 
-def _winner_sql(sheet, column, ordkey):
+def _winner_sql(sheet, column):
     num = column in NUMERIC
     rates = ", ".join(f"CAST(COUNT(*) FILTER (WHERE {check_ok(k, 'v', num)}) AS DOUBLE) / NULLIF(COUNT(*), 0) AS r{i}"
                       for i, k in enumerate(PRIORITY))
-    sample = (f"SELECT {column} AS v FROM {sheet} WHERE {nonblank(column, num)} ORDER BY {ordkey} LIMIT 200")
+    sample = (f"SELECT {column} AS v FROM {sheet} WHERE {nonblank(column, num)}")
     winner = "CASE " + " ".join(f"WHEN r{i} >= 0.6 THEN '{k}'" for i, k in enumerate(PRIORITY)) + " END"
     best = f"greatest({', '.join(f'r{i}' for i in range(len(PRIORITY)))})"
     return (f"SELECT '{sheet}' AS sheet_name, '{column}' AS field, n, {winner} AS winner, {best} AS best "
@@ -407,9 +407,8 @@ def _infer_names():
 def _determination_sql():
     parts = []
     for sheet, cols in INFER_COLUMNS.items():
-        key = "_row_no" if sheet != "region" else "r_regionkey"
         for c in cols:
-            parts.append(_winner_sql(sheet, c, key))
+            parts.append(_winner_sql(sheet, c))
     return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
 
 
@@ -426,11 +425,10 @@ def infer_rules(with_clause=True):
 def _infer_data_sql():
     parts = []
     for sheet, cols in INFER_COLUMNS.items():
-        key = "_row_no" if sheet != "region" else "r_regionkey"
         for c in cols:
             num = c in NUMERIC
             nb = nonblank(c, num)
-            w = f"(SELECT winner FROM ({_winner_sql(sheet, c, key)}))"
+            w = f"(SELECT winner FROM ({_winner_sql(sheet, c)}))"
             fails = " ".join(f"WHEN '{k}' THEN COUNT(*) FILTER (WHERE {nb} AND NOT {check_ok(k, c, num)})" for k in PRIORITY)
             parts.append(
                 f"SELECT '{sheet}' AS sheet_name, '{c}' AS field, 'Data Validation' AS test_type, w AS test_name, "

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DecimalType,
+    IntegralType,
     NumericType,
     StringType,
 )
@@ -74,18 +75,22 @@ def to_double(c: Column, dtype: DataType, python_float: bool = False) -> Column:
     return F.when(~java_suffix, t.try_cast("double"))
 
 
-def stable_sum(v: Column) -> Column:
-    """``sum`` of doubles that does not depend on the order of the rows.
+def group_sum(c: Column, dtype: DataType) -> Column:
+    """``sum`` of a column made numeric, 0 for a group without values.
 
-    Summed exactly as ``decimal(38,18)`` (each double at its shortest decimal
-    form), so equal multisets give equal sums on any partitioning - as a
-    compensated sum (pandas) practically does - then returned as double.
-    Falls back to the plain double sum when a value or the total does not fit.
-    NULL for a group without values (callers add ``coalesce(.., 0)``)."""
-    d = v.try_cast("decimal(38,18)")
-    exact = F.try_sum(d)
-    unfit = F.count_if(v.isNotNull() & d.isNull()) > 0
-    return F.when(unfit | (exact.isNull() & (F.count(v) > 0)), F.sum(v)).otherwise(exact.cast("double"))
+    The method follows the type, never the values: integers, booleans and
+    decimals of up to 28 digits are summed exactly, as decimals; doubles, text
+    and wider decimals by the plain double sum."""
+    if isinstance(dtype, (IntegralType, BooleanType)):
+        return F.coalesce(F.sum(c.cast("bigint").cast("decimal(28,0)")), F.lit(0))
+    if isinstance(dtype, DecimalType) and dtype.precision <= 28:
+        return F.coalesce(F.sum(c), F.lit(0))
+    return F.coalesce(F.sum(to_double(c, dtype)), F.lit(0.0))
+
+
+def difference(a: Column, b: Column) -> Column:
+    """``a - b`` as double; two decimals are subtracted before the conversion."""
+    return F.coalesce(F.try_subtract(a, b).cast("double"), a.cast("double") - b.cast("double"))
 
 
 def no_nan(c: Column) -> Column:
@@ -144,8 +149,4 @@ def raw_precision_fails(v: Column, places: int) -> Column:
 
 def pct_deviation(cur: Column, prev: Column) -> Column:
     """``abs((cur - prev) / prev * 100)``; NULL when prev is NULL or 0."""
-    return F.when(prev.isNotNull() & (prev != 0) & cur.isNotNull(), F.abs((cur - prev) / prev * F.lit(100.0)))
-
-
-def is_decimal(dtype: DataType) -> bool:
-    return isinstance(dtype, DecimalType)
+    return F.when(prev.isNotNull() & (prev != 0) & cur.isNotNull(), F.abs(difference(cur, prev) / prev.cast("double") * F.lit(100.0)))

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, lowered, spaced
-from ..functions.numbers import RuleError, stable_sum, to_double
+from ..functions.numbers import RuleError, difference, group_sum
 from ..functions.text import aligned_keys, key_text, norm_text
 from ..sources.tables import FILE, ROW_NO, TableSet
 from .base import (
@@ -60,18 +60,17 @@ def reconciliation(ts: TableSet, rule: Mapping) -> list[Outcome]:
 
     def side(tab, names, value_col, alias):
         keys_ok = reduce(lambda a, b: a & b, [col(names[m]).isNotNull() for m in match])
-        v = F.coalesce(to_double(col(names[value_col]), tab.dtype(names[value_col])), F.lit(0.0))
         return tab.df.filter(keys_ok).groupBy(*[aligned[m][alias == "_tgt"].alias(m) for m in match]).agg(
-            stable_sum(v).alias(alias))
+            group_sum(col(names[value_col]), tab.dtype(names[value_col])).alias(alias))
 
     merged = side(s, sn, src_col, "_src").join(side(t, tn, tgt_col, "_tgt"), on=match, how="full_outer")
-    diff = F.abs(F.coalesce(F.col("_src"), F.lit(0.0)) - F.coalesce(F.col("_tgt"), F.lit(0.0)))
+    diff = F.abs(difference(F.coalesce(F.col("_src"), F.lit(0)), F.coalesce(F.col("_tgt"), F.lit(0))))
     failing = merged.select(*[col(m) for m in match], F.col("_src"), F.col("_tgt"), (diff > F.lit(tol)).alias("_fail"))
     if distinct in match:
         counts = (failing.filter("_fail").select(col(distinct)).distinct()
                   .agg(F.count(F.lit(1)).alias("failed_count")))
     elif distinct in (src_col, tgt_col):
-        value = F.coalesce(F.col("_src" if distinct == src_col else "_tgt"), F.lit(0.0))
+        value = F.coalesce(F.col("_src" if distinct == src_col else "_tgt"), F.lit(0))
         counts = failing.filter("_fail").select(value.alias("_v")).distinct().agg(F.count(F.lit(1)).alias("failed_count"))
     else:
         counts = failing.agg(F.count_if(F.col("_fail")).alias("failed_count"))

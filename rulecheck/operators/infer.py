@@ -1,11 +1,12 @@
 """Check inference (C23-C25): which cell check fits each column.
 
-For every column the first N non-blank values in row order are sampled and
-every configured check is tried on them; in the fixed priority order the
-first check whose match rate reaches the threshold wins, else the column is
-"Unrecognized (best match x%)" or "(no data)".
+Every configured check is tried on every non-blank value of a column; in the
+fixed priority order the first check whose match rate reaches the threshold
+wins, else the column is "Unrecognized (best match x%)" or "(no data)". The
+counts are one plain aggregate over the table (``full_stats``).
 
-Plan per table, two small jobs:
+A caller may ask for the first N non-blank values in row order instead
+(``sample_size``), two small jobs per table:
 1. count non-blank cells per column per (file, block of 2^20 rows) - a plain
    map-side aggregate, no sort - and, with a running sum over the blocks,
    find for each column the block holding its N-th non-blank value;
@@ -15,13 +16,14 @@ Plan per table, two small jobs:
    WindowGroupLimit before the shuffle, so each task ships at most N rows per
    column), then evaluate the checks on the sampled payloads and count per
    column.
-Both results have one row per column; the second is brought to the driver to
-pick the check that phase 2 of the run applies to all rows.
+The result has one row per column; it is brought to the driver to pick the
+check that phase 2 of the run applies to all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,10 +41,11 @@ from ..functions.cells import INFERENCE_PRIORITY, check_passes
 from ..functions.names import col
 from ..functions.text import is_blank_cell
 from ..sources.tables import FILE, ROW_NO, TableSet
+from ..plans import COUNTERS_PER_PASS
 from .base import RULE_DETERMINATION, UNRECOGNIZED, Outcome
 
 DEFAULT_MATCH_THRESHOLD = 0.6
-DEFAULT_SAMPLE_SIZE = 200
+DEFAULT_SAMPLE_SIZE = None  # every non-blank value
 
 
 def candidate_checks(column_checks: Mapping) -> list[str]:
@@ -173,6 +176,24 @@ def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size:
     return sample.groupBy("ci").agg(F.count(F.lit(1)).alias("sampled"), *flags)
 
 
+def full_stats(ts: TableSet, sheet: str, column_checks: Mapping) -> DataFrame:
+    """``(ci, sampled, m0..mk)`` over all rows: one ``count_if`` per (column, check) in plain aggregates, a few columns
+    to each so that they stay inside generated code; no order, no shuffle of rows."""
+    t = ts.get(sheet)
+    checks = candidate_checks(column_checks)
+    some = max(1, COUNTERS_PER_PASS // (len(checks) + 1))
+    parts = []
+    for first in range(0, len(t.columns), some):
+        aggs, structs = [], []
+        for i, name in enumerate(t.columns[first:first + some], first):
+            there = ~is_blank_cell(col(name), t.dtype(name))
+            aggs.append(F.count_if(there).alias(f"n{i}"))
+            aggs += [F.count_if(there & check_passes(n, col(name), t.dtype(name), column_checks[n])).alias(f"m{i}_{k}") for k, n in enumerate(checks)]
+            structs.append(F.struct(F.lit(i).alias("ci"), F.col(f"n{i}").alias("sampled"), *[F.col(f"m{i}_{k}").alias(f"m{k}") for k in range(len(checks))]))
+        parts.append(t.df.agg(*aggs).select(F.inline(F.array(*structs))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def decide(sampled: int, matches: list[int], checks: list[str], threshold: float):
     """(check or None, rate, sampled) exactly as the priority rule reads."""
     if not sampled:
@@ -187,16 +208,18 @@ def decide(sampled: int, matches: list[int], checks: list[str], threshold: float
 
 
 def infer_rules(ts: TableSet, sheets: list[str], column_checks: Mapping, threshold: float = DEFAULT_MATCH_THRESHOLD,
-                sample_size: int = DEFAULT_SAMPLE_SIZE) -> tuple[list[Outcome], dict[str, dict[str, str]]]:
+                sample_size: int | None = DEFAULT_SAMPLE_SIZE) -> tuple[list[Outcome], dict[str, dict[str, str]]]:
     """Rule-determination outcomes and ``{table: {column: check}}``."""
     checks = candidate_checks(column_checks)
     outcomes: list[Outcome] = []
     rules: dict[str, dict[str, str]] = {}
     sheets = [s for s in sheets if ts.get(s) is not None and ts.get(s).columns]
-    # two jobs for all tables: the cut-offs, then the samples
-    cuts = cutoffs_for(ts, sheets, sample_size)
-    parts = [sample_stats(ts, s, column_checks, sample_size, cuts=cuts[s]).select(F.lit(k).alias("ti"), "*")
-             for k, s in enumerate(sheets)]
+    if sample_size is None:
+        stated = [full_stats(ts, s, column_checks) for s in sheets]
+    else:  # two jobs for all tables: the cut-offs, then the samples
+        cuts = cutoffs_for(ts, sheets, sample_size)
+        stated = [sample_stats(ts, s, column_checks, sample_size, cuts=cuts[s]) for s in sheets]
+    parts = [p.select(F.lit(k).alias("ti"), "*") for k, p in enumerate(stated)]
     stats: dict[str, dict] = {s: {} for s in sheets}
     if parts:
         union = parts[0]
@@ -222,40 +245,3 @@ def infer_rules(ts: TableSet, sheets: list[str], column_checks: Mapping, thresho
                 outcomes.append(Outcome(sheet, name, RULE_DETERMINATION, f"{UNRECOGNIZED} (best match {rate:.0%})",
                                         failed=0, status="SKIPPED"))
     return outcomes, rules
-
-
-def inference_frame(ts: TableSet, sheets: list[str], column_checks: Mapping,
-                    threshold: float = DEFAULT_MATCH_THRESHOLD, sample_size: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
-    """Rule determination as a DataFrame: ``(sheet_name, field, test_name,
-    status, sample_count, match_rate)``; the decision itself is made by Spark
-    expressions (only the per-column sampling cut-offs are collected). The
-    percentage label rounds half-to-even like Python's ``:.0%``."""
-    checks = candidate_checks(column_checks)
-    parts = []
-    for sheet in sheets:
-        t = ts.get(sheet)
-        if t is None or not t.columns:
-            continue
-        cols = ts.spark.createDataFrame([(i, c) for i, c in enumerate(t.columns)], "ci int, field string")
-        stats = sample_stats(ts, sheet, column_checks, sample_size)
-        joined = cols.join(F.broadcast(stats), "ci", "left")  # both sides: one row per column
-        n = F.coalesce(F.col("sampled"), F.lit(0))
-        rates = [F.col(f"m{k}") / F.col("sampled") for k in range(len(checks))]
-        winner = F.lit(None).cast("string")
-        for k in range(len(checks) - 1, -1, -1):
-            winner = F.when(rates[k] >= F.lit(float(threshold)), F.lit(checks[k])).otherwise(winner)
-        best = F.greatest(*rates, F.lit(0.0)) if rates else F.lit(0.0)
-        label = F.concat(F.lit(f"{UNRECOGNIZED} (best match "),
-                         F.rint(best * 100).cast("int").cast("string"), F.lit("%)"))
-        test_name = (F.when(n == 0, F.lit(f"{UNRECOGNIZED} (no data)"))
-                     .when(winner.isNotNull(), winner).otherwise(label))
-        rate = F.when(n == 0, F.lit(0.0)).when(winner.isNotNull(),
-                                               F.coalesce(*[F.when(F.lit(checks[k]) == winner, rates[k]) for k in range(len(checks))]) if checks else F.lit(0.0)).otherwise(best)
-        parts.append(joined.select(
-            F.lit(sheet).alias("sheet_name"), "field", test_name.alias("test_name"),
-            F.when(winner.isNotNull() & (n > 0), F.lit("PASS")).otherwise(F.lit("SKIPPED")).alias("status"),
-            n.cast("long").alias("sample_count"), rate.alias("match_rate"), F.col("ci").alias("_ord")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -19,10 +19,10 @@ from ..functions.numbers import (
     RuleError,
     apply_operator,
     format_decimal_places,
+    group_sum,
     is_number_type,
     raw_precision_fails,
     round_half_even,
-    stable_sum,
     to_double,
 )
 from ..functions.text import is_blank_loose
@@ -123,7 +123,7 @@ def _grouped(t, names: Mapping[str, str], group_cols: list[str], sum_cols: list[
         keys.append(F.col(FILE))
     not_null = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in group_cols])
     sums = [
-        F.coalesce(stable_sum(to_double(col(names[c]), t.dtype(names[c]))), F.lit(0.0)).alias(c)
+        group_sum(col(names[c]), t.dtype(names[c])).alias(c)
         for c in _unique(sum_cols) if c not in group_cols
     ]
     return t.df.filter(not_null).groupBy(*keys).agg(*sums)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, underscored
-from ..functions.numbers import apply_operator, pct_deviation, stable_sum, to_double
+from ..functions.numbers import apply_operator, group_sum, pct_deviation
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import FILE, TableSet
 from .base import DATA_VALIDATION, TREND, Outcome, missing_columns, missing_table
@@ -46,6 +46,7 @@ def lag_by_range(agg: DataFrame, first: str, order: list[str], value: str, parts
     partition-end before the partition-start. That table is bounded by the
     number of partitions, so it is broadcast back."""
     keys = [first] + order
+    kind = agg.schema[value].dataType
     # Range bounds come from sampling, so the dealt rows are written once to the
     # shared checkpoint folder: both branches below read the same partitions,
     # whether or not Spark reuses an exchange.
@@ -59,9 +60,9 @@ def lag_by_range(agg: DataFrame, first: str, order: list[str], value: str, parts
         F.max(F.struct(*keys, F.col(value).alias("_v"))).alias("_hi"))
     bounds = ends.select(F.inline(F.array(
         F.struct(*[F.col(f"_lo.{k}").alias(k) for k in keys], F.lit(0).alias("_kind"),
-                 F.lit(None).cast("double").alias("_v")),
+                 F.lit(None).cast(kind).alias("_v")),
         F.struct(*[F.col(f"_hi.{k}").alias(k) for k in keys], F.lit(1).alias("_kind"),
-                 F.col("_hi._v").cast("double").alias("_v")))))
+                 F.col("_hi._v").alias("_v")))))
     w_carry = Window.partitionBy(first).orderBy(*order, "_kind").rowsBetween(Window.unboundedPreceding, -1)
     carry = (bounds.withColumn("_carry", F.last("_v", ignorenulls=True).over(w_carry))
              .filter(F.col("_kind") == 0).select(*keys, "_carry"))
@@ -85,8 +86,8 @@ def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
     if missing:
         return [missing_columns(sheet, missing, DATA_VALIDATION, TREND)]
 
-    def num(c):
-        return to_double(col(names[c]), t.dtype(names[c]))
+    def total(c):
+        return group_sum(col(names[c]), t.dtype(names[c]))
 
     per_file = FILE in t.df.columns
 
@@ -99,7 +100,7 @@ def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
         if per_file:  # batch runs: the first group key becomes (file, key), so lags never cross files
             keys[0] = F.struct(F.col(FILE).alias("f"), col(names[groups[0]]).alias("k")).alias("_g0")
         agg = t.df.filter(keys_ok).groupBy(*keys).agg(
-            stable_sum(F.coalesce(num(metric), F.lit(0.0))).alias("_cur"))
+            total(metric).alias("_cur"))
         parts = int(ts.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         lagged = lag_by_range(agg, "_g0", [f"_g{k}" for k in range(1, len(groups))], "_cur", parts)
         dev = pct_deviation(F.col("_cur"), F.col("_prev"))
@@ -112,8 +113,8 @@ def trend(ts: TableSet, rule: Mapping) -> list[Outcome]:
         keys_ok = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in gcols])
         file_key = [F.col(FILE)] if per_file else []
         agg = t.df.filter(keys_ok).groupBy(*[col(names[g]) for g in gcols], *file_key).agg(
-            F.coalesce(stable_sum(num(metric)), F.lit(0.0)).alias("_cur"),
-            F.coalesce(stable_sum(num(previous)), F.lit(0.0)).alias("_prev"))
+            total(metric).alias("_cur"),
+            total(previous).alias("_prev"))
         dev = pct_deviation(F.col("_cur"), F.col("_prev"))
         fail = F.coalesce(dev.isNotNull() & apply_operator(dev, op, threshold), F.lit(False))
         counts = agg.groupBy(*file_key).agg(F.count_if(fail).alias("failed_count"))

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -31,6 +31,7 @@ from ..operators.base import (
     failed_rule,
     missing_table,
 )
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import FILE, TableSet
 from .planner import materialize, summary_columns
 
@@ -56,18 +57,29 @@ class RunResult:
     all_rows: DataFrame
     style: str
     failed: DataFrame | None = None
-    execution: DataFrame | None = None
+    totals: Callable[[DataFrame], DataFrame] | None = None
     inferred: dict | None = None
 
+    @property
+    def execution(self) -> DataFrame | None:
+        return self.totals(self.all_rows) if self.totals else None
+
+    def once(self) -> RunResult:
+        """The same result with its rows (one per rule and file) written to the shared checkpoint folder, so that
+        summary, details and run totals don't run the checks again."""
+        ensure_checkpoint_dir(self.all_rows.sparkSession)
+        return replace(self, all_rows=self.all_rows.checkpoint())
+
     def _cols(self) -> list[str]:
         extra = ["source_file"] if "source_file" in self.all_rows.columns else []
         return [*extra, *summary_columns(self.style)]
 
     def _ordered(self) -> DataFrame:
-        # one row per rule (and file): every part ends in a single-partition
-        # aggregate, so one partition sorted locally replaces a range shuffle
-        keys = ["_ord", "source_file"] if "source_file" in self.all_rows.columns else ["_ord"]
-        return self.all_rows.coalesce(1).sortWithinPartitions(*keys)
+        if "source_file" in self.all_rows.columns:  # grows with the files
+            return self.all_rows.orderBy("_ord", "source_file")
+        # one row per rule: every part ends in a single-partition aggregate,
+        # so one partition sorted locally replaces a range shuffle
+        return self.all_rows.coalesce(1).sortWithinPartitions("_ord")
 
     @property
     def summary(self) -> DataFrame:
@@ -221,7 +233,7 @@ def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], col
     return outcomes, plan
 
 
-def _execution(ts: TableSet, all_rows: DataFrame, row_tables: list[str], inferred: bool) -> DataFrame:
+def _execution(ts: TableSet, row_tables: list[str], inferred: bool, all_rows: DataFrame) -> DataFrame:
     """Run totals as ``(metric, value)`` rows."""
     is_sheet = F.col("test_name") == SHEET_EXISTENCE
     st = F.col("status")
@@ -282,12 +294,12 @@ def run_fields(ts: TableSet, config: Mapping, by_file: bool = False) -> RunResul
     all_rows = materialize(ts.spark, sheet_rows + field_rows + data_rows, "fields", FILE if by_file else None)
     failed = cells.failed_cells(ts, plan, by_file)
     row_tables = [n for n in fields if n in ts]
-    return RunResult(all_rows, "fields", failed, _execution(ts, all_rows, row_tables, False))
+    return RunResult(all_rows, "fields", failed, partial(_execution, ts, row_tables, False))
 
 
 def run_inferred(ts: TableSet, config: Mapping) -> RunResult:
     """Inferred dialect: table existence, check inference per column (one
-    sampling job per table, the only collect), then cell checks."""
+    row per column is collected), then cell checks."""
     sheet_rows, missing = existence.required_tables(ts, config.get("sheet_checks", {}))
     det = config.get("rule_detection", {})
     column_checks = config.get("column_checks", {})
@@ -300,4 +312,4 @@ def run_inferred(ts: TableSet, config: Mapping) -> RunResult:
                                              **column_checks})
     all_rows = materialize(ts.spark, sheet_rows + rule_rows + data_rows, "fields")
     failed = cells.failed_cells(ts, plan)
-    return RunResult(all_rows, "fields", failed, _execution(ts, all_rows, list(column_rules), True), column_rules)
+    return RunResult(all_rows, "fields", failed, partial(_execution, ts, list(column_rules), True), column_rules)

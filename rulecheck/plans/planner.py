@@ -1,11 +1,12 @@
 """Turn a list of check outcomes into ONE summary DataFrame.
 
-Row-local outcomes over the same frame are fused: all their counters go into a
-single aggregate over that frame, so N null/format/comparison rules on a
-table cost one scan, not N. Counters that count distinct keys of failing
-rows (``distinct``) are fused per distinct column: ``groupBy(key)`` with
-``max(fail)`` per rule (partial aggregation collapses hot keys map-side),
-then a global ``count_if``. Plain counters ride along on the first such pass.
+Row-local outcomes over the same frame are fused: their counters go into one
+aggregate over that frame, so N null/format/comparison rules on a table cost
+one scan, not N (beyond COUNTERS_PER_PASS rules a further aggregate, which
+reads its own columns). Counters that count distinct keys of failing rows
+(``distinct``) are fused per distinct column: rows that fail a rule are kept,
+``groupBy(key)`` with ``max(fail)`` per rule (partial aggregation collapses
+hot keys map-side), then a global ``count_if``.
 Each pass yields one row which is turned into one summary row per rule with
 ``inline`` - no join, no driver round-trip. Nothing runs until an action.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.base import Outcome
 from ..functions.names import col
+from . import COUNTERS_PER_PASS
 
 KPI_SUMMARY_SCHEMA = (
     "sheet_name string, field string, test_type string, test_name string, status string, failed_count long"
@@ -52,42 +54,31 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]], group: str | None
         if o.distinct is not None:
             by_key.setdefault(o.distinct, []).append((i, o))
 
-    def plain_aggs(with_offset: bool = True) -> list[Column]:
+    def plain_aggs(some: list[tuple[int, Outcome]]) -> list[Column]:
         aggs = []
-        for i, o in plain:
+        for i, o in some:
             if o.weight is not None:
                 agg = F.coalesce(F.sum(o.weight), F.lit(0))
             else:
                 agg = F.count_if(o.fail)
-            if o.offset and with_offset:
+            if o.offset:
                 agg = agg + F.lit(o.offset)
             aggs.append(agg.alias(f"f{i}"))
             if o.checked is not None:
                 aggs.append(F.count_if(o.checked).alias(f"t{i}"))
         return aggs
 
-    rows: list[DataFrame] = []
-    if not by_key:
-        rows.append(frame.groupBy(*gcols).agg(*plain_aggs()))
-    else:
-        first = True
-        for key, members in by_key.items():
-            inner = [F.max(F.coalesce(o.fail, F.lit(False))).alias(f"f{i}") for i, o in members]
-            outer = [F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i, _ in members]
-            if first and plain:
-                # plain counters: partial counts per key, summed afterwards
-                for c in plain_aggs(with_offset=False):
-                    inner.append(c)
-                for i, o in plain:
-                    outer.append((F.coalesce(F.sum(F.col(f"f{i}")), F.lit(0)) + F.lit(o.offset)).alias(f"f{i}"))
-                    if o.checked is not None:
-                        outer.append(F.coalesce(F.sum(F.col(f"t{i}")), F.lit(0)).alias(f"t{i}"))
-            first = False
-            outer_keys = [F.col("_grp")] if group else []
-            inner_keys = [col(group).alias("_grp")] if group else []
-            rows.append(frame.groupBy(*inner_keys, col(key)).agg(*inner).groupBy(*outer_keys).agg(*outer)
-                        .withColumnRenamed("_grp", group) if group else
-                        frame.groupBy(col(key)).agg(*inner).agg(*outer))
+    rows = [frame.groupBy(*gcols).agg(*plain_aggs(plain[k:k + COUNTERS_PER_PASS])) for k in range(0, len(plain), COUNTERS_PER_PASS)]
+    for key, members in by_key.items():
+        for k in range(0, len(members), COUNTERS_PER_PASS):
+            some = members[k:k + COUNTERS_PER_PASS]
+            fails = [F.coalesce(o.fail, F.lit(False)).alias(f"f{i}") for i, o in some]
+            failing = frame.select(*gcols, col(key), *fails).filter(reduce(lambda x, y: x | y, [F.col(f"f{i}") for i, _ in some]))
+            keys = failing.groupBy(*gcols, col(key)).agg(*[F.max(f"f{i}").alias(f"f{i}") for i, _ in some])
+            if group:  # a file without a failing key still gets its 0
+                keys = keys.unionByName(frame.select(*gcols).distinct().select(
+                    *gcols, F.lit(None).cast(frame.schema[key].dataType).alias(key), *[F.lit(False).alias(f"f{i}") for i, _ in some]))
+            rows.append(keys.groupBy(*gcols).agg(*[F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i, _ in some]))
 
     out = []
     for one in rows:

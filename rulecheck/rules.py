@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import warnings
 from collections.abc import Mapping
 
 from .functions.numbers import OPERATORS, RuleError
@@ -12,8 +13,8 @@ from .functions.numbers import OPERATORS, RuleError
 def load_rules(source) -> dict:
     """A rule set from a dict, a JSON text or a JSON file path.
 
-    Must be a non-empty JSON object. Operators are checked here so that an
-    unknown operator is reported when the rule set is loaded."""
+    Must be a non-empty JSON object. An unknown operator is reported by a
+    warning when the rule set is loaded (in the run it is one failed row)."""
     if isinstance(source, Mapping):
         doc = dict(source)
     elif isinstance(source, str) and os.path.exists(source):
@@ -23,6 +24,8 @@ def load_rules(source) -> dict:
         doc = json.loads(source)
     if not isinstance(doc, dict) or not doc:
         raise RuleError("rule set must be a non-empty JSON object")
+    if bad := bad_operators(doc):
+        warnings.warn(f"rules with an unsupported operator, each a failed row of the run: {', '.join(bad)}", stacklevel=2)
     return doc
 
 
@@ -33,5 +36,5 @@ def bad_operators(doc: Mapping) -> list[str]:
         for rule in doc.get(section, []) or []:
             op = rule.get("operator") if isinstance(rule, Mapping) else None
             if op is not None and op not in OPERATORS:
-                bad.append(rule.get("name", section))
+                bad.append(str(rule.get("name", section)))
     return bad

@@ -28,6 +28,7 @@ def write_report(result: RunResult, path: str, fmt: str = "parquet", mode: str =
                  partition_by: list[str] | None = None) -> dict[str, str]:
     """Write summary, details (field dialects), failed records and execution
     totals under ``path``; returns ``{part: directory}``."""
+    result = result.once()
     parts = {"summary": result.summary}
     if result.style != "kpi":
         parts["details"] = result.details

@@ -1,7 +1,7 @@
 """Column functions on literal vectors (golden values from the documented behaviour)."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType, LongType, StringType
 
 from rulecheck.functions import cells, dates, formula, numbers, text
 
@@ -79,13 +79,20 @@ def test_to_double_types(spark):
     assert df.select(numbers.to_double(F.lit(2.5), DoubleType())).first()[0] == 2.5
 
 
-def test_stable_sum_is_order_independent(spark):
-    vals = [0.1] * 10 + [0.01, 0.02, -0.03]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    for parts in (1, 3, 13):
-        got = df.repartition(parts).agg(numbers.stable_sum(F.col("v"))).first()[0]
-        assert got == 1.0
-    big = spark.createDataFrame([(1e30,), (1.0,), (None,)], "v double")
-    assert big.agg(numbers.stable_sum(F.col("v"))).first()[0] == 1e30 + 1.0
-    empty = spark.createDataFrame([(None,)], "v double")
-    assert empty.agg(numbers.stable_sum(F.col("v"))).first()[0] is None
+def test_group_sum_follows_the_type(spark):
+    row = lambda df, kind: df.agg(numbers.group_sum(F.col("v"), kind)).first()[0]
+    longs = spark.createDataFrame([(2**53,), (1,), (None,)], "v long")
+    assert int(row(longs, LongType())) == 2**53 + 1
+    tiny = spark.createDataFrame([(1e-19,)] * 10, "v double")
+    assert abs(row(tiny, DoubleType()) - 1e-18) < 1e-32
+    big = spark.createDataFrame([(1e20,), (0.25,), (None,)], "v double")
+    assert row(big, DoubleType()) == 1e20
+    text = spark.createDataFrame([("1.5",), ("x",), (None,)], "v string")
+    assert row(text, StringType()) == 1.5
+    assert row(text.filter("v = 'x'"), StringType()) == 0.0
+    assert row(longs.filter("v IS NULL"), LongType()) == 0
+
+
+def test_difference_of_long_sums_is_exact(spark):
+    df = spark.sql("SELECT CAST(9007199254740993 AS DECIMAL(38,0)) a, CAST(9007199254740992 AS DECIMAL(38,0)) b, 1.5D c")
+    assert df.select(numbers.difference(F.col("a"), F.col("b")), numbers.difference(F.col("c"), F.lit(0))).first()[:] == (1.0, 1.5)
