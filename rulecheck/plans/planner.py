@@ -4,9 +4,10 @@ Row-local outcomes over the same frame are fused: their counters go into one
 aggregate over that frame, so N null/format/comparison rules on a table cost
 one scan, not N (beyond COUNTERS_PER_PASS rules a further aggregate, which
 reads its own columns). Counters that count distinct keys of failing rows
-(``distinct``) are fused per distinct column: rows that fail a rule are kept,
-``groupBy(key)`` with ``max(fail)`` per rule (partial aggregation collapses
-hot keys map-side), then a global ``count_if``.
+(``distinct``) are fused per distinct column: ``groupBy(key)`` with
+``max(fail)`` per rule, all rows that pass in one group (partial aggregation
+collapses it and hot keys map-side, so only failing keys are shuffled), then a
+global ``count_if``. Plain counters ride along on the first such passes.
 Each pass yields one row which is turned into one summary row per rule with
 ``inline`` - no join, no driver round-trip. Nothing runs until an action.
 """
@@ -54,31 +55,37 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]], group: str | None
         if o.distinct is not None:
             by_key.setdefault(o.distinct, []).append((i, o))
 
-    def plain_aggs(some: list[tuple[int, Outcome]]) -> list[Column]:
+    def plain_aggs(some: list[tuple[int, Outcome]], with_offset: bool = True) -> list[Column]:
         aggs = []
         for i, o in some:
             if o.weight is not None:
                 agg = F.coalesce(F.sum(o.weight), F.lit(0))
             else:
                 agg = F.count_if(o.fail)
-            if o.offset:
+            if o.offset and with_offset:
                 agg = agg + F.lit(o.offset)
             aggs.append(agg.alias(f"f{i}"))
             if o.checked is not None:
                 aggs.append(F.count_if(o.checked).alias(f"t{i}"))
         return aggs
 
-    rows = [frame.groupBy(*gcols).agg(*plain_aggs(plain[k:k + COUNTERS_PER_PASS])) for k in range(0, len(plain), COUNTERS_PER_PASS)]
+    cut = lambda xs: [xs[k:k + COUNTERS_PER_PASS] for k in range(0, len(xs), COUNTERS_PER_PASS)]
+    chunks, rows = cut(plain), []
     for key, members in by_key.items():
-        for k in range(0, len(members), COUNTERS_PER_PASS):
-            some = members[k:k + COUNTERS_PER_PASS]
-            fails = [F.coalesce(o.fail, F.lit(False)).alias(f"f{i}") for i, o in some]
-            failing = frame.select(*gcols, col(key), *fails).filter(reduce(lambda x, y: x | y, [F.col(f"f{i}") for i, _ in some]))
-            keys = failing.groupBy(*gcols, col(key)).agg(*[F.max(f"f{i}").alias(f"f{i}") for i, _ in some])
-            if group:  # a file without a failing key still gets its 0
-                keys = keys.unionByName(frame.select(*gcols).distinct().select(
-                    *gcols, F.lit(None).cast(frame.schema[key].dataType).alias(key), *[F.lit(False).alias(f"f{i}") for i, _ in some]))
-            rows.append(keys.groupBy(*gcols).agg(*[F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i, _ in some]))
+        for some in cut(members):
+            riding = chunks.pop(0) if chunks else []
+            fails = {i: F.coalesce(o.fail, F.lit(False)) for i, o in some}
+            any_fail = reduce(lambda x, y: x | y, fails.values())
+            # rows that pass share one group, so only failing keys are shuffled
+            inner = [F.max(f).alias(f"f{i}") for i, f in fails.items()] + plain_aggs(riding, with_offset=False)
+            outer = [F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i in fails]
+            for i, o in riding:
+                outer.append((F.coalesce(F.sum(f"f{i}"), F.lit(0)) + F.lit(o.offset)).alias(f"f{i}"))
+                if o.checked is not None:
+                    outer.append(F.coalesce(F.sum(f"t{i}"), F.lit(0)).alias(f"t{i}"))
+            keys = frame.groupBy(*gcols, any_fail.alias("_fails"), F.when(any_fail, col(key)).alias("_key")).agg(*inner)
+            rows.append(keys.groupBy(*gcols).agg(*outer))
+    rows += [frame.groupBy(*gcols).agg(*plain_aggs(some)) for some in chunks]
 
     out = []
     for one in rows:
