@@ -4,7 +4,7 @@ concatenation is a piece (highest score first, then leftmost).
 In such an encoding every prefix of a text has exactly one last token t for which the encoding of the prefix without t,
 followed by t, is stable: t and the token before it do not merge differently across their border. So a table over
 prefixes holds the last token and the count of each prefix's own encoding; the next entry is found by trying the pieces
-that end there. One pass answers the count of every prefix: truncation and budgets need no second encoding.
+that end there (an automaton over all pieces names them). One pass answers the count of every prefix: truncation and budgets need no second encoding.
 
 No piece of the vocabulary holds a space mark after another character, so the table of a text is put together from
 those of its words, and those of common words are kept (a bounded number).
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -84,7 +85,13 @@ class PrefixCounter:
 
     def __init__(self, pieces: Pieces):
         self.p = pieces
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.names = sorted(p for p in pieces.whole if p[-1] in pieces.ranks)  # others end in bytes
+        self.sizes = [*map(len, self.names)]
+        self.ending = ahocorasick.Automaton(ahocorasick.STORE_INTS)  # finds all pieces that end at each character
+        for n, p in enumerate(self.names):
+            self.ending.add_word(p, n)
+        self.ending.make_automaton()
+        self.fits: dict[int, bool] = {}
         self.tables: dict[str, tuple[int, ...]] = {}
         self.runs = [0] + [len(merged(SPACE * k, pieces.ranks)) for k in range(1, 4 * pieces.longest + 1)]
         # a character that no piece holds is spelt in bytes and separates what stands beside it
@@ -98,34 +105,41 @@ class PrefixCounter:
         most, whole = len(self.runs) - 1, self.p.longest
         return self.runs[k] if k <= most else (k - most + whole - 1) // whole + self.runs[k - (k - most + whole - 1) // whole * whole]
 
-    def fit(self, a: str, b: str) -> bool:
-        found = self.fits.get((a, b))
-        if found is None:
-            if len(self.fits) > 4 * KNOWN_WORDS:
-                self.fits.clear()
-            found = self.fits[a, b] = merged(a + b, self.p.ranks) == [a, b]
+    def fit(self, pair: int) -> bool:
+        """Whether two pieces (first * number of pieces + second) stay apart side by side."""
+        if len(self.fits) > 4 * KNOWN_WORDS:
+            self.fits.clear()
+        a, b = (self.names[n] for n in divmod(pair, len(self.names)))
+        found = self.fits[pair] = merged(a + b, self.p.ranks) == [a, b]
         return found
 
     def table(self, word: str) -> tuple[list[int], list[bool]]:
         """For each prefix of a word: its token count, and whether its encoding begins with a lone space mark."""
-        whole, longest, fits, ranks = self.p.whole, self.p.longest, self.fits, self.p.ranks
-        count, lone, last = [0], [False], [None]
-        for i in range(1, len(word) + 1):
-            c = word[i - 1]
-            if c not in ranks:  # bytes
+        sizes, fits, names = self.sizes, self.fits, len(self.names)
+        count, lone, last = [0], [False], [-1]  # -1: no piece ends there
+
+        def spelt(until: int) -> None:  # characters that no piece ends with, in bytes
+            for c in word[len(last) - 1:until]:
                 count.append(count[-1] + len(c.encode()))
                 lone.append(lone[-1])
-                last.append(None)
-                continue
-            for j in range(max(0, i - longest), i):
-                t = word[j:i]
-                if t in whole:
-                    before = last[j]
-                    if before is None or fits.get((before, t)) or (before, t) not in fits and self.fit(before, t):
-                        break
+                last.append(-1)
+
+        for end, t in self.ending.iter(word):
+            if len(last) > end + 1:
+                continue  # the last token of this prefix is found
+            if len(last) <= end:
+                spelt(end)
+            j = end + 1 - sizes[t]
+            before = last[j]
+            if before >= 0:
+                pair = before * names + t
+                fits_here = fits.get(pair)
+                if not (self.fit(pair) if fits_here is None else fits_here):
+                    continue
             count.append(count[j] + 1)
-            lone.append(lone[j] if j else t == SPACE)
+            lone.append(lone[j] if j else sizes[t] == 1 and word[0] == SPACE)
             last.append(t)
+        spelt(len(word))
         return count, lone
 
     def prefixes(self, word: str) -> tuple[int, ...]:
