@@ -2,13 +2,15 @@
 
 A formula such as ``((A + B) / C) * 100`` is read with Python's ``ast`` and
 turned into a Column over the named columns. Only arithmetic is allowed:
-``+ - * / ** %``, unary signs, parentheses, names and numbers. Division
-follows IEEE (x/0 = +-inf, 0/0 = missing) like pandas does.
+``+ - * / ** %``, unary signs, parentheses, names and numbers; names that are
+no identifiers stand in back-quotes. Division follows IEEE (x/0 = +-inf,
+0/0 = missing) like pandas does.
 """
 
 from __future__ import annotations
 
 import ast
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
@@ -16,21 +18,33 @@ from pyspark.sql import functions as F
 
 from .numbers import RuleError, no_nan, safe_divide, safe_mod
 
+_QUOTED = re.compile(r"`([^`]+)`")
+
 
 def formula_names(formula: str) -> list[str]:
     """Column names a formula refers to, in order of appearance."""
-    tree = _parse(formula)
+    tree, quoted = _parse(formula)
     names = sorted((n.col_offset, n.id) for n in ast.walk(tree) if isinstance(n, ast.Name))
     seen: list[str] = []
     for _, name in names:
-        if name not in seen:
-            seen.append(name)
+        if (own := quoted.get(name, name)) not in seen:
+            seen.append(own)
     return seen
 
 
-def _parse(formula: str) -> ast.Expression:
+def _parse(formula: str) -> tuple[ast.Expression, dict[str, str]]:
+    """The formula's tree, and the back-quoted name that each stand-in means."""
+    prefix = "_q"
+    while prefix in formula:
+        prefix += "_"
+    quoted: dict[str, str] = {}
+
+    def stand_in(found: re.Match) -> str:
+        quoted[name := f"{prefix}{len(quoted)}"] = found[1]
+        return f" {name} "
+
     try:
-        return ast.parse(formula.strip(), mode="eval")
+        return ast.parse(_QUOTED.sub(stand_in, formula).strip(), mode="eval"), quoted
     except SyntaxError as e:
         raise RuleError(f"bad formula {formula!r}: {e.msg}") from e
 
@@ -38,6 +52,7 @@ def _parse(formula: str) -> ast.Expression:
 def formula_column(formula: str, resolve: Callable[[str], Column] | Mapping[str, Column]) -> Column:
     """Column computing ``formula``; names are resolved through ``resolve``."""
     lookup = resolve if callable(resolve) else resolve.__getitem__
+    tree, quoted = _parse(formula)
 
     def walk(node: ast.AST) -> Column:
         if isinstance(node, ast.Expression):
@@ -45,10 +60,11 @@ def formula_column(formula: str, resolve: Callable[[str], Column] | Mapping[str,
         if isinstance(node, ast.Constant) and isinstance(node.value, (int, float)) and not isinstance(node.value, bool):
             return F.lit(float(node.value))
         if isinstance(node, ast.Name):
+            name = quoted.get(node.id, node.id)
             try:
-                return lookup(node.id).try_cast("double")  # text that is no number is missing
+                return lookup(name).try_cast("double")  # text that is no number is missing
             except KeyError as e:
-                raise RuleError(f"unknown column {node.id!r} in formula {formula!r}") from e
+                raise RuleError(f"unknown column {name!r} in formula {formula!r}") from e
         if isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.UAdd, ast.USub)):
             v = walk(node.operand)
             return -v if isinstance(node.op, ast.USub) else v
@@ -69,4 +85,4 @@ def formula_column(formula: str, resolve: Callable[[str], Column] | Mapping[str,
         raise RuleError(f"unsupported element {type(node).__name__} in formula {formula!r}")
 
     # inf - inf and similar give NaN, which pandas treats as missing
-    return no_nan(walk(_parse(formula)))
+    return no_nan(walk(tree))

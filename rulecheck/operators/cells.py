@@ -3,9 +3,9 @@
 Blank cells (NULL or exactly '') are skipped and not counted; every other
 cell is checked. For the summary all (column, check) pairs of a table are
 counted in ONE fused aggregate. Failed cells come from ONE pass per table:
-each row builds an array of its failing (column, check) structs, which is
-filtered and exploded - so the output is one row per failing cell and
-nothing is collected.
+only rows with a failing cell build an array of their failing (rule number,
+value) structs, which is exploded and labelled - so the output is one row per
+failing cell and nothing is collected.
 """
 
 from __future__ import annotations
@@ -62,7 +62,7 @@ def failed_cells(ts: TableSet, plan: Sequence[tuple[str, str, str, Mapping | Non
         t = ts.get(sheet)
         frame = t.ordered()
         row = (F.col(ROW_NO) + 2) if t.has_row_numbers() else F.lit(None).cast("long")
-        structs = []
+        fails, structs, labels = [], [], []
         for column, check, params in items:
             dtype = t.dtype(column)
             c = col(column)
@@ -70,20 +70,23 @@ def failed_cells(ts: TableSet, plan: Sequence[tuple[str, str, str, Mapping | Non
             if ok is None:
                 continue
             fail = ~is_blank_cell(c, dtype) & ~ok
-            structs.append(F.when(fail, F.struct(
+            fails.append(fail)
+            structs.append(F.when(fail, F.struct(F.lit(len(labels)).alias("rule"), c.cast("string").alias("value"))))
+            labels.append(F.struct(
                 F.lit(column).alias("field"),
-                c.cast("string").alias("value"),
                 F.lit(check).alias("validation_type"),
                 F.lit(datatype_label(check)).alias("required_datatype"),
                 F.lit(error_message(check, column)).alias("error_message"),
-            )))
+            ))
         if not structs:
             continue
         failing = F.filter(F.array(*structs), lambda s: s.isNotNull())
         parts.append(
-            frame.select(row.cast("long").alias("row"), F.col(FILE).alias("_f"), F.explode(failing).alias("_x"))
-            .select(F.lit(sheet).alias("sheet_name"), "_x.field", "row", "_x.value", "_x.validation_type",
-                    "_x.required_datatype", "_x.error_message", *([F.col("_f").alias("source_file")] if by_file else []))
+            frame.filter(reduce(lambda x, y: x | y, fails))
+            .select(row.cast("long").alias("row"), F.col(FILE).alias("_f"), F.explode(failing).alias("_x"))
+            .select("row", "_f", "_x.value", F.get(F.array(*labels), F.col("_x.rule")).alias("_l"))
+            .select(F.lit(sheet).alias("sheet_name"), "_l.field", "row", "value", "_l.validation_type",
+                    "_l.required_datatype", "_l.error_message", *([F.col("_f").alias("source_file")] if by_file else []))
         )
     if not parts:
         schema = FAILED_SCHEMA + (", source_file string" if by_file else "")

@@ -78,10 +78,9 @@ def _ordinal_by_split(raw: DataFrame) -> DataFrame:
     splits = base.groupBy(FILE, "_blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(FILE).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select(FILE, "_blk", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # ``splits`` holds one row per file split: its size is bounded by
-    # (input bytes / split size) - about 10^6 rows for 100 TB of 128 MB splits -
-    # so it is broadcast and the data side is never shuffled for this join.
-    return base.join(F.broadcast(splits), [FILE, "_blk"]).select(
+    # ``splits`` holds one row per file split, so it grows with the input: AQE
+    # broadcasts it where its measured size allows, else both sides are dealt by split.
+    return base.join(splits, [FILE, "_blk"]).select(
         *[col(c) for c in raw.columns], (F.col("_off") + F.col("_mid") - F.col("_first")).alias(ROW_NO), col(FILE))
 
 
