@@ -5,13 +5,13 @@ of VECTORS hash functions picks the PICKS least labelled k-mers and keeps them i
 such vector share a bucket. Two texts are linked if their edit distance over words is at most (1 - SIMILARITY) of the
 longer one's length; classes are the connected components of the links, named by their least doc_id.
 
-No bucket emits all its pairs. Equal texts are one node from the start (by digest, after a partial aggregate). In each
-bucket one leader, the member with the most company in all its buckets and so the most central one, is compared with
-every member. Members that are not of its class after that (they may share no more than a common passage) are dealt anew
-by the next vector too, under a leader drawn by a hash, round after round, until every bucket is of one class. So the
-pairs of a round are fewer than the places in buckets, which only become fewer, and texts that agree in many vectors meet
-in ever smaller buckets, under ever other leaders. A link can be missed only
-where two texts follow different leaders in every bucket they share; the README gives the recall measured.
+Every two texts that share a bucket are settled. Equal texts are one node from the start (by digest, after a partial
+aggregate). In each bucket the leader, the member with the most company in all its buckets and so the most central one,
+is aligned with every member. Buckets that still hold several classes (their texts may share no more than a common
+passage) are then gone through pair by pair, in blocks of at most BLOCK members of like length: pairs of one class are
+settled, and pairs whose lengths or word counts (binned, a lower bound of the edit distance) rule a link out are no
+links. The rest is aligned, first the nearest pair of each text and class, then all that are still in two classes. So
+the classes are exact among texts that share a bucket; what the buckets miss is stated in the README.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from rulecheck.llm.common import free_name, materialize, table
 K, PICKS, VECTORS, SIMILARITY = 5, 3, 24, 0.8
 KNOWN_WORDS = 300_000
 PAIRS_PER_TASK = 256  # of one leader, before it is sent to several tasks
+BLOCK = 1024  # members of a bucket that are compared with each other at once
+BINS = 256  # word counts of a text, for the lower bound of an edit distance
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -228,46 +230,147 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped.select("node", "label")
 
 
+def _close(verified: DataFrame) -> DataFrame:
+    return verified.filter(F.col("d") <= _limit(F.col("n_hub"), F.col("n_node"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+
+
+def _settled(verified: DataFrame) -> DataFrame:
+    return verified.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")).distinct()
+
+
+def length_classes(most: int = 2**31 - 1) -> list[int]:
+    """The least length of each class: texts that are two classes apart differ in length by more than a link may."""
+    least = [1]
+    while least[-1] <= most:
+        n = least[-1] + 1
+        n = max(n, least[-1] * 1000 // round(1000 * SIMILARITY))
+        while n - threshold(n) <= least[-1]:
+            n += 1
+        least.append(n)
+    return least[:-1]
+
+
+def bins(packed: bytes) -> np.ndarray:
+    counts = np.bincount(np.frombuffer(zlib.decompress(packed), np.uint32) % BINS, minlength=BINS)
+    return np.minimum(counts, 65_535).astype(np.uint16)
+
+
+def possible(a: np.ndarray, n: int, others: np.ndarray, ns: np.ndarray) -> np.ndarray:
+    """A lower bound of the edit distance of a text (bins, words) from others; -1 where it rules a link out."""
+    limit = threshold(np.maximum(n, ns))
+    least = np.abs(ns - n)
+    at = np.flatnonzero(least <= limit)
+    common = np.minimum(a[None, :], others[at]).sum(axis=1, dtype=np.int64)
+    least[at] = np.maximum(least[at], np.maximum(a.sum(dtype=np.int64), others[at].sum(axis=1, dtype=np.int64)) - common)
+    return np.where(least <= limit, least, -1)
+
+
+def open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataFrame:
+    """members(key, node) -> hub, node, label (of node), least: the pairs of a bucket that are of two classes and may be links.
+
+    A bucket of up to BLOCK members is one block. A larger one is cut by classes of length, and those by a hash into
+    blocks; each block meets itself and the blocks of its own and the next class, so no task holds a whole bucket.
+    """
+    named = members.join(labels.select(F.col("node").alias("n_"), "label"), F.col("node") == F.col("n_"), "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
+    counts = named.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    several = named.join(counts.select(F.col("key").alias("k_"), "members"), F.col("key") == F.col("k_"))
+    lengths = words.select(F.col("node").alias("w_"), F.col("n_words").alias("n"))
+    classes = F.size(F.filter(F.array(*map(F.lit, length_classes())), lambda least: least <= F.col("n")))
+    cells = materialize(several.join(lengths, F.col("node") == F.col("w_")).select(
+        "key", "node", "label", F.when(F.col("members") <= BLOCK, 0).otherwise(classes).alias("cell")), "cells")
+    parts = materialize(cells.groupBy("key", "cell").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "parts")
+    beside = lambda by, name: parts.select(F.col("key").alias(f"{name}_k"), (F.col("cell") - by).alias(f"{name}_c"), F.col("parts").alias(name)).filter(F.col(f"{name}_c") + by > 0)
+    around = parts
+    for by, name in ((1, "after"), (-1, "before")):
+        around = around.join(beside(by, name), (F.col("key") == F.col(f"{name}_k")) & (F.col("cell") == F.col(f"{name}_c")) & (F.col("cell") > 0), "left")
+    around = around.select(F.col("key").alias("k_"), F.col("cell").alias("c_"), "members", "parts", "after", "before")
+    sub = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+
+    def meet(n: Column, block) -> Column:
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), block)).otherwise(F.array().cast("array<struct<place:bigint,side:int>>"))
+
+    def place(cell: Column, kind: int, s: Column, t: Column, side: Column) -> Column:
+        return F.struct((((cell * 2 + kind).cast("bigint") * 2**20 + s) * 2**20 + t).alias("place"), side.cast("int").alias("side"))
+
+    cell, own = F.col("cell"), F.col("sub")
+    met = F.concat(meet(F.when(F.col("members") > 1, F.col("parts")), lambda t: place(cell, 0, F.least(own, t), F.greatest(own, t), own > t)),
+                   meet(F.col("after"), lambda t: place(cell, 1, own, t, F.lit(0))), meet(F.col("before"), lambda t: place(cell - 1, 1, t, own, F.lit(1))))
+    dealt = (cells.join(around, (F.col("key") == F.col("k_")) & (cell == F.col("c_"))).withColumn("sub", sub)
+             .select("key", "node", "label", F.explode(met).alias("m")).select("key", "node", "label", "m.place", "m.side"))
+
+    def make():
+        return lambda packed: [pa.array([bins(p).tobytes() for p in packed], pa.binary())]
+
+    binned = with_columns(words, "words", [T.StructField("bins", T.BinaryType())], make).select(F.col("node").alias("b_"), "n_words", "bins")
+    rows = (dealt.join(binned, F.col("node") == F.col("b_")).drop("b_").repartition("key", "place").sortWithinPartitions("key", "place"))
+
+    def settle(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        nodes, labels, ns, side = (block.column(c).to_numpy() for c in ("node", "label", "n_words", "side"))
+        counts = np.frombuffer(b"".join(block.column("bins").to_pylist()), np.uint16).reshape(len(ns), BINS)
+        ns, right = ns.astype(np.int64), np.flatnonzero(side == 1)
+        for i in range(len(ns)):
+            if side[i]:
+                continue
+            others = right if len(right) else np.arange(i + 1, len(ns))
+            others = others[labels[others] != labels[i]]
+            if block.column("place")[0].as_py() >> 40 & 1 and not len(right) or not len(others):
+                continue
+            least = possible(counts[i], ns[i], counts[others], ns[others])
+            others, least = others[least >= 0], least[least >= 0]
+            if len(others):
+                first = [(nodes[i], nodes[j], labels[j]) if nodes[i] < nodes[j] else (nodes[j], nodes[i], labels[i]) for j in others]
+                yield pa.RecordBatch.from_arrays([*(pa.array(list(c), pa.binary()) for c in zip(*first, strict=True)), pa.array(least, pa.int64())],
+                                                 names=["hub", "node", "label", "least"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table_ = pa.Table.from_batches([batch])
+            held = table_ if held is None else pa.concat_tables([held, table_]).combine_chunks()
+            keys, places = held.column("key").to_numpy(), held.column("place").to_numpy()
+            starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]) | (places[1:] != places[:-1])) + 1).tolist()]
+            for x, y in zip(starts[:-1], starts[1:], strict=True):
+                yield from settle(held.slice(x, y - x))
+            held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield from settle(held)
+
+    found = rows.mapInArrow(run, "hub binary, node binary, label binary, least bigint")
+    return found.dropDuplicates(["hub", "node"])
+
+
 def links(sketched: DataFrame) -> DataFrame | None:
     """The verified links (a, b) of a materialised table of sketches; None if no two texts share a bucket."""
     nodes = sketched.filter("n_words > 0 AND node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
     # one row of each text: joined on both keys, so the copies of a frequent text are spread
     one = sketched.select("doc_id", "node", "keys").join(
         nodes.select(F.col("node").alias("n"), "rep"), (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    held = one.select("node", F.posexplode("keys").alias("at", "key")).distinct()
+    held = one.select("node", F.explode("keys").alias("key")).distinct()
     size = F.count(F.lit(1)).over(Window.partitionBy("key"))
     shared = materialize(held.withColumn("size", size).filter("size > 1"), "buckets")
     company = shared.groupBy("node").agg(F.sum("size").alias("company"))
-    vectors_of = one.select(F.col("node").alias("same"), "keys")
-    members = materialize(shared.join(company, "node").join(vectors_of, F.col("node") == F.col("same"), "left").select(
-        "key", "at", "node", "company", "keys"), "members")
+    members = materialize(shared.join(company, "node").select("key", "node", "company"), "members")
     if members.isEmpty():
         return None
     wanted = members.select("node").distinct().join(nodes, "node").select(F.col("node").alias("n"), "rep")
     words = materialize(sketched.select("doc_id", "node", "n_words", "words").join(
         wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
         .select("node", "n_words", "words").dropDuplicates(["node"]), "words")
-    open_, known, depth = members, None, 0
-    while True:
-        depth += 1
-        order = [F.desc("company")] if depth == 1 else [F.xxhash64("key", "node")]
-        central = Window.partitionBy("key").orderBy(*order, "node")
-        led = materialize(open_.withColumn("hub", F.first("node").over(central)).filter("hub <> node"), "led")
-        pairs = led.select("hub", "node").distinct()
-        fresh = materialize(verify(pairs if known is None else pairs.join(known, ["hub", "node"], "left_anti"), words), "verified")
-        known = fresh if known is None else known.unionByName(fresh)
-        close = known.filter(F.col("d") <= _limit(F.col("n_hub"), F.col("n_node"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        labels = components(close)
+    central = Window.partitionBy("key").orderBy(F.desc("company"), "node")
+    led = members.withColumn("hub", F.first("node").over(central)).filter("hub <> node")
+    known = materialize(verify(led.select("hub", "node").distinct(), words), "verified")
+    rest = materialize(open_pairs(members.select("key", "node"), components(_close(known)), words), "open")
+    if not rest.isEmpty():
+        nearest = materialize(rest.groupBy("hub", "label").agg(F.min_by("node", F.struct("least", "node")).alias("node")).select("hub", "node"), "nearest")
+        known = known.unionByName(materialize(verify(nearest.join(_settled(known), ["hub", "node"], "left_anti"), words), "verified"))
+        labels = materialize(components(_close(known)), "labels")
         of = lambda c: labels.select(F.col("node").alias(f"{c}_"), F.col("label").alias(f"{c}_label"))
-        named = led.join(of("node"), F.col("node") == F.col("node_"), "left").join(of("hub"), F.col("hub") == F.col("hub_"), "left")
-        rest = named.withColumn("label", F.coalesce("node_label", "node")).filter(F.col("label") != F.coalesce("hub_label", "hub"))
-        following = F.get("keys", F.pmod(F.col("at") + depth, F.lit(VECTORS)))
-        dealt = rest.select(F.xxhash64("key", following).alias("key"), "at", "node", "company", "keys", "label")
-        alike = Window.partitionBy("key")
-        open_ = materialize(dealt.withColumns({"least": F.min("label").over(alike), "most": F.max("label").over(alike)})
-                            .filter("least <> most").drop("label", "least", "most"), "open")
-        if depth == VECTORS - 1 or open_.isEmpty():  # texts that agree in all vectors have met under each of them
-            return close
+        named = rest.select("hub", "node").join(of("hub"), F.col("hub") == F.col("hub_"), "left").join(of("node"), F.col("node") == F.col("node_"), "left")
+        apart = named.filter(F.coalesce("hub_label", "hub") != F.coalesce("node_label", "node")).select("hub", "node")
+        known = known.unionByName(materialize(verify(apart.join(_settled(known), ["hub", "node"], "left_anti"), words), "verified"))
+    close = _close(known)  # a pair may have been led by either of its texts
+    return close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
