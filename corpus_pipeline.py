@@ -18,9 +18,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules (operator 9), cutoffs certified on the table labels."""
+    """Documents that pass the quality rules (operator 9), a joint rule for each class of length certified on the table labels."""
     work = shield(docs, "doc_id", "text")
-    told = quality.judge(work, table(spark, sf_dir, "labels"), keep_text=True).filter("kept")
+    told = quality.judge(work, table(spark, sf_dir, "labels"), keep_text=True, joint=True).filter("kept")
     return told.select(*restore(told, docs.columns))
 
 

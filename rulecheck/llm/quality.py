@@ -7,6 +7,9 @@ rejects k of n good documents is certified if P(Binomial(n, a) <= k) <= d. Corre
 signals' rejections add up), d = delta / (strata * signals) (Bonferroni); along the fixed list of cutoffs the tests go
 from loose to strict and stop at the first failure, which needs no further correction. Among the certified cutoffs the
 loosest of those that reject the most bad documents is taken, so good ones are not given away for nothing.
+
+``joint_cuts`` spends the same budget on one joint rule for each class (or pool of thin classes), which needs far fewer
+good labels; the pipeline uses it. The registered query keeps the corrections above, which its SQL fixes.
 """
 
 from __future__ import annotations
@@ -133,15 +136,82 @@ def thresholds(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     return best
 
 
+def tail(n: int, k: int, p: float) -> float:
+    """P(Binomial(n, p) <= k)."""
+    ways = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+    return math.fsum(math.exp(ways(i) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
+
+
+def pools(good: list[int], alpha: float, delta: float) -> list[list[int]]:
+    """Neighbouring strata, each pool with good labels enough to certify a rule that rejects none of them, or all in one.
+
+    Only the numbers of labels decide, no signal of a document.
+    """
+    need = math.log(delta / len(STRATA)) / math.log1p(-alpha)
+    found: list[list[int]] = [[]]
+    for k in range(len(STRATA)):
+        if sum(good[j] for j in found[-1]) >= need:
+            found.append([])
+        found[-1].append(k)
+    if len(found) > 1 and sum(good[j] for j in found[-1]) < need:
+        found[-2:] = [found[-2] + found[-1]]
+    return found
+
+
+def joint_cuts(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> list[tuple[list[int], int, int, dict[str, int]]]:
+    """(strata, n, k, cutoffs) of each pool: its joint rule rejects k of n good documents, and a share of at most ``alpha``
+    of all good ones of the pool, for all pools at once with confidence 1 - ``delta``. Signals without a cutoff are not in it.
+
+    The rules of a pool form a chain, each rejecting what the one before rejects and more: one signal's cutoffs from loose
+    to strict, then the next signal's beside it. The chain is made from the bad documents alone (signals that reject more
+    of them first, only cutoffs that reject further ones), so it is fixed for the good ones, which are tested along it up to
+    the first failure: every test may have the whole alpha, and delta is divided by the pools only. The labels count as
+    in ``thresholds``. The driver gets a row for each (stratum, signal, cutoff) and each (pool, rule).
+    """
+    told = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    held = materialize(counted.filter(~base_failed()).join(told, "doc_id").select(
+        stratum().alias("stratum"), (F.col("quality") >= 1).alias("good"), *[signal(n).alias(n) for n in SIGNALS]), "quality-held")
+    good = {r["stratum"]: r["count"] for r in held.filter("good").groupBy("stratum").count().collect()}
+    over = [F.count_if(F.col(n) > c).alias(f"{n}_{c}") for n in SIGNALS for c in CUTOFFS]
+    bad = {r["stratum"]: r for r in held.filter("NOT good").groupBy("stratum").agg(*over).collect()}
+    groups = pools([good.get(k, 0) for k in range(len(STRATA))], alpha, delta)
+    chains = []
+    for own in groups:
+        caught = {(n, c): sum(bad[k][f"{n}_{c}"] for k in own if k in bad) for n in SIGNALS for c in CUTOFFS}
+        by_signal = {n: [c for c, before in zip(CUTOFFS, [None, *CUTOFFS]) if caught[n, c] > (caught[n, before] if before else 0)] for n in SIGNALS}
+        first = sorted(SIGNALS, key=lambda n: -max(caught[n, c] for c in CUTOFFS))
+        chains.append([(n, c) for n in first for c in by_signal[n]])
+    step = F.lit(0)
+    for own, chain in zip(groups, chains, strict=True):
+        if chain:  # the first rule of the chain that rejects the document, from 1
+            step = F.when(F.col("stratum").isin(own), F.array_position(F.array(*[F.col(n) > c for n, c in chain]), True)).otherwise(step)
+    hit = {(r["stratum"], r["step"]): r["count"] for r in held.filter("good").groupBy("stratum", step.alias("step")).count().collect()}
+    out = []
+    for own, chain in zip(groups, chains, strict=True):
+        n, k, cuts = sum(good.get(j, 0) for j in own), 0, {}
+        for at, (name, cutoff) in enumerate(chain, 1):
+            more = k + sum(hit.get((j, at), 0) for j in own)
+            if more >= n * alpha or tail(n, more, alpha) > delta / len(groups):
+                break
+            k, cuts = more, cuts | {name: cutoff}
+        out.append((own, n, k, cuts))
+    return out
+
+
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", alpha: float = ALPHA, delta: float = DELTA,
-          keep_text: bool = False) -> DataFrame:
+          keep_text: bool = False, joint: bool = False) -> DataFrame:
     """docs (without its text, unless kept) with the COUNTS, base_failed and kept, which replace columns of their names.
 
     kept is false for a document that fails the base rules or has a signal above its stratum's certified cutoff. Null
     text counts as no words; every row of docs gives one row; without labels no cutoff is certified and the base rules
-    decide alone. doc_id must be there.
+    decide alone. doc_id must be there. ``joint``: the cutoffs of ``joint_cuts``.
     """
     counted = materialize(signals(docs, text, keep_text), "quality-signals")
+    if joint:
+        over = reduce(lambda x, y: x | y, [stratum().isin(own) & (signal(n) > c) for own, _, _, cuts in joint_cuts(
+            counted.select("doc_id", *COUNTS), labels, alpha, delta) for n, c in cuts.items()], F.lit(False))
+        work = shield(counted, *COUNTS).withColumns({"base_failed": base_failed(), "kept": ~(base_failed() | over)})
+        return work.select(*restore(work, counted.columns, ["base_failed", "kept"]))
     cut = thresholds(counted.select("doc_id", *COUNTS), labels, alpha, delta)
     cut = F.broadcast(cut.select(F.col("stratum").alias("_stratum"), F.struct(*SIGNALS).alias("_cut")))  # len(STRATA) rows at most
     work = shield(counted, *COUNTS)
