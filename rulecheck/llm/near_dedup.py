@@ -33,6 +33,7 @@ from rulecheck.llm.common import free_name, materialize, table
 K, PICKS, VECTORS, SIMILARITY = 5, 3, 24, 0.8
 KNOWN_WORDS = 300_000
 PAIRS_PER_TASK = 256  # of one leader, before it is sent to several tasks
+SHORT = 9  # words of a text up to which a link is one edit at most
 BLOCK = 1024  # members of a bucket that are compared with each other at once
 BINS = 256  # word counts of a text, for the lower bound of an edit distance
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -86,6 +87,21 @@ def vectors(hashes: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def short_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of a text of at most SHORT words, which has few k-mers or none that an edit leaves: the whole and, where one
+    edit makes a link, all but one word. Texts of at most SHORT words that are a link share one of them."""
+    n = len(hashes)
+    if not 0 < n <= SHORT:
+        return np.zeros(0, np.int64)
+    keys = []
+    for sequence in [hashes, *(np.delete(hashes, i) for i in range(n) if threshold(n))]:
+        key = np.array([_C])
+        for w in sequence:
+            key = _mix(key * _C + w)
+        keys.append(key[0])
+    return np.unique(np.array(keys, np.uint64)).view(np.int64)
+
+
 def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs(doc_id, text) -> doc_id, node (digest of the text, null for null), n_words, words (packed), keys."""
     fields = [T.StructField("node", T.BinaryType()), T.StructField("n_words", T.IntegerType()),
@@ -98,7 +114,7 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
             hashes = [word_hashes(t.lower().encode().split(), known) for t in texts]
             return [pa.array([hashlib.md5(t.encode()).digest() for t in texts], pa.binary()), pa.array([len(h) for h in hashes], pa.int32()),
                     pa.array([zlib.compress(h.astype(np.uint32).tobytes(), 1) for h in hashes], pa.binary()),
-                    pa.array([vectors(h) for h in hashes], pa.list_(pa.int64()))]
+                    pa.array([np.concatenate([vectors(h), short_keys(h)]) for h in hashes], pa.list_(pa.int64()))]
 
         return work
 
