@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ from rulecheck.llm.common import free_name, materialize, table
 K, PICKS, VECTORS, SIMILARITY = 5, 3, 24, 0.8
 KNOWN_WORDS = 300_000
 PAIRS_PER_TASK = 256  # of one leader, before it is sent to several tasks
+HOT_KEY = 20_000  # members of a bucket, above which they are dealt to several tasks
 SHORT = 9  # words of a text up to which a link is one edit at most
 BLOCK = 1024  # members of a bucket that are compared with each other at once
 BINS = 256  # word counts of a text, for the lower bound of an edit distance
@@ -281,26 +282,40 @@ def possible(a: np.ndarray, n: int, others: np.ndarray, ns: np.ndarray) -> np.nd
     return np.where(least <= limit, least, -1)
 
 
+def by_key(rows: DataFrame, facts: DataFrame, columns: list[str], *also: str) -> DataFrame:
+    """rows(key, size, node, ..) with ``columns`` of facts(key, size, ..), one row for each key (and ``also``).
+
+    Rows of a key of more than HOT_KEY are dealt to several tasks, to each of which its fact is copied.
+    """
+    parts = F.ceil(F.col("size") / HOT_KEY).cast("int")
+    copies = facts.select(F.col("key").alias("k_"), *[F.col(c).alias(f"{c}_k") for c in also], F.explode(F.sequence(F.lit(0), parts - 1)).alias("p_"), *columns)
+    dealt = rows.withColumn("part_", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    same = (F.col("key") == F.col("k_")) & (F.col("part_") == F.col("p_"))
+    for c in also:
+        same &= F.col(c) == F.col(f"{c}_k")
+    return dealt.join(copies, same).select(*rows.columns, *columns)
+
+
 def open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataFrame:
-    """members(key, node) -> hub, node, label (of node), least: the pairs of a bucket that are of two classes and may be links.
+    """members(key, node, size) -> hub, node, label (of node), least: the pairs of a bucket that are of two classes and may be links.
 
     A bucket of up to BLOCK members is one block. A larger one is cut by classes of length, and those by a hash into
     blocks; each block meets itself and the blocks of its own and the next class, so no task holds a whole bucket.
     """
     named = members.join(labels.select(F.col("node").alias("n_"), "label"), F.col("node") == F.col("n_"), "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"))
-    counts = named.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    several = named.join(counts.select(F.col("key").alias("k_"), "members"), F.col("key") == F.col("k_"))
+        "key", "node", "size", F.coalesce("label", "node").alias("label"))
+    counts = named.groupBy("key", "size").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    several = by_key(named, counts, [])
     lengths = words.select(F.col("node").alias("w_"), F.col("n_words").alias("n"))
     classes = F.size(F.filter(F.array(*map(F.lit, length_classes())), lambda least: least <= F.col("n")))
     cells = materialize(several.join(lengths, F.col("node") == F.col("w_")).select(
-        "key", "node", "label", F.when(F.col("members") <= BLOCK, 0).otherwise(classes).alias("cell")), "cells")
-    parts = materialize(cells.groupBy("key", "cell").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "parts")
+        "key", "node", "size", "label", F.when(F.col("size") <= BLOCK, 0).otherwise(classes).alias("cell")), "cells")
+    parts = materialize(cells.groupBy("key", "size", "cell").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "parts")
     beside = lambda by, name: parts.select(F.col("key").alias(f"{name}_k"), (F.col("cell") - by).alias(f"{name}_c"), F.col("parts").alias(name)).filter(F.col(f"{name}_c") + by > 0)
     around = parts
     for by, name in ((1, "after"), (-1, "before")):
         around = around.join(beside(by, name), (F.col("key") == F.col(f"{name}_k")) & (F.col("cell") == F.col(f"{name}_c")) & (F.col("cell") > 0), "left")
-    around = around.select(F.col("key").alias("k_"), F.col("cell").alias("c_"), "members", "parts", "after", "before")
+    around = around.select("key", "size", "cell", "members", "parts", "after", "before")
     sub = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
 
     def meet(n: Column, block) -> Column:
@@ -312,7 +327,7 @@ def open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataF
     cell, own = F.col("cell"), F.col("sub")
     met = F.concat(meet(F.when(F.col("members") > 1, F.col("parts")), lambda t: place(cell, 0, F.least(own, t), F.greatest(own, t), own > t)),
                    meet(F.col("after"), lambda t: place(cell, 1, own, t, F.lit(0))), meet(F.col("before"), lambda t: place(cell - 1, 1, t, own, F.lit(1))))
-    dealt = (cells.join(around, (F.col("key") == F.col("k_")) & (cell == F.col("c_"))).withColumn("sub", sub)
+    dealt = (by_key(cells, around, ["members", "parts", "after", "before"], "cell").withColumn("sub", sub)
              .select("key", "node", "label", F.explode(met).alias("m")).select("key", "node", "label", "m.place", "m.side"))
 
     def make():
@@ -363,20 +378,23 @@ def links(sketched: DataFrame) -> DataFrame | None:
     one = sketched.select("doc_id", "node", "keys").join(
         nodes.select(F.col("node").alias("n"), "rep"), (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
     held = one.select("node", F.explode("keys").alias("key")).distinct()
-    size = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    shared = materialize(held.withColumn("size", size).filter("size > 1"), "buckets")
+    sizes = materialize(held.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
+    # each hot key stands for more than HOT_KEY rows, so the broadcast is a small part of the table
+    hot = F.broadcast(sizes.filter(F.col("size") > HOT_KEY).select(F.col("key").alias("h_"), F.col("size").alias("hot")))
+    marked = held.join(hot, F.col("key") == F.col("h_"), "left").withColumn("size", F.coalesce("hot", F.lit(1)))
+    shared = materialize(by_key(marked, sizes.withColumn("bucket", F.col("size")), ["bucket"]).select("key", "node", F.col("bucket").alias("size")), "buckets")
     company = shared.groupBy("node").agg(F.sum("size").alias("company"))
-    members = materialize(shared.join(company, "node").select("key", "node", "company"), "members")
+    members = materialize(shared.join(company, "node").select("key", "node", "size", "company"), "members")
     if members.isEmpty():
         return None
     wanted = members.select("node").distinct().join(nodes, "node").select(F.col("node").alias("n"), "rep")
     words = materialize(sketched.select("doc_id", "node", "n_words", "words").join(
         wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
         .select("node", "n_words", "words").dropDuplicates(["node"]), "words")
-    central = Window.partitionBy("key").orderBy(F.desc("company"), "node")
-    led = members.withColumn("hub", F.first("node").over(central)).filter("hub <> node")
+    hubs = members.groupBy("key", "size").agg(F.min_by("node", F.struct(-F.col("company"), "node")).alias("hub"))
+    led = by_key(members, hubs, ["hub"]).filter("hub <> node")
     known = materialize(verify(led.select("hub", "node").distinct(), words), "verified")
-    rest = materialize(open_pairs(members.select("key", "node"), components(_close(known)), words), "open")
+    rest = materialize(open_pairs(members.select("key", "node", "size"), components(_close(known)), words), "open")
     if not rest.isEmpty():
         nearest = materialize(rest.groupBy("hub", "label").agg(F.min_by("node", F.struct("least", "node")).alias("node")).select("hub", "node"), "nearest")
         known = known.unionByName(materialize(verify(nearest.join(_settled(known), ["hub", "node"], "left_anti"), words), "verified"))
