@@ -8,7 +8,8 @@ the buckets (embedding times weights), which is the same mean. The class scores
 n / (n + SHRINK): a few subwords are little evidence.
 
 Bounds of the fit, whatever the corpus: SAMPLE labelled documents of each of at most LANGUAGES languages (the smallest
-hashes of doc_id), each as its distinct buckets. A fifth of the sample calibrates: a temperature that makes the score a
+hashes of doc_id; one row of each doc_id and language, so a repeated id counts once), each as its distinct buckets. More
+languages than that are an error, not left out. A fifth of the sample calibrates: a temperature that makes the score a
 probability, and the rejection threshold, the REJECT quantile of the scores of its correctly named documents (never above
 one half), so that about that share of good documents is lost.
 """
@@ -28,7 +29,7 @@ from rulecheck.llm.arrow import with_columns
 from rulecheck.llm.common import table
 
 BUCKETS, WIDTH = 8192, 16
-SAMPLE, LANGUAGES = 1500, 64
+SAMPLE, LANGUAGES = 1500, 1000
 EPOCHS, RATE, BATCH, SEED = 12, 2.0, 32, 7
 REJECT = 0.001
 SHRINK = 16
@@ -175,13 +176,19 @@ def held_out() -> Column:
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", usable: Column | None = None) -> Model:
     """Learn from the labelled documents where ``usable`` holds (default: doc_id not held out). Without any: no languages."""
     told = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col("doc_id").isNotNull() & (~held_out() if usable is None else usable))
-    frequent = sorted(r[lang] for r in told.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect())
+    frequent = sorted(r[lang] for r in told.select(lang).distinct().limit(LANGUAGES + 1).collect())
+    if len(frequent) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     if not frequent:
         return Model([UND], np.zeros((BUCKETS, 1)), 1.0, 0.0)
+    # one row of each (doc_id, lang), that of the least text hash: a partial aggregate, so copies are gone before the shuffle
+    single = told.groupBy("doc_id", lang).agg(F.min(F.xxhash64(text)).alias("h"))
     first = Window.partitionBy(lang).orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = told.filter(F.col(lang).isin(frequent)).select("doc_id", lang).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
+    ids = single.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
     # at most SAMPLE * LANGUAGES ids, so the broadcast has a proven bound
-    chosen = told.select("doc_id", lang, text).join(F.broadcast(ids.select("doc_id", lang)), ["doc_id", lang], "left_semi")
+    hashed = told.select("doc_id", lang, text, F.xxhash64(text).alias("h"))
+    chosen = hashed.join(F.broadcast(ids.select("doc_id", lang, "h")), ["doc_id", lang, "h"], "left_semi")
+    chosen = chosen.groupBy("doc_id", lang).agg(F.min(text).alias(text))  # equal texts of an id become one row
     fields = [T.StructField("_buckets", T.ArrayType(T.IntegerType())), T.StructField("_shares", T.ArrayType(T.FloatType()))]
 
     def make():
