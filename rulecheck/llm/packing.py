@@ -1,20 +1,22 @@
 """Packing: optimal length buckets by dynamic programming over the global length histogram, then token-budget batches.
 
-The histogram has log-linear cells (64 to an octave, exact up to 64), each with its exact count, sum and largest
-length, so it holds at most a few thousand rows whatever the corpus. The dynamic program chooses, among the cells'
-largest lengths, the bucket boundaries with the least padding in total. Inside a bucket every row is padded to the
+The histogram holds every length under 2^17 by itself, each with its exact count and sum; longer ones lie in cells of
+2^16 to an octave (0.0015 % wide), with their largest length. The dynamic program chooses, among these lengths, the
+bucket boundaries with the least padding in total: the optimum where no row is longer than 2^17, the optimum among the
+cells' largest lengths above. Inside a bucket every row is padded to the
 boundary, so a batch of floor(budget / boundary) rows stays inside the token budget.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulecheck.llm.common import free_name, gapless_number, table, without
 
-FINE = 6  # bits of a length that a histogram cell keeps below the leading one
+FINE = 16  # bits of a length that a histogram cell keeps below the leading one
 
 
 def length_cell(n: Column) -> Column:
@@ -25,7 +27,7 @@ def length_cell(n: Column) -> Column:
 
 
 def length_histogram(lengths: DataFrame) -> list[tuple[int, int, int]]:
-    """(largest length, rows, sum of lengths) for each cell of lengths(n), ascending. Bounded by the number of cells."""
+    """(largest length, rows, sum of lengths) for each cell of lengths(n), ascending. At most one row for each length there is."""
     rows = lengths.groupBy(length_cell(F.col("n")).alias("cell")).agg(
         F.max("n").alias("most"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("total")).collect()
     return sorted((r["most"], r["rows"], r["total"]) for r in rows)
@@ -35,26 +37,33 @@ def best_boundaries(histogram: list[tuple[int, int, int]], buckets: int) -> list
     """At most ``buckets`` boundaries, ascending, with the least total padding; among equals the fewest."""
     if not histogram:
         return []
-    most, rows, total = (np.array(x, dtype=np.float64) for x in zip(*histogram, strict=True))
-    m = len(histogram)
-    n_to, sum_to = np.concatenate([[0.0], np.cumsum(rows)]), np.concatenate([[0.0], np.cumsum(total)])
-    # cost[i, j]: padding when cells i .. j - 1 form a bucket that ends at the largest length of cell j - 1
-    cost = most[None, :] * (n_to[None, 1:] - n_to[:-1, None]) - (sum_to[None, 1:] - sum_to[:-1, None])
-    cost[np.tril_indices(m, -1)] = np.inf  # a bucket may not end before it begins
-    best, back = cost[0].copy(), []  # best[j]: least padding of cells 0 .. j
+    most, m = [h[0] for h in histogram], len(histogram)
+    n_to, sum_to = ([0, *accumulate(h[k] for h in histogram)] for k in (1, 2))
+    best = [most[j] * n_to[j + 1] - sum_to[j + 1] for j in range(m)]  # least padding of cells 0 .. j
+    whole, back = best, []
     for _ in range(1, min(buckets, m)):
-        ways = best[:-1, None] + cost[1:, :]  # the last bucket begins at cell i + 1
-        pick = ways.argmin(axis=0)
-        new = ways[pick, np.arange(m)]
-        use = new < best
-        back.append(np.where(use, pick, -1))
-        if not use.any():
+        # the last bucket begins at cell i + 1: best[i] + sum_to[i + 1] - most[j] * n_to[i + 1] is a line in most[j]; the
+        # lower hull of the lines is kept, and most[j] only grows, so each line is entered and left once
+        new, pick, hull, at = list(best), [-1] * m, [], 0
+        for j in range(1, m):
+            line = (n_to[j], best[j - 1] + sum_to[j], j - 1)
+            while len(hull) > 1 and (line[1] - hull[-2][1]) * (hull[-1][0] - hull[-2][0]) <= (hull[-1][1] - hull[-2][1]) * (line[0] - hull[-2][0]):
+                hull.pop()
+            hull.append(line)
+            at, x = min(at, len(hull) - 1), most[j]
+            while at + 1 < len(hull) and hull[at + 1][1] - x * hull[at + 1][0] <= hull[at][1] - x * hull[at][0]:
+                at += 1
+            ways = whole[j] + hull[at][1] - x * hull[at][0]
+            if ways < best[j]:
+                new[j], pick[j] = ways, hull[at][2]
+        back.append(pick)
+        if new == best:
             break
-        best = np.where(use, new, best)
+        best = new
     ends, j = [m - 1], m - 1
     for pick in reversed(back):
         if pick[j] >= 0:
-            j = int(pick[j])
+            j = pick[j]
             ends.append(j)
     return [int(most[e]) for e in reversed(ends)]
 
