@@ -101,3 +101,22 @@ def gapless_number(df: DataFrame, groups: Sequence[str], order: Sequence[str], o
     ranked = dealt.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return (ranked.join(counts, keys)
             .select(*df.columns, (F.col(before) + F.col(rank) - 1).cast("bigint").alias(out)))
+
+
+def attach(df: DataFrame, totals: DataFrame, key: str, count: str, values: Sequence[str], share: int = 256) -> DataFrame:
+    """df with the columns ``values`` of the one row of totals(key, count, ..) with its key (null keys are equal).
+
+    ``count`` is a key's number of rows in df. At most ``share`` keys hold more than a share-th of all rows: these, and the
+    null key, are broadcast (share + 1 rows at most, whatever the size of df), so their rows stay where they are; the rows
+    of all other keys are joined by a shuffle in which none is large. df is read twice. Its names must not clash with values.
+    """
+    told, large, own, found = (free_name(df, x) for x in ("_told", "_large", "_own", "_found"))
+    total = totals.agg(F.sum(count).alias(told))  # one row
+    split = totals.crossJoin(F.broadcast(total)).select(
+        F.col(key).alias(own), F.struct(*values).alias(found), (F.col(key).isNull() | (F.col(count) * share > F.col(told))).alias(large))
+    few, many = split.filter(large).drop(large), split.filter(~F.col(large)).drop(large)
+    marked = df.join(F.broadcast(few), df[key].eqNullSafe(few[own]), "left")
+    rest = marked.filter(F.col(found).isNull()).select(*df.columns)
+    columns = [*df.columns, *[F.col(found)[v].alias(v) for v in values]]
+    return marked.filter(F.col(found).isNotNull()).select(*columns).unionByName(
+        rest.join(many, rest[key] == many[own], "left").select(*columns))
