@@ -112,5 +112,114 @@ def merkle_sql() -> str:
     return _MERKLE.format(**parts)
 
 
+_HOSTS = r"""
+WITH RECURSIVE u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+told AS (
+  SELECT doc_id, max(coalesce(quality = 0, FALSE) OR coalesce(toxic = 1, FALSE)) AS bad FROM labels
+  WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+h AS (
+  SELECT host, count(*) AS pages, count(bad) AS n, count(*) FILTER (bad) AS bad,
+    regexp_replace(regexp_replace(host, '(?s)^.*@', ''), '\.*(:[0-9]*)?$', '') AS name
+  FROM u LEFT JOIN told ON told.doc_id = u.page_id GROUP BY host),
+l AS (SELECT *, string_split(name, '.') AS ls, regexp_matches(name, '^([0-9]+(\.[0-9]+)<3>|\[.*)$') AS address FROM h),
+d2 AS (SELECT *, array_to_string(ls[-2:], '.') IN (<suffixes>) AS two FROM l),
+g AS (
+  SELECT host, pages, n, bad, CASE WHEN address THEN '' WHEN two THEN array_to_string(ls[-2:], '.') ELSE ls[-1] END AS suffix,
+    CASE WHEN address THEN name WHEN two THEN array_to_string(ls[-3:], '.') ELSE array_to_string(ls[-2:], '.') END AS domain
+  FROM d2),
+dom AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM g GROUP BY ALL),
+suf AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM dom GROUP BY ALL),
+top AS (SELECT (sum(bad) + 0.5)::DOUBLE / (sum(n) + 1) AS mean FROM suf),
+r1 AS (
+  SELECT coalesce(least(<most>, greatest(<least>, (sum(n * (bad / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0))), <most>) AS rho
+  FROM suf, top WHERE n > 0),
+sr AS (SELECT suffix, (bad + mean * (1 / rho - 1)) / (n + 1 / rho - 1) AS mean FROM suf, top, r1),
+dm AS (SELECT domain, n, bad, mean FROM dom JOIN sr USING (suffix)),
+r2 AS (
+  SELECT coalesce(least(<most>, greatest(<least>, (sum(n * (bad / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0))), <most>) AS rho
+  FROM dm WHERE n > 0),
+dr AS (SELECT domain, (bad + mean * (1 / rho - 1)) / (n + 1 / rho - 1) AS mean FROM dm, r2),
+hm AS (SELECT host, n, bad, mean FROM g JOIN dr USING (domain)),
+r3 AS (
+  SELECT coalesce(least(<most>, greatest(<least>, (sum(n * (bad / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0))), <most>) AS rho
+  FROM hm WHERE n > 0),
+post AS (SELECT host, bad + mean * (1 / rho - 1) AS a, n - bad + (1 - mean) * (1 / rho - 1) AS b FROM hm, r3),
+side AS (
+  SELECT host, <limit> > (a + 1) / (a + b + 2) AS turned,
+    CASE WHEN <limit> > (a + 1) / (a + b + 2) THEN b ELSE a END AS p, CASE WHEN <limit> > (a + 1) / (a + b + 2) THEN a ELSE b END AS q,
+    CASE WHEN <limit> > (a + 1) / (a + b + 2) THEN 1 - <limit> ELSE <limit> END AS z FROM post),
+-- the continued fraction of the incomplete beta function, from its tail up: 400 levels
+fraction AS (
+  SELECT host, turned, p, q, z, 400 AS m, 1.0::DOUBLE AS f FROM side
+  UNION ALL
+  SELECT host, turned, p, q, z, m - 1,
+    1 - (p + m - 1) * (p + q + m - 1) * z / ((p + 2 * m - 2) * (p + 2 * m - 1)) / (1 + m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m)) / f)
+  FROM fraction WHERE m > 0),
+sure AS (
+  SELECT host, CASE WHEN turned THEN 1 - t ELSE t END AS sureness FROM (
+    SELECT host, turned, exp(lgamma(p + q) - lgamma(p) - lgamma(q) + p * ln(z) + q * ln(1 - z)) / p / f AS t FROM fraction WHERE m = 0)),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM u)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN sureness >= <confidence> THEN 'allow' ELSE 'block' END AS verdict, g.n AS host_labelled, g.bad AS host_bad
+FROM ruled JOIN g USING (host) JOIN sure USING (host)
+"""
+
+
+def hosts_sql() -> str:
+    from rulecheck.llm import url_filter
+
+    values = {"suffixes": ", ".join(f"'{s}'" for s in url_filter.SUFFIXES), "3": "{3}", "limit": f"{url_filter.LIMIT!r}::DOUBLE",
+              "most": f"{url_filter.MOST_RHO!r}::DOUBLE", "least": f"{url_filter.LEAST_RHO!r}::DOUBLE", "confidence": url_filter.CONFIDENCE}
+    out = _HOSTS
+    for k, v in values.items():
+        out = out.replace(f"<{k}>", str(v))
+    return out
+
+
+_CODES = r"""
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS r, * FROM whole),
+parts AS MATERIALIZED (SELECT r, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x FROM kept, range(16) AS t(p)),
+b0 AS (SELECT p, r AS e, x AS c FROM parts WHERE r < 64)
+<rounds>,
+last AS MATERIALIZED (
+  SELECT r, a.p, min(list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - c[j]) * (x[j] - c[j])))::BIGINT * 64 + e) AS best
+  FROM parts a JOIN b2 b ON a.p = b.p GROUP BY r, a.p),
+coded AS (
+  SELECT r, string_agg(format('{:02x}', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error FROM last GROUP BY r)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+
+_CODES_ROUND = r""",
+n<k> AS MATERIALIZED (
+  SELECT r, a.p, x, min(list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - c[j]) * (x[j] - c[j])))::BIGINT * 64 + e) % 64 AS e
+  FROM parts a JOIN b<k> b ON a.p = b.p GROUP BY r, a.p, x),
+m<k> AS (
+  SELECT p, e, j, sum(x[j])::BIGINT AS s, count(*)::BIGINT AS n FROM n<k>, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS j) GROUP BY p, e, j),
+b<next> AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(list((s - ((s % n) + n) % n) // n ORDER BY j) FILTER (s IS NOT NULL), any_value(c)) AS c
+  FROM b<k> b LEFT JOIN m<k> m ON m.p = b.p AND m.e = b.e GROUP BY b.p, b.e)"""
+
+
+def codes_sql() -> str:
+    return _CODES.replace("<rounds>", "".join(_CODES_ROUND.replace("<k>", str(k)).replace("<next>", str(k + 1)) for k in range(2)))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_merkle_fingerprints": merkle_sql(), "op7_event_sourced_chat": _CHAT, "op9_risk_controlled_rules": quality_sql()}
+    return {"op3_merkle_fingerprints": merkle_sql(), "op7_event_sourced_chat": _CHAT, "op9_risk_controlled_rules": quality_sql(),
+            "op11_host_reputation": hosts_sql(), "op13_cover_tree_codes": codes_sql()}
