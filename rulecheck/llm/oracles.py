@@ -220,6 +220,41 @@ def codes_sql() -> str:
     return _CODES.replace("<rounds>", "".join(_CODES_ROUND.replace("<k>", str(k)).replace("<next>", str(k + 1)) for k in range(2)))
 
 
+_RUNS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda acc, b: list_reduce(list_prepend(xor(acc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h
+  FROM documents),
+a AS (
+  SELECT r, doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a, (h // 10) % 8 AS g FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + g) AS p FROM a),
+w AS MATERIALIZED (
+  SELECT r, i, CASE WHEN planted AND i >= a THEN ws[1 + a + (i - a) % p] ELSE ws[1 + i] END AS word, n
+  FROM (SELECT r, ws, n, planted, a, p, unnest(range(n)) AS i FROM p)),
+-- a run shares at least 16 words with itself one period on: eight of them start at a multiple of eight
+grams AS MATERIALIZED (
+  SELECT r, i, n, CASE WHEN i + 8 <= n THEN md5_number(string_agg(word, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)) END AS gram FROM w),
+periods AS (
+  SELECT DISTINCT x.r, y.i - x.i AS q FROM grams x JOIN grams y ON x.r = y.r AND x.gram = y.gram AND y.i > x.i AND y.i - x.i <= x.n // 3
+  WHERE x.i % 8 = 0),
+same AS (
+  SELECT x.r, q, x.i, x.i - row_number() OVER (PARTITION BY x.r, q ORDER BY x.i) AS island
+  FROM periods JOIN w x USING (r) JOIN w y ON y.r = x.r AND y.i = x.i + q AND y.word = x.word),
+stretches AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM same GROUP BY r, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS MATERIALIZED (SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length),
+best AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r),
+strongest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY length / period DESC, start, period) AS k FROM runs) WHERE k = 1),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM w ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (r) LEFT JOIN strongest USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_merkle_fingerprints": merkle_sql(), "op7_event_sourced_chat": _CHAT, "op9_risk_controlled_rules": quality_sql(),
-            "op11_host_reputation": hosts_sql(), "op13_cover_tree_codes": codes_sql()}
+            "op11_host_reputation": hosts_sql(), "op12_periodic_runs": _RUNS, "op13_cover_tree_codes": codes_sql()}
