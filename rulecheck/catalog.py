@@ -54,6 +54,16 @@ DERIVED: dict[str, tuple[str, list[str]]] = {
         "CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN o_totalprice + 0.01 "
         "ELSE o_totalprice END AS total",
     ]),
+    "orders_wide": ("orders", [  # whole numbers beyond 2^53 and decimals
+        "o_orderkey",
+        "o_custkey AS cust",
+        "o_custkey + 9007199254740992 AS big",
+        "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS part",
+        "CASE WHEN o_orderkey % 7 = 0 THEN 9007199254740993 ELSE 9007199254740992 END AS base",
+        "o_orderkey % 5 AS fives",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS price",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 13 = 0 THEN 0.01 ELSE 0.00 END AS DECIMAL(18,2)) AS price_due",
+    ]),
     "orders_precision": ("orders", [
         "o_orderkey",
         "o_totalprice / 7 AS price_7th",
@@ -249,6 +259,18 @@ F_CMP_GROUPED = {"name": "parts add up per customer", "sheetname": "orders_parts
                  "aggregate": True, "groupbycolumns": ["o_orderkey"]}
 F_CMP_ROWS = {"name": "parts add up", "sheetname": "orders_parts", "validationtype": "comparison",
               "formula": "part_a + part_b", "sourcecolumns": ["part_a", "part_b"], "targetcolumn": "total"}
+_WIDE = {"sheetname": "orders_wide", "validationtype": "threshold"}
+_WIDE_PARTS = {"sheetname": "orders_wide", "validationtype": "comparison", "formula": "big - base", "sourcecolumns": ["big", "base"],
+               "targetcolumn": "part"}
+F_TYPED = [
+    {"name": "exact differences", **_WIDE_PARTS},
+    {"name": "exact differences per customer", "aggregate": True, "groupbycolumns": ["cust"], **_WIDE_PARTS},
+    {"name": "whole division", "formula": "(big - 9007199254740992) // fives", "operator": "<=", "threshold": 1000, **_WIDE},
+    {"name": "comparison as a number", "formula": "(price_due > price) * 1", "operator": "<=", "threshold": 0, **_WIDE},
+    {"name": "remainder of a distance", "formula": "abs(part - o_orderkey) % 3", "operator": "<=", "threshold": 1, **_WIDE},
+    {"name": "decimals agree", "formula": "price_due - price", "operator": "==", "threshold": 0, **_WIDE},
+    {"name": "either", "formula": "not (part > 500 or 1 < fives <= 3 and price != price_due)", "operator": "==", "threshold": 1, **_WIDE},
+]
 PREC_RAW = {"sheetname": "orders_precision", "columns": ["price_7th", "o_totalprice", "price_text", "no_such"],
             "precision": 2}
 PREC_ALL = {"sheetname": "orders_precision", "columns": "ALL_NUMERIC_COLUMNS", "precision": 2}
@@ -473,6 +495,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "formula_threshold_grouped": _kpi_section(quality.formula_rule, F_GROUPED, ["lineitem"]),
         "formula_comparison_grouped": _kpi_section(quality.formula_rule, F_CMP_GROUPED, ["orders_parts"]),
         "formula_comparison_rows": _kpi_section(quality.formula_rule, F_CMP_ROWS, ["orders_parts"]),
+        "formula_typed": _one(lambda ts: [o for r in F_TYPED for o in quality.formula_rule(ts, r)], ["orders_wide"]),
         "precision_raw": _kpi_section(quality.numeric_precision, PREC_RAW, ["orders_precision"]),
         "precision_all_numeric": _kpi_section(quality.numeric_precision, PREC_ALL, ["orders_precision"]),
         "rule_compare_dates": _kpi_section(business.business_rule, BR_DATES, ["order_lines"]),

@@ -129,6 +129,22 @@ def formula_cmp_rows():
                 "THEN 1 ELSE 0 END) FROM orders_parts")
 
 
+def formula_typed():
+    """Whole numbers and decimals in exact arithmetic; a missing value passes a threshold and fails a comparison."""
+    counts = {
+        "exact differences": "SELECT COUNT(*) FILTER (part IS NULL OR big - base <> part) FROM orders_wide",
+        "exact differences per customer": "SELECT COUNT(*) FILTER (a - b <> p) FROM (SELECT cust, SUM(big) AS a, SUM(base) AS b, "
+                                          "COALESCE(SUM(part), 0) AS p FROM orders_wide WHERE cust IS NOT NULL GROUP BY cust)",
+        "whole division": "SELECT COUNT(*) FILTER (fives = 0 AND cust > 0 OR fives > 0 AND cust // fives > 1000) FROM orders_wide",
+        "comparison as a number": "SELECT COUNT(*) FILTER (price_due > price) FROM orders_wide",
+        "remainder of a distance": "SELECT COUNT(*) FILTER (abs(part - o_orderkey) % 3 > 1) FROM orders_wide",
+        "decimals agree": "SELECT COUNT(*) FILTER (price_due <> price) FROM orders_wide",
+        "either": "SELECT COUNT(*) FILTER (COALESCE(part > 500, FALSE) OR fives IN (2, 3) AND price <> price_due) FROM orders_wide",
+    }
+    return C._sql_with(["orders_wide"]) + "\nUNION ALL ".join(
+        C._kpi_row("orders_wide", name, DQ, "Formula Validation", sql) for name, sql in counts.items())
+
+
 def precision(columns):
     parts = []
     for c in columns:
@@ -587,6 +603,7 @@ def oracle_sql() -> dict[str, str]:
         "formula_threshold_grouped": formula_grouped(),
         "formula_comparison_grouped": formula_cmp_grouped(),
         "formula_comparison_rows": formula_cmp_rows(),
+        "formula_typed": formula_typed(),
         "precision_raw": precision(C.PREC_RAW["columns"]),
         "precision_all_numeric": precision(["o_orderkey", "price_7th", "o_totalprice"]),
         "rule_compare_dates": rule_dates(),

@@ -12,17 +12,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DecimalType, IntegralType
 
-from ..functions.formula import formula_column
+from ..functions.formula import Value, differs_rounded, double, formula_value, holds, threshold_value, typed, whole
 from ..functions.names import col, header_map, spaced, underscored
 from ..functions.numbers import (
     RuleError,
-    apply_operator,
     format_decimal_places,
     group_sum,
     is_number_type,
     raw_precision_fails,
-    round_half_even,
     to_double,
 )
 from ..functions.text import is_blank_loose
@@ -102,14 +101,25 @@ def _formula_frame(ts: TableSet, sheet: str):
     return t, header_map(t.columns, underscored)
 
 
-def _resolver(frame: DataFrame, names: Mapping[str, str]):
-    def resolve(name: str) -> Column:
-        return frame[f"`{names[name]}`"] if name in names else _raise(name)
+def _resolver(t, names: Mapping[str, str]):
+    """Typed values of the rows' own columns."""
+    def resolve(name: str) -> Value:
+        return typed(col(names[name]), t.dtype(names[name]))
     return resolve
 
 
-def _raise(name):
-    raise KeyError(name)
+def _sums(t, names: Mapping[str, str]):
+    """Typed values of a grouped frame: sums of whole numbers are whole again, those of decimals decimals."""
+    def resolve(name: str, keys: frozenset[str] = frozenset()) -> Value:
+        dtype, c = t.dtype(names[name]), col(name)
+        if name in keys:
+            return typed(c, dtype)
+        if isinstance(dtype, (IntegralType, BooleanType)):
+            return whole(c.try_cast("bigint"), c.cast("double"))
+        if isinstance(dtype, DecimalType) and dtype.precision <= 28:
+            return Value("decimal", c, c.cast("double"), (dtype.precision + 10, dtype.scale))
+        return double(c)
+    return resolve
 
 
 def _grouped(t, names: Mapping[str, str], group_cols: list[str], sum_cols: list[str]) -> DataFrame:
@@ -147,35 +157,34 @@ def formula_rule(ts: TableSet, rule: Mapping, sheet: str = "KPI") -> list[Outcom
     vtype = str(rule["validationtype"]).lower()
     aggregate = bool(rule.get("aggregate", False))
     formula = rule["formula"]
+    if vtype not in ("threshold", "comparison"):
+        raise RuleError(f"Unsupported validation type: {vtype}")
+    target = spaced(rule["targetcolumn"]) if vtype == "comparison" else None
+    if aggregate:
+        groups = [spaced(c) for c in rule["groupbycolumns"]]
+        sources = [spaced(c) for c in (rule["sourcecolumns"] if target else rule.get("sourcecolumns", []))]
+        frame = _grouped(t, names, groups, sources + ([target] if target else []))
+        known, keys = _sums(t, names), frozenset(groups)
+        made = {*groups, *sources, target}
+
+        def resolve(name: str) -> Value:
+            if name not in made:
+                raise KeyError(name)
+            return known(name, keys)
+    else:
+        if target is not None and target not in names:
+            raise KeyError(target)
+        frame, resolve = t.df, _resolver(t, names)
+    value = formula_value(formula, resolve)
     if vtype == "threshold":
-        threshold, op = float(rule["threshold"]), rule["operator"]
-        if aggregate:
-            groups = [spaced(c) for c in rule["groupbycolumns"]]
-            frame = _grouped(t, names, groups, [spaced(c) for c in rule.get("sourcecolumns", [])])
-            value = formula_column(formula, lambda n: frame[f"`{n}`"])
-        else:
-            frame = t.df
-            value = formula_column(formula, _resolver(frame, names))
-        fail = value.isNotNull() & ~F.coalesce(apply_operator(value, op, threshold), F.lit(False))
-    elif vtype == "comparison":
-        target = spaced(rule["targetcolumn"])
-        sources = [spaced(c) for c in rule["sourcecolumns"]]
-        p = int(rule.get("precision", 2))
-        if aggregate:
-            groups = [spaced(c) for c in rule["groupbycolumns"]]
-            frame = _grouped(t, names, groups, sources + [target])
-            calc = formula_column(formula, lambda n: frame[f"`{n}`"])
-            tgt = frame[f"`{target}`"]
-        else:
-            if target not in names:
-                raise KeyError(target)
-            frame = t.df
-            calc = formula_column(formula, _resolver(frame, names))
-            tgt = to_double(col(names[target]), t.dtype(names[target]))
-        a, b = round_half_even(calc, p), round_half_even(tgt, p)
-        fail = F.coalesce(a != b, F.lit(True))
+        passes = holds(value, rule["operator"], threshold_value(rule["threshold"])(value))
+        fail = ~F.coalesce(passes, F.lit(True))  # a missing value passes
     else:
-        raise RuleError(f"Unsupported validation type: {vtype}")
+        p = int(rule.get("precision", 2))
+        tgt = resolve(target)
+        if tgt.kind == "text":
+            tgt = double(to_double(col(names[target]), t.dtype(names[target])))
+        fail = differs_rounded(value, tgt, p)
     if aggregate:
         per_file = [F.col(FILE)] if FILE in frame.columns else []
         counts = frame.groupBy(*per_file).agg(F.count_if(fail).alias("failed_count"))
