@@ -135,7 +135,7 @@ def formula_typed():
         "exact differences": "SELECT COUNT(*) FILTER (part IS NULL OR big - base <> part) FROM orders_wide",
         "exact differences per customer": "SELECT COUNT(*) FILTER (a - b <> p) FROM (SELECT cust, SUM(big) AS a, SUM(base) AS b, "
                                           "COALESCE(SUM(part), 0) AS p FROM orders_wide WHERE cust IS NOT NULL GROUP BY cust)",
-        "whole division": "SELECT COUNT(*) FILTER (fives = 0 AND cust > 0 OR fives > 0 AND cust // fives > 1000) FROM orders_wide",
+        "whole division": "SELECT COUNT(*) FILTER (fives = 0 AND cust > 0 OR fives > 0 AND cust // nullif(fives, 0) > 1000) FROM orders_wide",
         "comparison as a number": "SELECT COUNT(*) FILTER (price_due > price) FROM orders_wide",
         "remainder of a distance": "SELECT COUNT(*) FILTER (abs(part - o_orderkey) % 3 > 1) FROM orders_wide",
         "decimals agree": "SELECT COUNT(*) FILTER (price_due <> price) FROM orders_wide",
