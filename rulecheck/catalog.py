@@ -35,6 +35,7 @@ ORDER_KEYS = {
 }
 
 # ---------------------------------------------------------------------------- derived tables
+_MONTH_NAME = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(month(o_orderdate) * 3 - 2 AS INT), 3)"
 # name -> (base table, [SQL expressions valid in Spark SQL and DuckDB])
 DERIVED: dict[str, tuple[str, list[str]]] = {
     "orders_keys": ("orders", [
@@ -88,6 +89,21 @@ DERIVED: dict[str, tuple[str, list[str]]] = {
         "month(o_orderdate) AS mo",
         "o_totalprice",
     ]),
+    "orders_local_dates": ("orders", [  # dates in local text forms
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        "CASE WHEN o_orderkey % 10 = 3 THEN concat(CAST(year(o_orderdate) AS STRING), '-', lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '-', "
+        "lpad(CAST(day(o_orderdate) AS STRING), 2, '0')) WHEN o_orderkey % 10 = 7 THEN concat('31-Feb-', CAST(year(o_orderdate) AS STRING)) "
+        "ELSE concat(CAST(day(o_orderdate) AS STRING), '-', " + _MONTH_NAME + ", '-', CAST(year(o_orderdate) AS STRING)) END AS local_date",
+        "CASE o_orderkey % 7 WHEN 0 THEN concat(CAST(year(o_orderdate) AS STRING), '.', CAST(month(o_orderdate) AS STRING), '.', CAST(day(o_orderdate) AS STRING)) "
+        "WHEN 1 THEN concat(" + _MONTH_NAME + ", ' ', CAST(day(o_orderdate) AS STRING), ', ', CAST(year(o_orderdate) AS STRING)) "
+        "WHEN 2 THEN concat(CAST(year(o_orderdate) AS STRING), lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), lpad(CAST(day(o_orderdate) AS STRING), 2, '0')) "
+        "WHEN 3 THEN concat(CAST(month(o_orderdate) AS STRING), '/', CAST(day(o_orderdate) AS STRING), '/', CAST(year(o_orderdate) AS STRING)) "
+        "WHEN 4 THEN concat(CAST(day(o_orderdate) AS STRING), ' ', " + _MONTH_NAME + ", ' ', CAST(year(o_orderdate) AS STRING), ' 10:30') "
+        "WHEN 5 THEN concat('30 ', 'Feb', ' ', CAST(year(o_orderdate) AS STRING)) "
+        "ELSE concat(CAST(year(o_orderdate) AS STRING), '-', lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '-', lpad(CAST(day(o_orderdate) AS STRING), 2, '0')) END AS any_date",
+    ]),
     "customer_text": ("customer", [
         "c_custkey",
         "CASE WHEN c_custkey % 13 = 0 THEN concat(CAST(c_custkey AS STRING), 'A') WHEN c_custkey % 17 = 0 THEN '' "
@@ -283,6 +299,12 @@ BR_STALE = {"name": "stale order dates", "type": "staledata", "sheetname": "orde
             "column": "order_date_text", "referencecolumn": "date_text", "months": 3,
             "distinctcolumn": "o_custkey", "blankindicators": ["null"]}
 STALE_AS_OF = "1998-08-01"
+BR_LOCAL_DATES = [
+    {"name": "stale local dates", "type": "staledata", "sheetname": "orders_local_dates", "column": "local_date",
+     "referencecolumn": "o_orderdate", "months": 24},
+    {"name": "dates in any form", "type": "comparison", "sheetname": "orders_local_dates", "leftcolumn": "any_date",
+     "rightcolumn": "o_orderdate", "operator": ">=", "datatype": "date"},
+]
 BR_LOOKUP = {"name": "nation label matches", "type": "lookupmatch", "sheetname": "customer_nation",
              "leftcolumn": "nation_label", "lookupsheet": "nation", "lookupkeyleft": "nation_key",
              "lookupkeyright": "n_nationkey", "rightcolumn": "n_name"}
@@ -501,6 +523,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rule_compare_dates": _kpi_section(business.business_rule, BR_DATES, ["order_lines"]),
         "rule_compare_numbers": _kpi_section(business.business_rule, BR_NUMBERS, ["customer_text"]),
         "rule_stale": _kpi_section(business.business_rule, BR_STALE, ["orders_dates"], as_of=STALE_AS_OF),
+        "rule_local_dates": _one(lambda ts: [o for r in BR_LOCAL_DATES for o in business.business_rule(ts, r, as_of=STALE_AS_OF)],
+                                 ["orders_local_dates"]),
         "rule_lookup_match": _kpi_section(business.business_rule, BR_LOOKUP, ["customer_nation", "nation"]),
         "rule_lookup_null_keys": _kpi_section(business.business_rule, BR_LOOKUP_NULLS, ["customer_nation", "nation"]),
         "reconcile_multi_key": _kpi_section(crosstable.reconciliation, RECON_MULTI, ["line_amounts", "order_amounts"]),

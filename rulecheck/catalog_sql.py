@@ -179,6 +179,18 @@ def rule_stale():
                 f"SELECT {C._distinct_count('o_custkey', fail)} FROM orders_dates")
 
 
+def rule_local_dates():
+    """A column has the form of its first text (day-Mon-year); a comparison reads every text in its own."""
+    any_form = "try_strptime(any_date, ['%Y-%m-%d', '%Y.%m.%d', '%b %d, %Y', '%Y%m%d', '%m/%d/%Y', '%d %b %Y %H:%M'])"
+    counts = {
+        "stale local dates": "SELECT COUNT(*) FILTER (try_strptime(local_date, '%d-%b-%Y') < "
+                             f"TIMESTAMP '{C.STALE_AS_OF}' - INTERVAL 24 MONTH) FROM orders_local_dates",
+        "dates in any form": f"SELECT COUNT(*) FILTER (NOT COALESCE({any_form} >= o_orderdate, FALSE)) FROM orders_local_dates",
+    }
+    return C._sql_with(["orders_local_dates"]) + "\nUNION ALL ".join(
+        C._kpi_row("orders_local_dates", name, DV, "Business Rule Validation", sql) for name, sql in counts.items())
+
+
 def rule_lookup(keep_nulls=False):
     where = "" if keep_nulls else "WHERE l.nation_key IS NOT NULL"
     name = C.BR_LOOKUP_NULLS["name"] if keep_nulls else C.BR_LOOKUP["name"]
@@ -609,6 +621,7 @@ def oracle_sql() -> dict[str, str]:
         "rule_compare_dates": rule_dates(),
         "rule_compare_numbers": rule_numbers(),
         "rule_stale": rule_stale(),
+        "rule_local_dates": rule_local_dates(),
         "rule_lookup_match": rule_lookup(False),
         "rule_lookup_null_keys": rule_lookup(True),
         "reconcile_multi_key": reconcile_multi(),

@@ -6,8 +6,8 @@
   that it consumes the whole text and then builds a ``datetime``. The same is
   done here with ``regexp_extract`` + a length test + calendar validation, so
   no Python runs per row.
-* ``to_timestamp_lenient``: ``pd.to_datetime(errors='coerce')`` replaced by an
-  explicit list of accepted formats (format guessing is not reproduced).
+* ``to_timestamp_lenient``: ``pd.to_datetime(errors='coerce')``; the text forms
+  are those of ``date_formats``.
 * ``stale_cutoff``: midnight of ``as_of`` minus N calendar months.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
+from .date_formats import parse_as, parse_cell
 from .numbers import RuleError
 from .text import strip
 
@@ -59,48 +60,95 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
     """strptime format -> (Java regex, directive of each capture group)."""
     if fmt is None:
         raise RuleError("date check needs a 'format'")
-    out, groups, i = [], [], 0
+    pieces = _pieces(fmt)
+    return "(?i)^(" + "".join(regex for _, regex in pieces) + ")", [d for d, _ in pieces if d]
+
+
+def _int(c: Column) -> Column:
+    return F.trim(c).try_cast("int")
+
+
+# Years without a 29th of February are left out by these.
+_LEAP = {"Y": "(?:[0-9]{2}(?:0[48]|[2468][048]|[13579][26])|(?:[02468][048]|[13579][26])00)", "y": "(?:0[048]|[2468][048]|[13579][26])"}
+_SHORT_MONTHS = {"m": "(?:0?[469]|11)", "b": "(?:apr|jun|sep|nov)", "B": "(?:april|june|september|november)"}
+_FEBRUARY = {"m": "0?2", "b": "feb", "B": "february"}
+
+
+def _pieces(fmt: str) -> list[tuple[str | None, str]]:
+    """(directive or None, regex) of each part of a format, in order."""
+    out, i = [], 0
     while i < len(fmt):
         ch = fmt[i]
         if ch == "%":
             if i + 1 >= len(fmt):
                 raise RuleError(f"stray % in date format {fmt!r}")
-            d = fmt[i + 1]
-            i += 2
+            d, i = fmt[i + 1], i + 2
             if d == "%":
-                out.append("%")
+                out.append((None, "%"))
                 continue
-            if d in groups:
+            if d in (x for x, _ in out):
                 raise RuleError(f"directive %{d} repeated in {fmt!r}")
-            if d in _DIRECTIVE_RE:
-                out.append(_DIRECTIVE_RE[d])
-            elif d == "B":
-                out.append(_month_alt(_MONTHS))
-            elif d == "b":
-                out.append(_month_alt(_MONTHS_ABBR))
-            elif d == "A":
-                out.append(_month_alt(_WEEKDAYS))
-            elif d == "a":
-                out.append(_month_alt(_WEEKDAYS_ABBR))
-            else:
+            names = {"B": _MONTHS, "b": _MONTHS_ABBR, "A": _WEEKDAYS, "a": _WEEKDAYS_ABBR}
+            if d not in _DIRECTIVE_RE and d not in names:
                 raise RuleError(f"unsupported date directive %{d} in {fmt!r}")
-            groups.append(d)
+            out.append((d, _DIRECTIVE_RE.get(d) or _month_alt(names[d])))
         elif ch.isspace():
             while i < len(fmt) and fmt[i].isspace():
                 i += 1
-            out.append(r"\s+")
+            out.append((None, r"\s+"))
         else:
-            out.append(re.escape(ch))
+            out.append((None, re.escape(ch)))
             i += 1
-    return "(?i)^(" + "".join(out) + ")", groups
+    return out
+
+
+def _told_apart(pieces: list[tuple[str | None, str]]) -> bool:
+    """Whether no text can be cut into the directives in two ways (but for blanks): each one of varying length is followed
+    by something that it cannot hold, or by the end."""
+    return not any(d not in (None, "Y", "y") and (after is not None or literal != r"\s+" and literal[-1].isalnum())
+                   for (d, _), (after, literal) in zip(pieces, pieces[1:], strict=False))
+
+
+def _one_regex(fmt: str) -> str | None:
+    """One Java regex for the texts that have the format and are days of the calendar; None where it takes more than that.
+
+    The atomic group takes the first match as strptime does and gives nothing back; the refusals in front of it are the
+    same format with days that their month lacks."""
+    pieces = _pieces(fmt)
+    found = [d for d, _ in pieces if d]
+    month = next((d for d in found if d in _FEBRUARY), None)
+    year = next((d for d in ("Y", "y") if d in found), None)
+    if "j" in found or not found or month and "m" in found and month != "m":
+        return None
+
+    def spelt(**swap: str) -> str:
+        return "".join(swap.get(d, regex) for d, regex in pieces)
+
+    wrong = []
+    if "Y" in found:
+        wrong.append(spelt(Y="0000"))
+    if "S" in found:
+        wrong.append(spelt(S="6[01]"))
+    if "d" in found and month:
+        wrong += [spelt(**{"d": "31", month: _SHORT_MONTHS[month]}), spelt(**{"d": "3[01]", month: _FEBRUARY[month]})]
+        if year:
+            wrong.append(spelt(**{"d": "29", month: _FEBRUARY[month], year: f"(?!{_LEAP[year]})" + _DIRECTIVE_RE[year]}))
+        else:  # the year is 1900
+            wrong.append(spelt(**{"d": "29", month: _FEBRUARY[month]}))
+    if wrong and not _told_apart(pieces):
+        return None
+    return r"(?i)\A" + "".join(f"(?!{w}\\z)" for w in wrong) + f"(?>{spelt()})\\z"
 
 
-def _int(c: Column) -> Column:
-    return F.trim(c).try_cast("int")
+def strptime_ok(text: Column, fmt: str) -> Column:
+    """True when ``datetime.strptime(text, fmt)`` would succeed (NULL -> False): one match a cell, but for formats whose
+    directives run into each other."""
+    regex = _one_regex(fmt)
+    return _strptime_by_groups(text, fmt) if regex is None else F.coalesce(text.rlike(regex), F.lit(False))
 
 
-def strptime_ok(text: Column, fmt: str) -> Column:
-    """True when ``datetime.strptime(text, fmt)`` would succeed (NULL -> False)."""
+def _strptime_by_groups(text: Column, fmt: str) -> Column:
+    """The groups of the first match, then the calendar."""
     regex, groups = _compile(fmt)
     whole = F.regexp_extract(text, regex, 1)
     matched = (whole == text) & ((F.length(text) > 0) | F.lit(fmt == ""))
@@ -162,29 +210,20 @@ def date_check(c: Column, dtype: DataType, fmt: str, strict_dates: bool = False)
     return strptime_ok(c.cast("string"), fmt)
 
 
-# Accepted US-style text forms for lenient date parsing (ISO forms are read
-# by Spark's own string -> timestamp cast).
-US_DATE_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
-
-
-def to_timestamp_lenient(c: Column, dtype: DataType, formats=None) -> Column:
+def to_timestamp_lenient(c: Column, dtype: DataType, formats=None, form: Column | None = None) -> Column:
     """Any value -> timestamp_ntz or NULL.
 
-    ISO texts (``2024-01-05``, ``2024-01-05 10:30:00``, ``2024-01-05T10:30``)
-    go through the cast, which is cheap; the pattern parsers only run on
-    texts that look like ``M/d/yyyy``. ``formats`` (Java patterns) replaces
-    both with an explicit list."""
+    Texts are read in whatever form each has (``date_formats.parse_cell``), or
+    all in the form of the number ``form``. ``formats`` (Java patterns)
+    replaces both with an explicit list."""
     if isinstance(dtype, (TimestampNTZType, DateType, TimestampType)):
         return c.cast("timestamp_ntz")
     if not isinstance(dtype, StringType):
         return F.lit(None).cast("timestamp_ntz")
-    t = strip(c)
     if formats:
+        t = strip(c)
         return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
-    iso = t.try_cast("timestamp_ntz")
-    us = F.when(t.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"),
-                F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in US_DATE_FORMATS]).cast("timestamp_ntz"))
-    return F.coalesce(iso, us)
+    return parse_cell(c) if form is None else parse_as(c, form)
 
 
 def stale_cutoff(months: int, as_of: _dt.date | str | None = None) -> Column:

@@ -7,7 +7,7 @@ information separators U+001C..U+001F; Java's ``\\s`` only does so under the
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,12 @@ from pyspark.sql.types import DataType, StringType
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, whatever the number of its uses. The body is evaluated outside of
+    generated code, so a rare and long path does not bloat the code of the usual one."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def as_text(c: Column) -> Column:
     """Text form of any value (``str(value)`` analogue)."""
     return c.cast("string")

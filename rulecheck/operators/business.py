@@ -13,12 +13,14 @@ import datetime as _dt
 from collections.abc import Mapping
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ..functions.date_formats import column_form, first_texts, form_of
 from ..functions.dates import stale_cutoff, to_timestamp_lenient
 from ..functions.names import col
 from ..functions.numbers import RuleError, apply_operator, to_double
 from ..functions.text import aligned_keys, is_blank_norm, norm_text
-from ..sources.tables import FILE, TableSet
+from ..sources.tables import FILE, ROW_NO, TableSet
 from .base import BUSINESS_RULE, DATA_VALIDATION, Outcome, failed_rule, missing_columns, missing_table
 
 _PRIMARY_KEYS = ("leftcolumn", "column", "referencecolumn", "distinctcolumn", "lookupkeyleft")
@@ -42,8 +44,9 @@ def business_rule(ts: TableSet, rule: Mapping, as_of: _dt.date | str | None = No
         fail = _comparison_fail(t, rule, date_formats)
         return [Outcome(sheet, name, DATA_VALIDATION, BUSINESS_RULE, frame=t.df, fail=fail, distinct=distinct)]
     if rtype == "staledata":
-        fail = _stale_fail(t, rule, as_of, date_formats)
-        return [Outcome(sheet, name, DATA_VALIDATION, BUSINESS_RULE, frame=t.df, fail=fail, distinct=distinct)]
+        frame, form = _column_form(t, rule["column"], date_formats)
+        fail = _stale_fail(t, rule, as_of, date_formats, form)
+        return [Outcome(sheet, name, DATA_VALIDATION, BUSINESS_RULE, frame=frame, fail=fail, distinct=distinct)]
     if rtype == "lookupmatch":
         counts = _lookup_counts(ts, t, rule)
         if counts is None:
@@ -52,13 +55,29 @@ def business_rule(ts: TableSet, rule: Mapping, as_of: _dt.date | str | None = No
     raise RuleError(f"Unsupported business rule type: {rtype}")
 
 
-def _parse(t, c: str, datatype: str, date_formats):
+def _parse(t, c: str, datatype: str, date_formats, form=None):
     dtype = t.dtype(c)
     if datatype == "date":
-        return to_timestamp_lenient(col(c), dtype, date_formats)
+        return to_timestamp_lenient(col(c), dtype, date_formats, form)
     return to_double(col(c), dtype)
 
 
+def _column_form(t, c: str, date_formats):
+    """(frame, form): a text column is read in the form of its first value in
+    row order - a scalar subquery, so the rule shares its table's scan; in
+    batch runs every file has its own, joined by file. None: no text, or
+    formats are given."""
+    if date_formats or not isinstance(t.dtype(c), StringType):
+        return t.df, None
+    rows = t.ordered()
+    order = [F.col(FILE), F.col(ROW_NO)]
+    if FILE not in t.df.columns:
+        return t.df, column_form(rows, col(c), order)
+    forms = first_texts(rows, col(c), order, [F.col(FILE).alias("_form_file")]).select("_form_file", form_of(F.col("first")).alias("_form"))
+    frame = t.df.join(forms, F.col(FILE).eqNullSafe(F.col("_form_file")), "left").drop("_form_file")
+    return frame, F.col("_form")
+
+
 def _comparison_fail(t, rule: Mapping, date_formats):
     """Fails when either side is blank, either side does not parse, or
     NOT ``left <op> right`` (the operator is the pass condition)."""
@@ -68,17 +87,17 @@ def _comparison_fail(t, rule: Mapping, date_formats):
     lb = is_blank_norm(col(left), t.dtype(left), blanks)
     rb = is_blank_norm(col(right), t.dtype(right), blanks)
     lv, rv = _parse(t, left, datatype, date_formats), _parse(t, right, datatype, date_formats)
-    holds = F.coalesce(apply_operator(lv, op, rv), F.lit(False))
-    return lb | rb | lv.isNull() | rv.isNull() | ~holds
+    holds = F.coalesce(apply_operator(lv, op, rv), F.lit(False))  # a side that does not parse is NULL
+    return lb | rb | ~holds
 
 
-def _stale_fail(t, rule: Mapping, as_of, date_formats):
+def _stale_fail(t, rule: Mapping, as_of, date_formats, form):
     """A parsable date older than (as_of - months) whose text is not blank."""
     c = rule["column"]
     blanks = rule.get("blankindicators", [])
-    parsed = _parse(t, c, "date", date_formats)
+    parsed = _parse(t, c, "date", date_formats, form)
     shown = ~is_blank_norm(col(c), t.dtype(c), blanks)
-    return F.coalesce(parsed.isNotNull() & (parsed < stale_cutoff(int(rule["months"]), as_of)) & shown, F.lit(False))
+    return shown & F.coalesce(parsed < stale_cutoff(int(rule["months"]), as_of), F.lit(False))
 
 
 def _lookup_counts(ts: TableSet, t, rule: Mapping):
