@@ -8,12 +8,15 @@ schema metadata only) yields one or more ``Outcome`` specs:
 * row-local - a per-row failure predicate ``fail`` over ``frame``; all
               row-local outcomes over the same frame are fused by the planner
               into ONE aggregate (one scan) per table and distinct column;
+* grouped   - a count over groups of ``frame``'s rows; all of one frame are
+              fused into one aggregate over grouping sets;
 * counts    - a one-row DataFrame with a ``failed_count`` column, for checks
-              that need their own shuffle (group-bys, joins, windows).
+              that need their own shuffle (joins, windows).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +41,30 @@ RULE_DETERMINATION = "Rule Determination"
 UNRECOGNIZED = "Unrecognized"
 
 
+@dataclass(frozen=True)
+class Grouped:
+    """A rule over groups of a table's rows: ``keys`` (physical columns) make
+    the groups, ``sums`` (physical columns) are summed in each, and every
+    group adds ``addend`` to the failed count. The addend is a Column over
+    ``key_name(c)``, ``sum_name(c)`` and ``ROWS``. All grouped rules of a
+    frame share one scan and one exchange (planner)."""
+
+    keys: tuple[str, ...]
+    sums: dict[str, tuple[Column, Callable[[Column], Column]]]  # column -> (what is summed, its sum)
+    addend: Column
+
+
+ROWS = "_rows"
+
+
+def key_name(c: str) -> str:
+    return f"_k:{c}"
+
+
+def sum_name(c: str) -> str:
+    return f"_s:{c}"
+
+
 @dataclass
 class Outcome:
     sheet_name: str
@@ -55,6 +82,8 @@ class Outcome:
     offset: int = 0
     checked: Column | None = None
     distinct: str | None = None
+    # result over groups of the frame's rows (fused per frame)
+    grouped: Grouped | None = None
     # precomputed one-row result with column ``failed_count``
     counts: DataFrame | None = None
     # text for the details report
@@ -66,6 +95,8 @@ class Outcome:
     def kind(self) -> str:
         if self.counts is not None:
             return "counts"
+        if self.grouped is not None:
+            return "grouped"
         if self.fail is not None or self.weight is not None:
             return "rowlocal"
         return "literal"

@@ -65,9 +65,9 @@ def _parse(t, c: str, datatype: str, date_formats, form=None):
 def _column_form(t, c: str, date_formats):
     """(frame, form): a text column is read in the form of its first value in
     row order - a scalar subquery, so the rule shares its table's scan; in
-    batch runs every file has its own, joined by file. None: no text, or
-    formats are given."""
-    if date_formats or not isinstance(t.dtype(c), StringType):
+    batch runs every file has its own, joined by file. None (every text in
+    its own form): no text, formats are given, or the rows have no known order."""
+    if date_formats or not isinstance(t.dtype(c), StringType) or not t.has_row_numbers():
         return t.df, None
     rows = t.ordered()
     order = [F.col(FILE), F.col(ROW_NO)]

@@ -8,7 +8,7 @@ stated otherwise.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +32,13 @@ from .base import (
     FORMULA_VALIDATION,
     NULL_CHECK,
     NUMERIC_PRECISION,
+    ROWS,
+    Grouped,
     Outcome,
+    key_name,
     missing_columns,
     missing_table,
+    sum_name,
 )
 
 
@@ -50,8 +54,8 @@ def duplicate_check(ts: TableSet, rule: Mapping) -> list[Outcome]:
     """Rows that belong to a key group of size > 1 (all members counted).
 
     Rows whose keys are all NULL are ignored; NULL equals NULL otherwise.
-    Plan: partial count per key map-side, shuffle on the key, keep groups
-    with count > 1, global sum. A hot key is collapsed before the shuffle.
+    Fused with the other grouped rules of the table: partial counts per key
+    map-side, one shuffle, global sum. A hot key is collapsed before it.
     """
     sheet, columns = rule["sheetname"], list(rule["columns"])
     t = ts.get(sheet)
@@ -60,20 +64,11 @@ def duplicate_check(ts: TableSet, rule: Mapping) -> list[Outcome]:
     missing = [c for c in columns if c not in t.columns]
     if missing:
         return [missing_columns(sheet, missing, DATA_QUALITY, DUPLICATE_CHECK)]
-    keys = _unique(columns)
-    some_key = reduce(lambda a, b: a | b, [col(c).isNotNull() for c in keys])
-    per_file = [F.col(FILE)] if FILE in t.df.columns else []  # batch runs: duplicates within each file
-    groups = (
-        t.df.select(*[col(c) for c in keys], *per_file)
-        .filter(some_key)
-        .groupBy(*[col(c) for c in keys], *per_file)
-        .count()
-    )
-    # rows of groups with more than one member (a file without any still gets its 0)
-    total = F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count")).otherwise(F.lit(0))), F.lit(0)) \
-        .alias("failed_count")
-    counts = groups.groupBy(*per_file).agg(total) if per_file else groups.agg(total)
-    return [Outcome(sheet, ", ".join(columns), DATA_QUALITY, DUPLICATE_CHECK, counts=counts)]
+    keys = tuple(_unique(columns))
+    some_key = reduce(lambda a, b: a | b, [col(key_name(c)).isNotNull() for c in keys])
+    # rows of groups with more than one member (in batch runs, within each file)
+    addend = F.when(some_key & (F.col(ROWS) > 1), F.col(ROWS))
+    return [Outcome(sheet, ", ".join(columns), DATA_QUALITY, DUPLICATE_CHECK, frame=t.df, grouped=Grouped(keys, {}, addend))]
 
 
 def null_check(ts: TableSet, rule: Mapping) -> list[Outcome]:
@@ -111,9 +106,10 @@ def _resolver(t, names: Mapping[str, str]):
 def _sums(t, names: Mapping[str, str]):
     """Typed values of a grouped frame: sums of whole numbers are whole again, those of decimals decimals."""
     def resolve(name: str, keys: frozenset[str] = frozenset()) -> Value:
-        dtype, c = t.dtype(names[name]), col(name)
+        dtype = t.dtype(names[name])
         if name in keys:
-            return typed(c, dtype)
+            return typed(col(key_name(names[name])), dtype)
+        c = col(sum_name(names[name]))
         if isinstance(dtype, (IntegralType, BooleanType)):
             return whole(c.try_cast("bigint"), c.cast("double"))
         if isinstance(dtype, DecimalType) and dtype.precision <= 28:
@@ -122,23 +118,6 @@ def _sums(t, names: Mapping[str, str]):
     return resolve
 
 
-def _grouped(t, names: Mapping[str, str], group_cols: list[str], sum_cols: list[str]) -> DataFrame:
-    """``groupby(keys).sum()`` as pandas does it: NULL keys dropped, sum of an
-    all-NULL group is 0. Output columns carry the normalised names."""
-    for c in group_cols + sum_cols:
-        if c not in names:
-            raise KeyError(c)
-    keys = [col(names[g]).alias(g) for g in group_cols]
-    if FILE in t.df.columns:  # batch runs: groups never span files
-        keys.append(F.col(FILE))
-    not_null = reduce(lambda a, b: a & b, [col(names[g]).isNotNull() for g in group_cols])
-    sums = [
-        group_sum(col(names[c]), t.dtype(names[c])).alias(c)
-        for c in _unique(sum_cols) if c not in group_cols
-    ]
-    return t.df.filter(not_null).groupBy(*keys).agg(*sums)
-
-
 def formula_rule(ts: TableSet, rule: Mapping, sheet: str = "KPI") -> list[Outcome]:
     """One formula rule on ``sheet`` (default ``KPI``).
 
@@ -163,9 +142,11 @@ def formula_rule(ts: TableSet, rule: Mapping, sheet: str = "KPI") -> list[Outcom
     if aggregate:
         groups = [spaced(c) for c in rule["groupbycolumns"]]
         sources = [spaced(c) for c in (rule["sourcecolumns"] if target else rule.get("sourcecolumns", []))]
-        frame = _grouped(t, names, groups, sources + ([target] if target else []))
-        known, keys = _sums(t, names), frozenset(groups)
-        made = {*groups, *sources, target}
+        frame, known, keys = t.df, _sums(t, names), frozenset(groups)
+        made = {*groups, *sources, target} - {None}
+        for c in made:
+            if c not in names:
+                raise KeyError(c)
 
         def resolve(name: str) -> Value:
             if name not in made:
@@ -185,10 +166,14 @@ def formula_rule(ts: TableSet, rule: Mapping, sheet: str = "KPI") -> list[Outcom
         if tgt.kind == "text":
             tgt = double(to_double(col(names[target]), t.dtype(names[target])))
         fail = differs_rounded(value, tgt, p)
-    if aggregate:
-        per_file = [F.col(FILE)] if FILE in frame.columns else []
-        counts = frame.groupBy(*per_file).agg(F.count_if(fail).alias("failed_count"))
-        return [Outcome(sheet, name, DATA_QUALITY, FORMULA_VALIDATION, counts=counts)]
+    if aggregate:  # groupby(keys).sum() as pandas does it: NULL keys dropped, the sum of an all-NULL group is 0
+        there = reduce(lambda a, b: a & b, [col(key_name(names[g])).isNotNull() for g in groups])
+        sums = {names[c]: (col(names[c]), partial(group_sum, dtype=t.dtype(names[c]))) for c in made - keys}
+        grouped = Grouped(tuple(_unique(names[g] for g in groups)), sums, F.when(there & fail, F.lit(1)))
+        from ..plans.planner import grouped_counts
+
+        grouped_counts(frame, [grouped])  # analysed now, so that a bad rule fails alone
+        return [Outcome(sheet, name, DATA_QUALITY, FORMULA_VALIDATION, frame=frame, grouped=grouped)]
     return [Outcome(sheet, name, DATA_QUALITY, FORMULA_VALIDATION, frame=frame, fail=fail)]
 
 

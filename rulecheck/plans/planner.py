@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.base import Outcome
+from ..operators.base import ROWS, Grouped, Outcome, key_name, sum_name
 from ..functions.names import col
 from . import COUNTERS_PER_PASS
 
@@ -74,7 +74,8 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]], group: str | None
     for key, members in by_key.items():
         for some in cut(members):
             riding = chunks.pop(0) if chunks else []
-            fails = {i: F.coalesce(o.fail, F.lit(False)) for i, o in some}
+            told = frame.withColumns({f"_fail{i}": F.coalesce(o.fail, F.lit(False)) for i, o in some})  # each evaluated once
+            fails = {i: F.col(f"_fail{i}") for i, _ in some}
             any_fail = reduce(lambda x, y: x | y, fails.values())
             # rows that pass share one group, so only failing keys are shuffled
             inner = [F.max(f).alias(f"f{i}") for i, f in fails.items()] + plain_aggs(riding, with_offset=False)
@@ -83,7 +84,7 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]], group: str | None
                 outer.append((F.coalesce(F.sum(f"f{i}"), F.lit(0)) + F.lit(o.offset)).alias(f"f{i}"))
                 if o.checked is not None:
                     outer.append(F.coalesce(F.sum(f"t{i}"), F.lit(0)).alias(f"t{i}"))
-            keys = frame.groupBy(*gcols, any_fail.alias("_fails"), F.when(any_fail, col(key)).alias("_key")).agg(*inner)
+            keys = told.groupBy(*gcols, any_fail.alias("_fails"), F.when(any_fail, col(key)).alias("_key")).agg(*inner)
             rows.append(keys.groupBy(*gcols).agg(*outer))
     rows += [frame.groupBy(*gcols).agg(*plain_aggs(some)) for some in chunks]
 
@@ -102,6 +103,46 @@ def _fused(frame: DataFrame, items: list[tuple[int, Outcome]], group: str | None
     return reduce(DataFrame.unionByName, out)
 
 
+def grouped_counts(frame: DataFrame, rules: Sequence[Grouped], group: str | None = None) -> DataFrame:
+    """One row (one per ``group`` value) with the failed count ``f<k>`` of each rule.
+
+    The rules' keys are grouping sets of ONE aggregate: every row is dealt to
+    its group of each set (``Expand``), partial sums collapse hot keys before
+    the one exchange, and a global aggregate adds up what each rule counts.
+    One set is a plain group-by."""
+    files = [group] if group else []
+    columns = list(dict.fromkeys(c for r in rules for c in r.keys))
+    sums = {c: v for r in rules for c, v in r.sums.items()}
+    inputs = [*[col(c).alias(key_name(c)) for c in columns], *[v.alias(f"_v:{c}") for c, (v, _) in sums.items()], *map(col, files)]
+    keys = [*map(key_name, columns), *files]
+    sets = list(dict.fromkeys(tuple(c for c in columns if c in r.keys) for r in rules))
+    aggs = [F.count(F.lit(1)).alias(ROWS), *[total(col(f"_v:{c}")).alias(sum_name(c)) for c, (_, total) in sums.items()]]
+    rows = frame.select(*inputs)
+    if len(sets) == 1:
+        per_key, number = rows.groupBy(*map(col, keys)).agg(*aggs), F.lit(0)
+        numbers = {sets[0]: 0}
+    else:
+        cols = [col(k) for k in keys]
+        per_key = rows.groupingSets([[col(key_name(c)) for c in s] + [col(f) for f in files] for s in sets], *cols).agg(*aggs, F.grouping_id().alias("_set"))
+        # a bit for each column that a set leaves out, the first column's the highest
+        numbers = {s: sum(1 << len(keys) - 1 - i for i, c in enumerate(columns) if c not in s) for s in sets}
+        number = F.col("_set")
+    counts = []
+    for k, r in enumerate(rules):
+        own = number == numbers[tuple(c for c in columns if c in r.keys)]
+        counts.append(F.coalesce(F.sum(F.when(own, r.addend)), F.lit(0)).cast("long").alias(f"f{k}"))
+    return per_key.groupBy(*map(col, files)).agg(*counts)
+
+
+def _grouped(frame: DataFrame, items: list[tuple[int, Outcome]], group: str | None = None) -> DataFrame:
+    group = group if group and group in frame.columns else None
+    one = grouped_counts(frame, [o.grouped for _, o in items], group)
+    structs = [F.struct(*_meta(i, o), F.col(f"f{k}").alias("failed_count"), F.lit(None).cast("long").alias("total_checked"))
+               for k, (i, o) in enumerate(items)]
+    src = col(group).cast("string") if group else F.lit(None).cast("string")
+    return one.select(src.alias("source_file"), F.inline(F.array(*structs)))
+
+
 def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "kpi",
                 group: str | None = None) -> DataFrame:
     """All outcomes -> DataFrame(summary columns, rule_parameters, _ord).
@@ -112,10 +153,13 @@ def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "
     lit_rows = []
     parts: list[DataFrame] = []
     frames: dict[int, tuple[DataFrame, list[tuple[int, Outcome]]]] = {}
+    groups: dict[int, tuple[DataFrame, list[tuple[int, Outcome]]]] = {}
     for i, o in enumerate(outcomes):
         if o.kind == "literal":
             lit_rows.append((o.sheet_name, o.field, o.test_type, o.test_name, o.status, i, o.params,
                              int(o.failed or 0), o.total))
+        elif o.kind == "grouped":
+            groups.setdefault(id(o.frame), (o.frame, []))[1].append((i, o))
         elif o.kind == "rowlocal":
             frames.setdefault(id(o.frame), (o.frame, []))[1].append((i, o))
         else:
@@ -126,6 +170,8 @@ def materialize(spark: SparkSession, outcomes: Sequence[Outcome], style: str = "
                                   col("failed_count").cast("long").alias("failed_count"), total.alias("total_checked")))
     for frame, items in frames.values():
         parts.append(_fused(frame, items, group))
+    for frame, items in groups.values():
+        parts.append(_grouped(frame, items, group))
     if lit_rows or not parts:
         parts.append(spark.createDataFrame(
             [(None, *r) for r in lit_rows],

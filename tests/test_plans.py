@@ -44,3 +44,47 @@ def test_trend_lag_uses_range_partitions(spark):
     plan = _plan(trend.lag_by_range(agg, "g", ["m"], "v", 4))
     assert "ExistingRDD" in plan  # the dealt rows are checkpointed: both branches read the same partitions
     assert "windowspecdefinition(_pid" in plan  # lag per (partition, key), never per whole key
+
+
+GROUPED = {
+    "dataqualityvalidation": {"duplicatecheck": [
+        {"sheetname": "lineitem", "columns": ["l_orderkey", "l_linenumber"]}, {"sheetname": "lineitem", "columns": ["l_partkey"]},
+        {"sheetname": "lineitem", "columns": ["l_partkey", "l_suppkey"]}]},
+    "formulavalidation": [
+        {"name": "a", "sheetname": "lineitem", "validationtype": "threshold", "formula": "l_tax / l_discount", "threshold": 1.00001, "operator": "<=",
+         "aggregate": True, "groupbycolumns": ["l_orderkey"], "sourcecolumns": ["l_tax", "l_discount"]},
+        {"name": "b", "sheetname": "lineitem", "validationtype": "threshold", "formula": "l_quantity - 2 * l_partkey", "threshold": 1000, "operator": "<=",
+         "aggregate": True, "groupbycolumns": ["l_partkey"], "sourcecolumns": ["l_quantity"]},
+        {"name": "bad", "sheetname": "lineitem", "validationtype": "threshold", "formula": "l_quantity - l_tax", "threshold": 1, "operator": "<=",
+         "aggregate": True, "groupbycolumns": ["l_partkey"], "sourcecolumns": ["l_quantity"]}],
+}
+
+
+def test_grouped_rules_share_one_scan_and_one_exchange(spark):
+    """Three duplicate rules and two formulas per group of a table: one scan, one exchange of its (partly aggregated) rows."""
+    ts = TableSet.from_dir(spark, SF, names=["lineitem"])
+    result = run_kpi(ts, GROUPED)
+    plan = _plan(result.summary)
+    assert plan.count("lineitem.parquet") == 1 and plan.count("Expand") == 1, plan
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    rows = {(r["test_name"], r["field"]): r["failed_count"] for r in result.summary.collect()}
+    t = spark.read.parquet(f"{SF}/lineitem.parquet").toPandas()
+    for r in GROUPED["dataqualityvalidation"]["duplicatecheck"]:
+        assert rows["Duplicate Check", ", ".join(r["columns"])] == int(t.duplicated(r["columns"], keep=False).sum())
+    by_order, by_part = t.groupby("l_orderkey").sum(numeric_only=True), t.groupby("l_partkey", as_index=False).agg({"l_quantity": "sum"})
+    assert rows["Formula Validation", "a"] == int((~(by_order.eval("l_tax / l_discount") <= 1.00001)).sum())
+    assert rows["Formula Validation", "b"] == int((~(by_part.eval("l_quantity - 2 * l_partkey") <= 1000)).sum())
+    assert rows["Formula Validation", "bad"] == 1
+
+
+def test_grouped_rules_keep_their_null_rules(spark):
+    """NULL keys: equal in a duplicate check unless all are NULL, dropped in a formula per group; a real NULL is told from a
+    key that another rule's set leaves out."""
+    rows = [(1, None, 1), (1, None, 2), (None, None, 5), (None, None, 5), (None, 2, 7), (None, 2, 1), (3, 2, 1)]
+    ts = TableSet.from_frames(spark, {"KPI": spark.createDataFrame(rows, "a int, b int, v int")})
+    formula = {"name": "f", "validationtype": "threshold", "formula": "v", "threshold": 2, "operator": "<=", "aggregate": True, "sourcecolumns": ["v"]}
+    got = run_kpi(ts, {
+        "dataqualityvalidation": {"duplicatecheck": [{"sheetname": "KPI", "columns": c} for c in (["a", "b"], ["a"], ["b"])]},
+        "formulavalidation": [dict(formula, groupbycolumns=["a"]), dict(formula, name="g", groupbycolumns=["a", "b"])]}).summary.collect()
+    counts = {r["field"]: r["failed_count"] for r in got if r["test_name"] in ("Duplicate Check", "Formula Validation")}
+    assert counts == {"a, b": 4, "a": 2, "b": 3, "f": 1, "g": 0}
