@@ -57,13 +57,19 @@ class RunResult:
     all_rows: DataFrame
     style: str
     failed: DataFrame | None = None
-    totals: Callable[[DataFrame], DataFrame] | None = None
+    totals: Callable[..., DataFrame] | None = None
     inferred: dict | None = None
+    pass_over: Callable[[], tuple[DataFrame, Callable[[], RunResult]]] | None = None
 
     @property
     def execution(self) -> DataFrame | None:
         return self.totals(self.all_rows) if self.totals else None
 
+    def in_one_pass(self) -> tuple[DataFrame, Callable[[], RunResult]] | None:
+        """(failed cells, finish): writing the failed cells reads every table once and counts all that the other results
+        need; after that ``finish()`` gives the result with its rows at hand. None where the run has no such pass."""
+        return self.pass_over() if self.pass_over else None
+
     def once(self) -> RunResult:
         """The same result with its rows (one per rule and file) written to the shared checkpoint folder, so that
         summary, details and run totals don't run the checks again."""
@@ -233,8 +239,32 @@ def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], col
     return outcomes, plan
 
 
-def _execution(ts: TableSet, row_tables: list[str], inferred: bool, all_rows: DataFrame) -> DataFrame:
-    """Run totals as ``(metric, value)`` rows."""
+def _one_pass(ts: TableSet, known: list[Outcome], data_rows: list[Outcome], plan: list[tuple], row_tables: list[str], inferred: bool,
+              column_rules: dict | None = None):
+    """A run's failed cells with counters, and the run's result made from them.
+
+    The counters are observations of the job that writes the failed cells: its tasks need no shuffle, and Spark counts each
+    finished task once, whatever is tried again after a lost executor."""
+    counted: list[cells.Counted] = []
+    failed = cells.failed_cells(ts, plan, counted=counted)
+    checks = [o for o in data_rows if o.test_type != CONFIGURATION]  # in the order of the plan
+
+    def finish() -> RunResult:
+        rows, told = {}, {}
+        for c in counted:
+            seen = c.seen.get
+            rows[c.sheet] = seen["rows"]
+            for k in c.checks:
+                told[id(checks[k])] = (seen.get(f"f{k}", 0), seen[f"t{k}"])
+        outcomes = [replace(o, frame=None, fail=None, checked=None, failed=told[id(o)][0], total=told[id(o)][1]) if id(o) in told else o for o in data_rows]
+        all_rows = materialize(ts.spark, known + outcomes, "fields")
+        return RunResult(all_rows, "fields", failed, partial(_execution, ts, row_tables, inferred, rows), column_rules)
+
+    return failed, finish
+
+
+def _execution(ts: TableSet, row_tables: list[str], inferred: bool, counted: Mapping[str, int], all_rows: DataFrame) -> DataFrame:
+    """Run totals as ``(metric, value)`` rows; tables not ``counted`` yet are."""
     is_sheet = F.col("test_name") == SHEET_EXISTENCE
     st = F.col("status")
     aggs = [
@@ -260,11 +290,9 @@ def _execution(ts: TableSet, row_tables: list[str], inferred: bool, all_rows: Da
                            F.lit(0)).alias("Total Failed Cells"))
     stats = all_rows.agg(*aggs)
     names = [a for a in stats.columns]
-    rows = [ts.get(n).df.agg(F.count(F.lit(1)).alias("n")) for n in row_tables if n in ts]
-    if rows:
-        total = reduce(DataFrame.unionByName, rows).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    else:
-        total = ts.spark.range(1).select(F.lit(0).cast("long").alias("n"))
+    rows = [ts.get(n).df.agg(F.count(F.lit(1)).alias("n")) for n in row_tables if n in ts and n not in counted]
+    rows.append(ts.spark.range(1).select(F.lit(sum(counted.get(n, 0) for n in row_tables)).cast("long").alias("n")))
+    total = reduce(DataFrame.unionByName, rows).agg(F.sum("n").alias("n"))
     status = F.when(F.col("Sheets Failed") == 0, F.lit("SUCCESS")).otherwise(F.lit("COMPLETED WITH FAILURES"))
     pos = names.index("Total Validations Executed")
     long_stats = stats.select(F.inline(F.array(
@@ -294,7 +322,8 @@ def run_fields(ts: TableSet, config: Mapping, by_file: bool = False) -> RunResul
     all_rows = materialize(ts.spark, sheet_rows + field_rows + data_rows, "fields", FILE if by_file else None)
     failed = cells.failed_cells(ts, plan, by_file)
     row_tables = [n for n in fields if n in ts]
-    return RunResult(all_rows, "fields", failed, partial(_execution, ts, row_tables, False))
+    again = None if by_file else partial(_one_pass, ts, sheet_rows + field_rows, data_rows, plan, row_tables, False)
+    return RunResult(all_rows, "fields", failed, partial(_execution, ts, row_tables, False, {}), pass_over=again)
 
 
 def run_inferred(ts: TableSet, config: Mapping) -> RunResult:
@@ -312,4 +341,5 @@ def run_inferred(ts: TableSet, config: Mapping) -> RunResult:
                                              **column_checks})
     all_rows = materialize(ts.spark, sheet_rows + rule_rows + data_rows, "fields")
     failed = cells.failed_cells(ts, plan)
-    return RunResult(all_rows, "fields", failed, partial(_execution, ts, list(column_rules), True), column_rules)
+    again = partial(_one_pass, ts, sheet_rows + rule_rows, data_rows, plan, list(column_rules), True, column_rules)
+    return RunResult(all_rows, "fields", failed, partial(_execution, ts, list(column_rules), True, {}), column_rules, again)

@@ -27,19 +27,29 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_report(result: RunResult, path: str, fmt: str = "parquet", mode: str = "overwrite",
                  partition_by: list[str] | None = None) -> dict[str, str]:
     """Write summary, details (field dialects), failed records and execution
-    totals under ``path``; returns ``{part: directory}``."""
-    result = result.once()
+    totals under ``path``; returns ``{part: directory}``. A field run that is
+    not split by file reads every table once."""
+    out = {}
+
+    def write(name: str, df: DataFrame) -> None:
+        target = os.path.join(path, name)
+        keys = [k for k in (partition_by or []) if k in df.columns]
+        write_table(df, target, fmt, mode, keys or None)
+        out[name] = target
+
+    if one_pass := result.in_one_pass():
+        failed, finish = one_pass
+        write("failed_records", failed)  # reads the tables; all else is made from what it counts
+        result = finish()
+    else:
+        result = result.once()
     parts = {"summary": result.summary}
     if result.style != "kpi":
         parts["details"] = result.details
-    if result.failed is not None:
+    if result.failed is not None and "failed_records" not in out:
         parts["failed_records"] = result.failed
     if result.execution is not None:
         parts["execution_summary"] = result.execution
-    out = {}
     for name, df in parts.items():
-        target = os.path.join(path, name)
-        keys = [k for k in (partition_by or []) if k in df.columns]
-        write_table(df, target, fmt, mode, keys or None)
-        out[name] = target
+        write(name, df)
     return out
