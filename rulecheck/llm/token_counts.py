@@ -12,6 +12,10 @@ those of its words, and those of common words are kept (a bounded number).
 
 from __future__ import annotations
 
+import hashlib
+import math
+import sys
+import types
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -26,13 +30,13 @@ from rulecheck.llm.arrow import with_columns
 from rulecheck.llm.common import table
 
 SPACE = "▁"
-KNOWN_WORDS, LONG_WORD = 200_000, 64
+KNOWN_WORDS, LONG_WORD = 400_000, 64
 
 
-def merged(text: str, ranks: dict[str, float]) -> list[str]:
-    """Plain merging of a short text: the lowest rank, then the leftmost pair, until none is left."""
+def merged(text: str, ranks: dict[str, float], until: int = 1) -> list[str]:
+    """Plain merging of a short text: the lowest rank, then the leftmost pair, until none is left (or ``until`` parts are)."""
     parts = list(text)
-    while True:
+    while len(parts) > until:
         best, at = None, -1
         for i in range(len(parts) - 1):
             rank = ranks.get(parts[i] + parts[i + 1])
@@ -41,15 +45,24 @@ def merged(text: str, ranks: dict[str, float]) -> list[str]:
         if best is None:
             return parts
         parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    return parts
+
+
+def last_merge(text: str, ranks: dict[str, float]) -> tuple[str, str] | None:
+    """The two parts whose merge ends the merging of a whole text; None where its characters do not merge to it."""
+    parts = merged(text, ranks, until=2)
+    return (parts[0], parts[1]) if len(parts) == 2 and parts[0] + parts[1] in ranks else None
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """``ranks``: piece -> rank (lower merges first); ``whole``: pieces that their own characters merge to."""
+    """``ranks``: piece -> rank (lower merges first); ``whole``: pieces that their own characters merge to, with the two
+    parts of their last merge (None for one character); ``digest`` names the vocabulary."""
 
     ranks: dict[str, float]
-    whole: frozenset[str]
+    whole: dict[str, tuple[str, str] | None]
     longest: int = field(default=0)
+    digest: str = field(default="")
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -59,23 +72,30 @@ class Pieces:
         ids = [i for i in range(model.get_piece_size())
                if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         ranks = {model.id_to_piece(i): -model.get_score(i) for i in ids}
-        whole = frozenset(p for p in ranks if merged(p, ranks) == [p])
+        whole = {p: parts for p in ranks if (parts := last_merge(p, ranks)) or len(p) == 1}
         for p in whole:
             if SPACE in p.lstrip(SPACE):
                 raise ValueError(f"piece {p!r} holds a space mark after another character")
-        return cls(ranks, whole, max(map(len, whole)))
+        digest = hashlib.sha256("\n".join(f"{p}\t{r!r}" for p, r in sorted(ranks.items())).encode()).hexdigest()
+        return cls(ranks, whole, max(map(len, whole)), digest)
 
 
 class _Totals(dict):
-    """Word -> token count; unknown words are counted and kept (long ones are not kept)."""
+    """Word -> token count of the words met lately: when KNOWN_WORDS are kept they become the old ones, and the old ones that
+    are not met again go. Unknown words are counted; long ones are not kept."""
 
     def __init__(self, count):
         super().__init__()
-        self.count = count
+        self.count, self.old = count, {}
 
     def __missing__(self, word: str) -> int:
-        total = self.count(word)[-1]
+        total = self.old.get(word)
+        if total is None:
+            total = self.count(word)
         if len(word) <= LONG_WORD:
+            if len(self) >= KNOWN_WORDS:
+                self.old = dict(self)
+                self.clear()
             self[word] = total
         return total
 
@@ -98,21 +118,94 @@ class PrefixCounter:
         cut = "".join(c for c in "\n\t\r" if not any(c in p for p in pieces.ranks))
         own = f"|[{cut}]" if cut else ""
         self.word = regex.compile(f"{SPACE}+[^{SPACE}{cut}]*{own}|[^{SPACE}{cut}]+")
-        self.totals = _Totals(self.prefixes)
+        self.totals = _Totals(self.total)
+        self.spines: dict[tuple[str, int], list[tuple[str, float]] | None] = {}
 
     def run(self, k: int) -> int:
         """Tokens of k space marks alone: from the longest run piece on, the pattern repeats."""
         most, whole = len(self.runs) - 1, self.p.longest
         return self.runs[k] if k <= most else (k - most + whole - 1) // whole + self.runs[k - (k - most + whole - 1) // whole * whole]
 
+    def spine(self, piece: str, side: int) -> list[tuple[str, float]] | None:
+        """The parts of a piece that stand at its left (0) or right (1) end while it is merged, from the character to the
+        piece, each with the rank of the merge that takes it up. None where a merge comes before one of its parts' own."""
+        key = (piece, side)
+        if key not in self.spines:
+            if len(self.spines) > 4 * KNOWN_WORDS:
+                self.spines.clear()
+            ranks, whole, out, part, rank, todo = self.p.ranks, self.p.whole, [], piece, math.inf, [piece]
+            while part is not None:
+                out.append((part, rank))
+                rank = ranks.get(part, math.inf)
+                parts = whole.get(part)
+                part = parts[side] if parts else None
+            while todo and out is not None:
+                whole_piece = todo.pop()
+                for q in whole.get(whole_piece) or ():
+                    if len(q) > 1:
+                        todo.append(q)
+                        if ranks[q] >= ranks[whole_piece]:
+                            out = None
+            self.spines[key] = out and out[::-1]
+        return self.spines[key]
+
+    def apart(self, a: str, b: str) -> bool:
+        """Whether two pieces stay apart side by side: their ends are walked in the order in which they are merged, and no pair
+        at the border may come first. Steps: the depths of the two pieces."""
+        left, right = self.spine(a, 1), self.spine(b, 0)
+        if left is None or right is None:
+            return merged(a + b, self.p.ranks) == [a, b]
+        ranks, i, j = self.p.ranks, 0, 0
+        while True:
+            (x, up_a), (y, up_b) = left[i], right[j]
+            rank = ranks.get(x + y)
+            if rank is not None and rank < up_a and rank <= up_b:  # among equals the leftmost merge comes first
+                return False
+            if up_a == up_b == math.inf:
+                return True
+            if up_a <= up_b:
+                i += 1
+            else:
+                j += 1
+
     def fit(self, pair: int) -> bool:
         """Whether two pieces (first * number of pieces + second) stay apart side by side."""
         if len(self.fits) > 4 * KNOWN_WORDS:
             self.fits.clear()
-        a, b = (self.names[n] for n in divmod(pair, len(self.names)))
-        found = self.fits[pair] = merged(a + b, self.p.ranks) == [a, b]
+        a, b = divmod(pair, len(self.names))
+        found = self.fits[pair] = self.apart(self.names[a], self.names[b])
         return found
 
+    def counts(self, word: str) -> list[int]:
+        """Token counts of all prefixes (from the empty one) of a word with at most one space mark."""
+        sizes, fits, names = self.sizes, self.fits, len(self.names)
+        count, last, at = [0], [-1], 0  # at: prefixes done; -1: no piece ends there
+        for end, t in self.ending.iter(word):
+            if end < at:
+                continue  # the last token of this prefix is found
+            while at < end:  # characters that no piece ends with, in bytes
+                count.append(count[at] + len(word[at].encode()))
+                last.append(-1)
+                at += 1
+            j = end + 1 - sizes[t]
+            before = last[j]
+            if before >= 0:
+                pair = before * names + t
+                apart = fits.get(pair)
+                if apart is None:
+                    apart = self.fit(pair)
+                if not apart:
+                    continue
+            count.append(count[j] + 1)
+            last.append(t)
+            at += 1
+        for c in word[at:]:
+            count.append(count[-1] + len(c.encode()))
+        return count
+
+    def total(self, word: str) -> int:
+        return self.counts(word)[-1] if word[1:2] != SPACE else self.prefixes(word)[-1]
+
     def table(self, word: str) -> tuple[list[int], list[bool]]:
         """For each prefix of a word: its token count, and whether its encoding begins with a lone space mark."""
         sizes, fits, names = self.sizes, self.fits, len(self.names)
@@ -148,7 +241,7 @@ class PrefixCounter:
         if found is None:
             k = len(word) - len(word.lstrip(SPACE))
             if k < 2:
-                found = tuple(self.table(word)[0])
+                found = tuple(self.counts(word))
             else:  # the last mark goes with the word if it merges there; marks merge among themselves after all else
                 count, lone = self.table(word[k - 1:])
                 found = (*map(self.run, range(k + 1)), *(self.run(k) + n - 1 if x else self.run(k - 1) + n for n, x in zip(count[2:], lone[2:], strict=True)))
@@ -157,9 +250,8 @@ class PrefixCounter:
         return found
 
     def words(self, text: str) -> list[str]:
-        if len(self.tables) > KNOWN_WORDS:
+        if len(self.tables) > KNOWN_WORDS // 4:
             self.tables.clear()
-            self.totals.clear()
         return self.word.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def all_prefixes(self, text: str) -> np.ndarray:
@@ -190,6 +282,16 @@ class PrefixCounter:
         return total, 0
 
 
+def kept_counter(pieces: Pieces) -> PrefixCounter:
+    """The counter of a vocabulary, kept with all it has learnt for the later tasks of this Python worker. (This subpackage
+    travels with each task, so its own modules are new every time.)"""
+    kept = sys.modules.setdefault("_corpus_kept", types.ModuleType("_corpus_kept")).__dict__
+    key = f"counter_{pieces.digest}"
+    if key not in kept:
+        kept[key] = PrefixCounter(pieces)
+    return kept[key]
+
+
 def count_tokens(df: DataFrame, pieces: Pieces, limit: int, text: str = "text", prefixes: bool = False) -> DataFrame:
     """df with n_tokens long, fit_chars long (characters that fit in ``limit`` tokens) and, if asked for, prefix_tokens
     array<int> (the count of every prefix, from the empty one). Null and empty texts: 0. New columns replace others of their names."""
@@ -197,7 +299,7 @@ def count_tokens(df: DataFrame, pieces: Pieces, limit: int, text: str = "text",
     fields += [T.StructField("prefix_tokens", T.ArrayType(T.IntegerType()))] * prefixes
 
     def make():
-        counter = PrefixCounter(pieces)
+        counter = kept_counter(pieces)
 
         def work(texts: list[str]) -> list[pa.Array]:
             both = [counter.total_and_fit(t, limit) for t in texts]
