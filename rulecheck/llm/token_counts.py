@@ -16,7 +16,9 @@ import hashlib
 import math
 import sys
 import types
+from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -93,12 +95,15 @@ class _Totals(dict):
         if total is None:
             total = self.count(word)
         if len(word) <= LONG_WORD:
-            if len(self) >= KNOWN_WORDS:
-                self.old = dict(self)
-                self.clear()
-            self[word] = total
+            self.keep(word, total)
         return total
 
+    def keep(self, word: str, total: int) -> None:
+        if len(self) >= KNOWN_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = total
+
 
 class PrefixCounter:
     """Prefix tables of words and texts."""
@@ -176,10 +181,12 @@ class PrefixCounter:
         found = self.fits[pair] = self.apart(self.names[a], self.names[b])
         return found
 
-    def counts(self, word: str) -> list[int]:
-        """Token counts of all prefixes (from the empty one) of a word with at most one space mark."""
+    def counts(self, word: str, count: list[int] | None = None, last: list[int] | None = None) -> list[int]:
+        """Token counts of all prefixes (from the empty one) of a word with at most one space mark. ``count`` and ``last`` may
+        hold the table of a prefix (counts and last tokens): it is carried on in place."""
         sizes, fits, names = self.sizes, self.fits, len(self.names)
-        count, last, at = [0], [-1], 0  # at: prefixes done; -1: no piece ends there
+        count, last = ([0], [-1]) if count is None else (count, last)  # -1: no piece ends there
+        at = len(count) - 1  # prefixes done
         for end, t in self.ending.iter(word):
             if end < at:
                 continue  # the last token of this prefix is found
@@ -201,8 +208,23 @@ class PrefixCounter:
             at += 1
         for c in word[at:]:
             count.append(count[-1] + len(c.encode()))
+            last.append(-1)
         return count
 
+    def learn(self, words: Iterable[str]) -> None:
+        """Count the words that are not known yet, in sorted order: each carries on the table of the prefix that it shares
+        with the word before it."""
+        totals = self.totals
+        new = sorted({w for w in words if w not in totals and w not in totals.old and len(w) <= LONG_WORD and w[1:2] != SPACE})
+        before, count, last = "", [0], [-1]
+        for word in new:
+            k, most = 0, min(len(before), len(word))
+            while k < most and before[k] == word[k]:
+                k += 1
+            del count[k + 1:], last[k + 1:]
+            totals.keep(word, self.counts(word, count, last)[-1])
+            before = word
+
     def total(self, word: str) -> int:
         return self.counts(word)[-1] if word[1:2] != SPACE else self.prefixes(word)[-1]
 
@@ -263,9 +285,9 @@ class PrefixCounter:
             done += own[-1]
         return np.array([0, *out[2:]] if text else [0], dtype=np.int32)  # the mark before the text is no character of it
 
-    def total_and_fit(self, text: str, limit: int) -> tuple[int, int]:
-        """(token count, characters of the longest prefix with at most ``limit`` tokens)."""
-        words = self.words(text)
+    def total_and_fit(self, text: str, limit: int, words: list[str] | None = None) -> tuple[int, int]:
+        """(token count, characters of the longest prefix with at most ``limit`` tokens). ``words``: those of the text."""
+        words = self.words(text) if words is None else words
         own = [*map(self.totals.__getitem__, words)]
         total = sum(own)
         if total <= limit:
@@ -302,7 +324,9 @@ def count_tokens(df: DataFrame, pieces: Pieces, limit: int, text: str = "text",
         counter = kept_counter(pieces)
 
         def work(texts: list[str]) -> list[pa.Array]:
-            both = [counter.total_and_fit(t, limit) for t in texts]
+            told = [counter.words(t) for t in texts]
+            counter.learn(chain.from_iterable(told))
+            both = [counter.total_and_fit(t, limit, w) for t, w in zip(texts, told, strict=True)]
             made = [pa.array([n for n, _ in both], pa.int64()), pa.array([c for _, c in both], pa.int64())]
             return made + [pa.array([counter.all_prefixes(t) for t in texts], pa.list_(pa.int32()))] * prefixes
 
