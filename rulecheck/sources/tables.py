@@ -84,6 +84,14 @@ def _ordinal_by_split(raw: DataFrame) -> DataFrame:
         *[col(c) for c in raw.columns], (F.col("_off") + F.col("_mid") - F.col("_first")).alias(ROW_NO), col(FILE))
 
 
+def listing(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, whether it is a folder) of the entries of a folder in any store Spark reads, sorted by name. The driver lists one
+    level of names; no file is opened."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted((s.getPath().getName(), s.isDirectory()) for s in store.listStatus(where))
+
+
 @dataclass
 class Table:
     """One named table: ``df`` (data columns only) and, when known, ``ordered``
@@ -223,22 +231,20 @@ class TableSet:
         in sorted order. Only ``~$`` lock files, hidden files and the writers'
         markers are ignored; two entries of one name, a name with a leading
         underscore or a file of an unknown kind (without ``fmt``) raise. ``names`` limits the set to those tables
-        (others are not opened). Lists a local folder: object stores are read
-        through ``from_paths``."""
-        path = path.removeprefix("file://")
+        (others are not opened). The folder lies in any store Spark reads."""
         wanted = set(names) if names is not None else None
         ts = cls(spark)
-        for entry in sorted(os.listdir(path)):
+        for entry, folder in listing(spark, path):
             if entry.startswith(("~$", ".")) or entry in _MARKERS:
                 continue
             plain = entry[:-3] if entry.lower().endswith(".gz") else entry
             name, ext = os.path.splitext(plain)
-            full = os.path.join(path, entry)
+            full = f"{path.rstrip('/')}/{entry}"
             if wanted is not None and name not in wanted:
                 continue
             if entry.startswith("_"):
                 raise ValueError(f"{full}: Spark does not read names that begin with an underscore; rename it or name the tables wanted")
-            if os.path.isfile(full) and fmt is None and ext.lower() not in _FORMATS:
+            if not folder and fmt is None and ext.lower() not in _FORMATS:
                 raise ValueError(f"{full}: not a known table format; name the tables wanted or give fmt")
             if name in ts:
                 raise ValueError(f"two tables named {name!r} in {path}")
