@@ -177,7 +177,7 @@ def sample_stats(ts: TableSet, sheet: str, column_checks: Mapping, sample_size:
 
 
 def full_stats(ts: TableSet, sheet: str, column_checks: Mapping) -> DataFrame:
-    """``(ci, sampled, m0..mk)`` over all rows: one ``count_if`` per (column, check) in plain aggregates, a few columns
+    """``(ci, sampled, rows, m0..mk)`` over all rows (``rows``: of the table): one ``count_if`` per (column, check) in plain aggregates, a few columns
     to each so that they stay inside generated code; no order, no shuffle of rows."""
     t = ts.get(sheet)
     checks = candidate_checks(column_checks)
@@ -187,9 +187,11 @@ def full_stats(ts: TableSet, sheet: str, column_checks: Mapping) -> DataFrame:
         aggs, structs = [], []
         for i, name in enumerate(t.columns[first:first + some], first):
             there = ~is_blank_cell(col(name), t.dtype(name))
+            if i == first:
+                aggs.append(F.count(F.lit(1)).alias("_rows"))
             aggs.append(F.count_if(there).alias(f"n{i}"))
             aggs += [F.count_if(there & check_passes(n, col(name), t.dtype(name), column_checks[n])).alias(f"m{i}_{k}") for k, n in enumerate(checks)]
-            structs.append(F.struct(F.lit(i).alias("ci"), F.col(f"n{i}").alias("sampled"), *[F.col(f"m{i}_{k}").alias(f"m{k}") for k in range(len(checks))]))
+            structs.append(F.struct(F.lit(i).alias("ci"), F.col(f"n{i}").alias("sampled"), F.col("_rows").alias("rows"), *[F.col(f"m{i}_{k}").alias(f"m{k}") for k in range(len(checks))]))
         parts.append(t.df.agg(*aggs).select(F.inline(F.array(*structs))))
     return reduce(DataFrame.unionByName, parts)
 
@@ -208,8 +210,10 @@ def decide(sampled: int, matches: list[int], checks: list[str], threshold: float
 
 
 def infer_rules(ts: TableSet, sheets: list[str], column_checks: Mapping, threshold: float = DEFAULT_MATCH_THRESHOLD,
-                sample_size: int | None = DEFAULT_SAMPLE_SIZE) -> tuple[list[Outcome], dict[str, dict[str, str]]]:
-    """Rule-determination outcomes and ``{table: {column: check}}``."""
+                sample_size: int | None = DEFAULT_SAMPLE_SIZE,
+                counted: dict[str, dict] | None = None) -> tuple[list[Outcome], dict[str, dict[str, str]]]:
+    """Rule-determination outcomes and ``{table: {column: check}}``. Where all values were tried, ``counted`` receives
+    ``{table: {None: rows, column: (values, values that pass its check)}}``: the check's own result."""
     checks = candidate_checks(column_checks)
     outcomes: list[Outcome] = []
     rules: dict[str, dict[str, str]] = {}
@@ -235,6 +239,10 @@ def infer_rules(ts: TableSet, sheets: list[str], column_checks: Mapping, thresho
             sampled = r["sampled"] if r else 0
             matches = [r[f"m{k}"] for k in range(len(checks))] if r else []
             rule, rate, n = decide(sampled, matches, checks, threshold)
+            if counted is not None and sample_size is None and r:
+                own = counted.setdefault(sheet, {None: r["rows"]})
+                if rule is not None:
+                    own[name] = (n, matches[checks.index(rule)])
             if rule is not None:
                 rules.setdefault(sheet, {})[name] = rule
                 outcomes.append(Outcome(sheet, name, RULE_DETERMINATION, rule, failed=0, status="PASS"))

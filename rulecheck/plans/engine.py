@@ -328,18 +328,25 @@ def run_fields(ts: TableSet, config: Mapping, by_file: bool = False) -> RunResul
 
 def run_inferred(ts: TableSet, config: Mapping) -> RunResult:
     """Inferred dialect: table existence, check inference per column (one
-    row per column is collected), then cell checks."""
+    row per column is collected), then cell checks. Where the search has tried
+    all values, its counts are the checks' results."""
     sheet_rows, missing = existence.required_tables(ts, config.get("sheet_checks", {}))
     det = config.get("rule_detection", {})
     column_checks = config.get("column_checks", {})
     sheets = [n for n in ts.names if n not in missing]
+    known: dict[str, dict] = {}
     rule_rows, column_rules = infer.infer_rules(
         ts, sheets, column_checks,
-        det.get("match_threshold", infer.DEFAULT_MATCH_THRESHOLD), det.get("sample_size", infer.DEFAULT_SAMPLE_SIZE))
+        det.get("match_threshold", infer.DEFAULT_MATCH_THRESHOLD), det.get("sample_size", infer.DEFAULT_SAMPLE_SIZE), known)
     rules = {s: {c: [r] for c, r in m.items()} for s, m in column_rules.items()}
     data_rows, plan = _cell_plan(ts, rules, {**{r: {} for m in column_rules.values() for r in m.values()},
                                              **column_checks})
-    all_rows = materialize(ts.spark, sheet_rows + rule_rows + data_rows, "fields")
+    # the search tried the winning checks on every value: what it counted is their result, no table is read again for it
+    counts = {(sheet, column): n for sheet, own in known.items() for column, n in own.items() if column is not None}
+    told = [replace(o, frame=None, fail=None, checked=None, failed=n[0] - n[1], total=n[0])
+            if o.kind == "rowlocal" and (n := counts.get((o.sheet_name, o.field))) else o for o in data_rows]
+    rows = {sheet: own[None] for sheet, own in known.items()}
+    all_rows = materialize(ts.spark, sheet_rows + rule_rows + told, "fields")
     failed = cells.failed_cells(ts, plan)
     again = partial(_one_pass, ts, sheet_rows + rule_rows, data_rows, plan, list(column_rules), True, column_rules)
-    return RunResult(all_rows, "fields", failed, partial(_execution, ts, list(column_rules), True, {}), column_rules, again)
+    return RunResult(all_rows, "fields", failed, partial(_execution, ts, list(column_rules), True, rows), column_rules, again)

@@ -58,3 +58,17 @@ def test_empty_and_unknown(spark, tmp_path):
 
     told = [r for f in glob.glob(out["summary"] + "/*.csv") for r in csv.DictReader(open(f)) if r["test_type"] == "Data Validation"]
     assert sorted((r["sheet_name"], r["failed_count"], r["total_checked"]) for r in told) == [("e", "0", "0"), ("u", "0", "1")]
+
+
+def test_an_inferred_run_reads_no_table_again(spark):
+    """The search tries the winning check on every value: summary and run totals come from its counts, and they equal those
+    of the explicit run with the same checks."""
+    result = run_inferred(tables(spark, SF, INFER_TABLES), INFER_CONFIG)
+    for df in (result.summary, result.execution):
+        assert ".parquet" not in df._jdf.queryExecution().executedPlan().toString()
+    fields = {s: {c: [r] for c, r in m.items()} for s, m in result.inferred.items()}
+    explicit = run_fields(tables(spark, SF, INFER_TABLES), {"column_checks": INFER_CONFIG["column_checks"], "fields": fields})
+    data = "test_type = 'Data Validation'"
+    assert rows(result.summary.filter(data)) == rows(explicit.summary.filter(data)) != []
+    total = "metric = 'Total Rows Processed'"
+    assert rows(result.execution.filter(total)) == rows(explicit.execution.filter(total))
