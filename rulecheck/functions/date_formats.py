@@ -10,9 +10,12 @@ no job runs while a rule is bound.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .names import col
 from .text import let, strip
 
 _TIME = r"[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?"
@@ -131,9 +134,25 @@ def _forms_of(t: Column) -> Column:
 
 def parse_as(c: Column, form: Column) -> Column:
     """Texts of one form -> timestamp_ntz, all others NULL. A NULL form: every text in its own form."""
+    return _in_form(c, form, parse_cell(c), let(strip(c), _forms_of))
+
+
+def _in_form(c: Column, form: Column, alone: Column, forms: Column) -> Column:
     plain_iso = (form == "Y-n-n") & c.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")  # needs no letters
-    return F.when(plain_iso, c.try_cast("timestamp_ntz")).when(form.isNull(), parse_cell(c)).when(
-        c.rlike("[0-9]"), F.try_element_at(let(strip(c), _forms_of), form))
+    return F.when(plain_iso, c.try_cast("timestamp_ntz")).when(form.isNull(), alone).when(
+        c.rlike("[0-9]"), F.try_element_at(forms, form))
+
+
+@lru_cache(maxsize=1024)
+def _of_name(name: str) -> tuple[Column, Column]:
+    """The long expressions over a column, made once for each name (like ``names.col``)."""
+    return parse_cell(col(name)), let(strip(col(name)), _forms_of)
+
+
+def parse_column(name: str, form: Column | None) -> Column:
+    """``parse_cell`` or, with a form, ``parse_as`` of a column by its name."""
+    alone, forms = _of_name(name)
+    return alone if form is None else _in_form(col(name), form, alone, forms)
 
 
 def first_texts(frame: DataFrame, text: Column, order: list[Column], by: list[Column]) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.date_formats import column_form, first_texts, form_of
+from ..functions.date_formats import column_form, first_texts, form_of, parse_column
 from ..functions.dates import stale_cutoff, to_timestamp_lenient
 from ..functions.names import col
 from ..functions.numbers import RuleError, apply_operator, to_double
@@ -57,8 +57,10 @@ def business_rule(ts: TableSet, rule: Mapping, as_of: _dt.date | str | None = No
 
 def _parse(t, c: str, datatype: str, date_formats, form=None):
     dtype = t.dtype(c)
+    if datatype == "date" and isinstance(dtype, StringType) and not date_formats:
+        return parse_column(c, form)
     if datatype == "date":
-        return to_timestamp_lenient(col(c), dtype, date_formats, form)
+        return to_timestamp_lenient(col(c), dtype, date_formats)
     return to_double(col(c), dtype)
 
 
