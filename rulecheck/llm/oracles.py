@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from rulecheck.llm import quality
 
 _QUALITY = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents),
 c AS (
   SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
@@ -30,21 +32,38 @@ s AS (
   FROM m),
 told AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 held AS (
-  UNPIVOT (SELECT stratum, (q >= 1)::INT AS good, symbols, dup_lines, repeats FROM s JOIN told USING (doc_id) WHERE NOT base_failed)
-  ON symbols, dup_lines, repeats INTO NAME signal VALUE v),
-cells AS (
-  SELECT stratum, signal, cutoff, sum(good) AS n, sum(good) FILTER (v > cutoff) AS k0, sum(1 - good) FILTER (v > cutoff) AS bad
-  FROM held, (SELECT unnest({cutoffs}) AS cutoff) GROUP BY ALL),
-tails AS (
-  SELECT stratum, signal, cutoff, bad,
+  SELECT row_number() OVER () AS id, stratum, q >= 1 AS good, symbols, dup_lines, repeats FROM s JOIN told USING (doc_id) WHERE NOT base_failed),
+n_good AS (SELECT k AS stratum, count(*) FILTER (good) AS n FROM (SELECT unnest(range({strata})) AS k) LEFT JOIN held ON held.stratum = k GROUP BY k),
+-- neighbouring strata until a pool has the good labels that a rule rejecting none of them needs
+walk AS (
+  SELECT stratum, n, 0 AS pool, n AS have FROM n_good WHERE stratum = 0
+  UNION ALL SELECT g.stratum, g.n, pool + (have >= {need})::INT, CASE WHEN have >= {need} THEN g.n ELSE have + g.n END
+  FROM walk JOIN n_good g ON g.stratum = walk.stratum + 1),
+pool AS (
+  SELECT stratum, n, CASE WHEN pool > 0 AND pool = max(pool) OVER () AND arg_max(have, stratum) OVER () < {need} THEN pool - 1 ELSE pool END AS pool FROM walk),
+sizes AS (SELECT pool, sum(n)::BIGINT AS n, count(*) OVER () AS pools FROM pool GROUP BY pool),
+long AS (
+  SELECT id, pool, good, unnest([0, 1, 2]) AS signal, unnest([symbols, dup_lines, repeats]) AS v FROM held JOIN pool USING (stratum)),
+-- the chain of each pool, from the bad documents alone: signals that reject more of them first, cutoffs that reject further ones
+caught AS (
+  SELECT pool, signal, cutoff, count(*) FILTER (v > cutoff) AS bad FROM long, (SELECT unnest({cutoffs}) AS cutoff) WHERE NOT good GROUP BY ALL),
+gains AS (
+  SELECT *, max(bad) OVER (PARTITION BY pool, signal) AS most, bad - coalesce(lag(bad) OVER (PARTITION BY pool, signal ORDER BY cutoff DESC), 0) AS more FROM caught),
+chain AS (SELECT pool, signal, cutoff, row_number() OVER (PARTITION BY pool ORDER BY most DESC, signal, cutoff DESC) AS place FROM gains WHERE more > 0),
+steps AS (SELECT id, pool, min(place) AS place FROM long JOIN chain USING (pool, signal) WHERE good AND v > cutoff GROUP BY id, pool),
+hits AS (SELECT pool, place, count(*) AS hit FROM steps GROUP BY pool, place),
+tests AS (
+  SELECT pool, signal, cutoff, place, n, pools, sum(coalesce(hit, 0)) OVER (PARTITION BY pool ORDER BY place)::BIGINT AS k
+  FROM chain JOIN sizes USING (pool) LEFT JOIN hits USING (pool, place)),
+passed AS (
+  SELECT *, CASE WHEN k < n * {a} THEN
     (SELECT sum(exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({a}) + (n - i) * ln(1 - {a})))
-     FROM (SELECT unnest(range(0, coalesce(k0, 0)::BIGINT + 1)) AS i)) AS p, coalesce(k0, 0) < n * {a} AS low
-  FROM cells WHERE bad > 0 AND n > 0),
-best AS (
-  SELECT stratum, signal, arg_max(cutoff, (bad, cutoff)) AS cutoff FROM tails WHERE low AND p <= {d} GROUP BY ALL),
+     FROM (SELECT unnest(range(0, k + 1)) AS i)) <= {d} / pools ELSE FALSE END AS ok
+  FROM tests),
+firm AS (SELECT *, bool_and(ok) OVER (PARTITION BY pool ORDER BY place) AS sure FROM passed),
 cut AS (
-  SELECT stratum, max(cutoff) FILTER (signal = 'symbols') AS c1, max(cutoff) FILTER (signal = 'dup_lines') AS c2,
-    max(cutoff) FILTER (signal = 'repeats') AS c3 FROM best GROUP BY stratum)
+  SELECT stratum, min(cutoff) FILTER (signal = 0) AS c1, min(cutoff) FILTER (signal = 1) AS c2, min(cutoff) FILTER (signal = 2) AS c3
+  FROM firm JOIN pool USING (pool) WHERE sure GROUP BY stratum)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT (base_failed OR coalesce(symbols > c1, FALSE) OR coalesce(dup_lines > c2, FALSE) OR coalesce(repeats > c3, FALSE)) AS kept
@@ -54,8 +73,9 @@ FROM s LEFT JOIN cut USING (stratum)
 
 def quality_sql() -> str:
     strata = " + ".join(f"(n_words >= {least})::INT" for least in quality.STRATA[1:])
-    return _QUALITY.format(stratum=strata, cutoffs=quality.CUTOFFS, a=f"{quality.ALPHA / len(quality.SIGNALS)!r}::DOUBLE",
-                           d=f"{quality.DELTA / (len(quality.STRATA) * len(quality.SIGNALS))!r}::DOUBLE")
+    need = math.log(quality.DELTA / len(quality.STRATA)) / math.log1p(-quality.ALPHA)
+    return _QUALITY.format(stratum=strata, strata=len(quality.STRATA), cutoffs=quality.CUTOFFS, need=f"{need!r}::DOUBLE",
+                           a=f"{quality.ALPHA!r}::DOUBLE", d=f"{quality.DELTA!r}::DOUBLE")
 
 
 _CHAT = r"""

@@ -9,7 +9,7 @@ from loose to strict and stop at the first failure, which needs no further corre
 loosest of those that reject the most bad documents is taken, so good ones are not given away for nothing.
 
 ``joint_cuts`` spends the same budget on one joint rule for each class (or pool of thin classes), which needs far fewer
-good labels; the pipeline uses it. The registered query keeps the corrections above, which its SQL fixes.
+good labels; the registered query and the pipeline use it.
 """
 
 from __future__ import annotations
@@ -222,7 +222,7 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", alpha: float =
 
 
 def op9_risk_controlled_rules(spark, sf_dir: str) -> DataFrame:
-    """Counts and verdict of every document, cutoffs certified on the table labels."""
+    """Counts and verdict of every document, one joint rule for each pool of classes certified on the table labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = judge(docs, table(spark, sf_dir, "labels"))
+    out = judge(docs, table(spark, sf_dir, "labels"), joint=True)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

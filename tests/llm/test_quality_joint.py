@@ -35,3 +35,14 @@ def test_joint_rule_stops_at_the_first_failure(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
     found = quality.joint_cuts(quality.signals(df.drop("quality")), df.select("doc_id", "quality"))
     assert [(own, n, k) for own, n, k, _ in found] == [([0, 1, 2, 3], 500, 0)] and set(found[0][3]) == {"symbols"} and found[0][3]["symbols"] >= 100
+
+
+def test_the_query_rejects_by_its_certified_rule(spark):
+    """On sf0.01 the certified cutoff decides rows: all labelled bad documents go, at most a hundredth of the good ones beyond the base rules."""
+    sf = "/root/testdata/sf0.01"
+    told = spark.read.parquet(f"{sf}/labels.parquet").filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q"))
+    rows = quality.op9_risk_controlled_rules(spark, sf).join(told, "doc_id", "left").collect()
+    by_method = [r for r in rows if not r["base_failed"] and not r["kept"]]
+    assert len(by_method) > 0 and not any(r["kept"] for r in rows if r["q"] == 0 or r["base_failed"])
+    good = [r for r in rows if r["q"] == 1 and not r["base_failed"]]
+    assert sum(not r["kept"] for r in good) <= 0.01 * len(good)
