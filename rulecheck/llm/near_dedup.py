@@ -436,11 +436,14 @@ def duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with one row of each class: that of the least doc_id. Rows with null text stay, one for each doc_id."""
     classes = duplicate_classes(docs, text)
-    key, d, n = (free_name(docs, x) for x in ("_node", "_first", "_of"))
-    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(d), F.col("node").alias(n)).distinct()
-    keyed = docs.withColumn(key, F.unhex(F.md5(F.col(text).cast("binary"))))
-    kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col(d)) & F.col(key).eqNullSafe(F.col(n)), "left_semi")
-    return kept.dropDuplicates(["doc_id", key]).select(*docs.columns)
+    key, own = free_name(docs, "_row"), free_name(docs, "_own")
+    row = lambda node, doc_id: F.concat_ws("|", F.coalesce(node, F.lit("-")), F.when(doc_id.isNull(), "-").otherwise(
+        F.concat(F.lit("="), doc_id.cast("string"))))
+    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(row(F.lower(F.hex("node")), F.col("doc_id")).alias(own)).distinct()
+    # one key that is never null for both steps: repeated rows go on the way into the one exchange of the texts, and the
+    # rows that stay are joined where they lie
+    keyed = docs.withColumn(key, row(F.md5(F.col(text).cast("binary")), F.col("doc_id")))
+    return keyed.dropDuplicates([key]).join(first, F.col(key) == F.col(own), "left_semi").select(*docs.columns)
 
 
 def op1_order_minhash(spark, sf_dir: str) -> DataFrame:
