@@ -16,9 +16,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .plans.engine import run_fields, run_inferred, run_kpi
+from .plans.engine import run_fields, run_inferred, run_kpi, run_kpi_inputs
 from .rules import load_rules
 from .sinks.report import write_report
+from .sources.sets import InputSets
 from .sources.tables import TableSet
 
 
@@ -28,6 +29,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--tables", required=True, help="directory: one table per file or sub-directory")
     p.add_argument("--batch", action="store_true",
                    help="--tables holds many files of ONE table; results per source file")
+    p.add_argument("--inputs", action="store_true",
+                   help="kpi: --tables holds one folder (or file) for each input, each a set of tables; results per input")
     p.add_argument("--batch-name", default="Sheet1", help="table name of a --batch run")
     p.add_argument("--input-format", default=None, help="parquet, csv, orc or json (default: by extension)")
     p.add_argument("--rules", required=True, help="rule set: JSON file or JSON text")
@@ -42,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     if args.batch and args.dialect == "inferred":
         _parser().error("--batch is not available for inferred: run it once for each file")
+    if args.inputs and (args.dialect != "kpi" or args.batch):
+        _parser().error("--inputs is for kpi, without --batch")
     if args.local:
         from .session import local_session
 
@@ -49,11 +54,15 @@ def main(argv: list[str] | None = None) -> int:
     else:
         spark = SparkSession.builder.appName("rulecheck").getOrCreate()
     rules = load_rules(args.rules)
-    if args.batch:
+    if args.inputs:
+        ts = InputSets.from_dir(spark, args.tables, fmt=args.input_format)
+    elif args.batch:
         ts = TableSet(spark).add_batch(args.batch_name, args.tables, fmt=args.input_format or "csv")
     else:
         ts = TableSet.from_dir(spark, args.tables, fmt=args.input_format)
-    if args.dialect == "kpi":
+    if args.inputs:
+        result = run_kpi_inputs(ts, rules, as_of=args.as_of)
+    elif args.dialect == "kpi":
         result = run_kpi(ts, rules, as_of=args.as_of, by_file=args.batch)
     elif args.dialect == "fields":
         result = run_fields(ts, rules, by_file=args.batch)
@@ -61,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_inferred(ts, rules)
     result = result.once()
     parts = write_report(result, args.out, fmt=args.format,
-                         partition_by=["source_file"] if args.batch else None)
+                         partition_by=["source_file"] if args.batch or args.inputs else None)
     failed = result.summary.filter("status IN ('F', 'FAIL')").count()
     print(json.dumps({"report": parts, "failed_tests": failed}))
     return 0

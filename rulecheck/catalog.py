@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import business, cells, crosstable, infer, quality, trend
-from .plans.engine import run_fields, run_inferred, run_kpi
+from .operators.base import CONFIGURATION
+from .plans.engine import run_fields, run_inferred, run_kpi, run_kpi_inputs
 from .plans.planner import materialize, summary_columns
+from .sources.sets import InputSets
 from .sources.tables import FILE, ROW_NO, TableSet
 
 # physical sort key of the tables used for row-order dependent checks
@@ -475,6 +477,23 @@ def _batch(spark, d):
     return summary.withColumn("source_file", F.regexp_extract("source_file", "[^/]*$", 0))
 
 
+INPUT_RECON = {"name": "line amounts vs order totals", "sourcesheet": "line_amounts", "targetsheet": "order_amounts",
+               "matchcolumns": ["Fiscal Month", "Customer"], "sourcecolumn": "Line Amount", "targetcolumn": "Order Total",
+               "distinctcolumn": "Customer", "tolerance": 200000}
+INPUT_KEYS = {"name": "customers of both", "sourcesheet": "line_amounts", "targetsheet": "large_orders", "matchcolumn": "Customer",
+              "validationtype": "existencecheck"}
+INPUT_RULES = {"sheetlist": ["line_amounts", "warehouse"], "reconciliationvalidation": [INPUT_RECON], "crosssheetvalidation": [INPUT_KEYS]}
+
+
+def _by_input(spark, d):
+    """Two-table rules for each of many inputs: the tables of each year are an input of their own."""
+    frames = {n: _joined(spark, d, n) for n in ("line_amounts", "order_amounts")}
+    frames["large_orders"] = frames["order_amounts"].filter(F.col("Order Total") > 100000)
+    sets = InputSets.from_frames(spark, frames, "Fiscal Year")
+    summary = run_kpi_inputs(sets, INPUT_RULES).summary
+    return summary.filter(F.col("test_type") != CONFIGURATION)  # the sections that this rule set leaves out
+
+
 STREAM_FIELDS = {"value": ["number"], "event_type": ["text_only"], "user_text": ["numeric_only", "email"]}
 
 
@@ -550,5 +569,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "exec_summary_inferred": _exec_inferred,
         "run_kpi_ruleset": _run_kpi,
         "batch_by_file": _batch,
+        "kpi_by_input": _by_input,
         "stream_cell_counts": _stream_counts,
     }

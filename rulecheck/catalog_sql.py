@@ -510,6 +510,27 @@ def run_kpi_ruleset():
     return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
 
 
+def kpi_by_input():
+    sides = _recon_sides('"Fiscal Year" y, "Fiscal Month" m, "Customer" c', '"Fiscal Year" y, "Fiscal Month" m, "Customer" c').format(
+        nn_s='"Fiscal Month" IS NOT NULL AND "Customer" IS NOT NULL', nn_t='"Fiscal Month" IS NOT NULL AND "Customer" IS NOT NULL')
+    row = lambda sheet, fld, tt, tn, n, rest: (
+        f"SELECT CAST(i.y AS VARCHAR) AS source_file, '{sheet}' AS sheet_name, '{fld}' AS field, '{tt}' AS test_type, '{tn}' AS test_name, "
+        f"CASE WHEN {n} = 0 THEN 'P' ELSE 'F' END AS status, CAST({n} AS BIGINT) AS failed_count FROM inputs i {rest}")
+    off = f"COUNT(DISTINCT r.c) FILTER (WHERE abs(r.sv - r.tv) > {C.INPUT_RECON['tolerance']})"
+    return (C._sql_with(["line_amounts", "order_amounts"])[:-1] + ", " + sides + ", "
+            'inputs AS (SELECT DISTINCT "Fiscal Year" y FROM order_amounts WHERE "Fiscal Year" IS NOT NULL UNION SELECT "Fiscal Year" FROM line_amounts WHERE "Fiscal Year" IS NOT NULL), '
+            "r AS (SELECT COALESCE(s.y, t.y) y, COALESCE(s.c, t.c) c, COALESCE(s.v, 0) sv, COALESCE(t.v, 0) tv "
+            "FROM s FULL OUTER JOIN t ON s.y = t.y AND s.m = t.m AND s.c = t.c), "
+            'a AS (SELECT DISTINCT "Fiscal Year" y, "Customer" c FROM line_amounts WHERE "Customer" IS NOT NULL), '
+            'b AS (SELECT DISTINCT "Fiscal Year" y, "Customer" c FROM order_amounts WHERE "Customer" IS NOT NULL AND "Order Total" > 100000), '
+            "k AS (SELECT COALESCE(a.y, b.y) y FROM a FULL OUTER JOIN b ON a.y = b.y AND a.c = b.c WHERE a.c IS NULL OR b.c IS NULL) "
+            + " UNION ALL ".join([
+                row("line_amounts", "Sheet", "Sheet Validation", "Sheet Existence Testing", "0", ""),
+                row("warehouse", "Sheet", "Sheet Validation", "Sheet Existence Testing", "1", ""),
+                row("line_amounts", C.INPUT_RECON["name"], DV, "Reconciliation Validation", off, "LEFT JOIN r ON r.y = i.y GROUP BY i.y"),
+                row("line_amounts", C.INPUT_KEYS["name"], DV, "Cross Sheet Validation", "COUNT(k.y)", "LEFT JOIN k ON k.y = i.y GROUP BY i.y")]))
+
+
 def batch_by_file():
     files = {"customer.parquet": ("customer", {"c_acctbal", "c_name"}),
              "supplier.parquet": ("supplier", {"s_acctbal", "s_name"})}
@@ -646,5 +667,6 @@ def oracle_sql() -> dict[str, str]:
         "exec_summary_inferred": exec_inferred(),
         "run_kpi_ruleset": run_kpi_ruleset(),
         "batch_by_file": batch_by_file(),
+        "kpi_by_input": kpi_by_input(),
         "stream_cell_counts": stream_counts(),
     }

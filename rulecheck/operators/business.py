@@ -20,7 +20,7 @@ from ..functions.dates import stale_cutoff, to_timestamp_lenient
 from ..functions.names import col
 from ..functions.numbers import RuleError, apply_operator, to_double
 from ..functions.text import aligned_keys, is_blank_norm, norm_text
-from ..sources.tables import FILE, ROW_NO, TableSet
+from ..sources.tables import FILE, TableSet
 from .base import BUSINESS_RULE, DATA_VALIDATION, Outcome, failed_rule, missing_columns, missing_table
 
 _PRIMARY_KEYS = ("leftcolumn", "column", "referencecolumn", "distinctcolumn", "lookupkeyleft")
@@ -72,7 +72,7 @@ def _column_form(t, c: str, date_formats):
     if date_formats or not isinstance(t.dtype(c), StringType) or not t.has_row_numbers():
         return t.df, None
     rows = t.ordered()
-    order = [F.col(FILE), F.col(ROW_NO)]
+    order = t.row_order()
     if FILE not in t.df.columns:
         return t.df, column_form(rows, col(c), order)
     forms = first_texts(rows, col(c), order, [F.col(FILE).alias("_form_file")]).select("_form_file", form_of(F.col("first")).alias("_form"))
@@ -123,8 +123,11 @@ def _lookup_counts(ts: TableSet, t, rule: Mapping):
     right = lookup.df
     if drop_null:
         right = right.filter(col(rk).isNotNull())
-    right_agg = right.groupBy(right_key.alias("_rk")).agg(F.min(rv).alias("_rmin"), F.max(rv).alias("_rmax"))
+    pair = [F.col(FILE).alias("_rfile")] if ts.paired else []  # several inputs: each looks up in its own table
+    right_agg = right.groupBy(*pair, right_key.alias("_rk")).agg(F.min(rv).alias("_rmin"), F.max(rv).alias("_rmax"))
     cond = F.col("_k") == F.col("_rk") if drop_null else F.col("_k").eqNullSafe(F.col("_rk"))
+    if pair:
+        cond = cond & (F.col(FILE) == F.col("_rfile"))
     joined = left_agg.join(right_agg, cond, "left")
     matched = F.col("_rmin").isNotNull()
     same = (F.col("_lmin") == F.col("_lmax")) & (F.col("_lmin") == F.col("_rmin")) & (F.col("_rmin") == F.col("_rmax"))

@@ -32,6 +32,7 @@ from ..operators.base import (
     missing_table,
 )
 from ..session import ensure_checkpoint_dir
+from ..sources.sets import InputSets
 from ..sources.tables import FILE, TableSet
 from .planner import materialize, summary_columns
 
@@ -215,6 +216,32 @@ def run_kpi(ts: TableSet, config: Mapping, as_of: _dt.date | str | None = None,
     return RunResult(materialize(ts.spark, kpi_outcomes(ts, config, as_of), "kpi"), "kpi")
 
 
+def run_kpi_inputs(sets: InputSets, config: Mapping, as_of: _dt.date | str | None = None) -> RunResult:
+    """KPI dialect over many inputs, each a set of tables: every rule is reported for every input (``source_file``), as if each
+    input were run by itself, two-table rules included. The rules are bound once for each group of like inputs; an input
+    without rows in a table passes that table's rules, one without the table fails them as a run of its own would."""
+    parts = []
+    for group in sets.groups:
+        outcomes = kpi_outcomes(group.tables, config, as_of)
+        rules = [F.struct(F.lit(o.sheet_name).alias("sheet_name"), F.lit(o.field).alias("field"), F.lit(o.test_type).alias("test_type"),
+                          F.lit(o.test_name).alias("test_name"), F.lit(o.status).cast("string").alias("_status"),
+                          F.lit(int(o.failed or 0) + o.offset * (o.kind != "literal")).cast("long").alias("_known"),
+                          F.lit(o.params).cast("string").alias("rule_parameters"), F.lit(i).alias("_ord")) for i, o in enumerate(outcomes)]
+        if not rules:
+            continue
+        each = group.inputs.select("source_file", F.inline(F.array(*rules)))  # metadata: inputs x rules
+        counted = materialize(group.tables.spark, outcomes, "kpi", FILE).filter("source_file IS NOT NULL").select(
+            F.col("source_file").alias("_of"), F.col("_ord").alias("_rule"), F.col("failed_count").alias("_count"))
+        failed = F.coalesce("_count", "_known")
+        parts.append(each.join(counted, (F.col("source_file") == F.col("_of")) & (F.col("_ord") == F.col("_rule")), "left").select(
+            "sheet_name", "field", "test_type", "test_name",
+            F.coalesce("_status", F.when(failed == 0, "P").otherwise("F")).alias("status"), failed.alias("failed_count"),
+            "rule_parameters", "_ord", "source_file"))
+    if not parts:
+        raise ValueError("no input, or no rule")
+    return RunResult(reduce(DataFrame.unionByName, parts), "kpi")
+
+
 # --------------------------------------------------------------------------- field dialects
 
 def _cell_plan(ts: TableSet, column_rules: Mapping[str, Mapping[str, list]], column_checks: Mapping,

@@ -31,7 +31,8 @@ from ..functions.names import col
 
 ROW_NO = "_row_no"
 FILE = "_file"
-HIDDEN = (ROW_NO, FILE)
+PART = "_part"  # tables of several inputs: the file within the input
+HIDDEN = (ROW_NO, FILE, PART)
 
 # Text pandas' readers treat as missing by default.
 PANDAS_NA_TOKENS = (
@@ -59,7 +60,7 @@ def _clean(df: DataFrame, na_tokens: Iterable[str] | None) -> DataFrame:
     return df.select(*out) if changed else df
 
 
-def _ordinal_by_split(raw: DataFrame) -> DataFrame:
+def _ordinal_by_split(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Dense 0-based row number within each file, for readers without a row
     index (CSV, JSON, ORC).
 
@@ -81,7 +82,7 @@ def _ordinal_by_split(raw: DataFrame) -> DataFrame:
     # ``splits`` holds one row per file split, so it grows with the input: AQE
     # broadcasts it where its measured size allows, else both sides are dealt by split.
     return base.join(splits, [FILE, "_blk"]).select(
-        *[col(c) for c in raw.columns], (F.col("_off") + F.col("_mid") - F.col("_first")).alias(ROW_NO), col(FILE))
+        *[col(c) for c in columns or raw.columns], (F.col("_off") + F.col("_mid") - F.col("_first")).alias(ROW_NO), col(FILE))
 
 
 def listing(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
@@ -92,6 +93,27 @@ def listing(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted((s.getPath().getName(), s.isDirectory()) for s in store.listStatus(where))
 
 
+def table_entries(spark: SparkSession, path: str, fmt: str | None, wanted: set[str] | None, only: str | None = None):
+    """(table name, path, format) of each table in a folder, as ``TableSet.from_dir`` says; ``only``: of that entry."""
+    seen = set()
+    for entry, folder in listing(spark, path) if only is None else [(only, False)]:
+        if entry.startswith(("~$", ".")) or entry in _MARKERS:
+            continue
+        plain = entry[:-3] if entry.lower().endswith(".gz") else entry
+        name, ext = os.path.splitext(plain)
+        full = f"{path.rstrip('/')}/{entry}"
+        if wanted is not None and name not in wanted:
+            continue
+        if entry.startswith("_"):
+            raise ValueError(f"{full}: Spark does not read names that begin with an underscore; rename it or name the tables wanted")
+        if not folder and fmt is None and ext.lower() not in _FORMATS:
+            raise ValueError(f"{full}: not a known table format; name the tables wanted or give fmt")
+        if name in seen:
+            raise ValueError(f"two tables named {name!r} in {path}")
+        seen.add(name)
+        yield name, full, fmt or _FORMATS.get(ext.lower(), "parquet")
+
+
 @dataclass
 class Table:
     """One named table: ``df`` (data columns only) and, when known, ``ordered``
@@ -119,11 +141,12 @@ class Table:
         is not a dense row number."""
         if self.ordered_df is not None:
             return self.ordered_df
-        return self.df.select(
-            "*",
-            F.monotonically_increasing_id().alias(ROW_NO),
-            F.lit(None).cast("string").alias(FILE),
-        )
+        file = [] if FILE in self.df.columns else [F.lit(None).cast("string").alias(FILE)]
+        return self.df.select("*", F.monotonically_increasing_id().alias(ROW_NO), *file)
+
+    def row_order(self) -> list[Column]:
+        """The columns of ``ordered()`` that put the rows in their order."""
+        return [F.col(c) for c in (FILE, PART, ROW_NO) if c in self.ordered().columns]
 
     def has_row_numbers(self) -> bool:
         return self.ordered_df is not None
@@ -136,6 +159,8 @@ class TableSet:
     spark: SparkSession
     tables: dict[str, Table] = field(default_factory=dict)
     formats: dict[str, DataFrame] = field(default_factory=dict)
+    #: ``_file`` names the input in all tables, and rows of one input belong together.
+    paired: bool = False
 
     # ------------------------------------------------------------------ build
     def add_frame(self, name: str, df: DataFrame, order_col: str | None = None,
@@ -232,23 +257,9 @@ class TableSet:
         markers are ignored; two entries of one name, a name with a leading
         underscore or a file of an unknown kind (without ``fmt``) raise. ``names`` limits the set to those tables
         (others are not opened). The folder lies in any store Spark reads."""
-        wanted = set(names) if names is not None else None
         ts = cls(spark)
-        for entry, folder in listing(spark, path):
-            if entry.startswith(("~$", ".")) or entry in _MARKERS:
-                continue
-            plain = entry[:-3] if entry.lower().endswith(".gz") else entry
-            name, ext = os.path.splitext(plain)
-            full = f"{path.rstrip('/')}/{entry}"
-            if wanted is not None and name not in wanted:
-                continue
-            if entry.startswith("_"):
-                raise ValueError(f"{full}: Spark does not read names that begin with an underscore; rename it or name the tables wanted")
-            if not folder and fmt is None and ext.lower() not in _FORMATS:
-                raise ValueError(f"{full}: not a known table format; name the tables wanted or give fmt")
-            if name in ts:
-                raise ValueError(f"two tables named {name!r} in {path}")
-            ts.add_path(name, full, fmt or _FORMATS.get(ext.lower()), **options)
+        for name, full, kind in table_entries(spark, path, fmt, set(names) if names is not None else None):
+            ts.add_path(name, full, kind, **options)
         return ts
 
     @classmethod
