@@ -7,7 +7,7 @@ fails. A previous value that is missing or 0 is skipped.
   made numeric with unparsable -> 0), then compare each group with the
   previous group of the same first column, ordered by the other columns.
   Plan: partial aggregate + shuffle on all keys, then ``lag_by_range`` over
-  the aggregated rows (range partitions + a per-partition carry), so no task
+  the aggregated rows (ranges of keys + a carry between ranges), so no task
   ever holds a whole first-column group.
 * two-column: sum the metric and its previous-period column per
   ``distinctcolumn`` (+ FiscalYear / FiscalMonth when present) and compare
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from ..functions.names import col, header_map, underscored
 from ..functions.numbers import apply_operator, group_sum, pct_deviation
-from ..session import ensure_checkpoint_dir
 from ..sources.tables import FILE, TableSet
 from .base import DATA_VALIDATION, TREND, Outcome, missing_columns, missing_table
 
@@ -33,26 +32,42 @@ PERIOD_COLUMNS = ("FiscalYear", "FiscalMonth")
 DEFAULT_DISTINCT = "PracticeCode"
 
 
+#: Keys drawn for each splitter of the ranges.
+DRAWN = 16
+
+
+def _range_number(agg: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """``agg`` plus ``_pid``: the number of the range of ``keys`` that a row lies in, some ``parts`` ranges of like size.
+
+    The splitters are part of the plan: of the unique keys those with the lowest
+    hashes, about ``DRAWN * parts`` whatever the number of rows, are sorted in
+    one scalar subquery and every ``DRAWN``-th is taken. They follow from the
+    rows alone, so every evaluation gives the same ranges."""
+    key = F.struct(*keys)
+    rows = agg.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    drawn = agg.filter(F.pmod(F.xxhash64(*keys), rows) < DRAWN * parts).agg(F.sort_array(F.collect_list(key)).alias("k"))
+    splitters = drawn.select(F.filter("k", lambda x, i: i % DRAWN == DRAWN - 1)).scalar()
+    # how many splitters a key has reached: bits from the highest that the number of ranges can have
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range((2 * parts).bit_length()))])
+    reached = F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(F.col("_splitters"), at + s - 1) <= F.col("_key"), at + s).otherwise(at))
+    return agg.select("*", key.alias("_key"), splitters.alias("_splitters")).select(*agg.columns, reached.alias("_pid"))
+
+
 def lag_by_range(agg: DataFrame, first: str, order: list[str], value: str, parts: int) -> DataFrame:
     """``agg`` plus ``_prev``: ``lag(value)`` within ``first`` in ``order``
     order, without a window whose partition holds a whole ``first`` group.
 
-    The (unique-keyed) rows are range-partitioned on all keys, so a hot
-    ``first`` value is spread over several balanced, contiguous partitions.
-    The lag is taken inside each (partition, first) group; the only rows that
-    may need a value from an earlier partition are the first row of each
-    partition. A table with one row per partition (its first key; its last key
+    The (unique-keyed) rows are dealt to ranges of all keys, so a hot
+    ``first`` value is spread over several contiguous ranges of like size.
+    The lag is taken inside each (range, first) group; the only rows that
+    may need a value from an earlier range are the first row of each
+    range. A table with one row per range (its first key; its last key
     and value) gives them that value: within each ``first`` value, the last
-    partition-end before the partition-start. That table is bounded by the
-    number of partitions, so it is broadcast back."""
+    range-end before the range-start. That table is bounded by the
+    number of ranges, so it is broadcast back. Nothing runs while binding."""
     keys = [first] + order
     kind = agg.schema[value].dataType
-    # Range bounds come from sampling, so the dealt rows are written once to the
-    # shared checkpoint folder: both branches below read the same partitions,
-    # whether or not Spark reuses an exchange.
-    ensure_checkpoint_dir(agg.sparkSession)
-    ranged = (agg.select(*keys, value).repartitionByRange(parts, *[F.col(k) for k in keys])
-              .withColumn("_pid", F.spark_partition_id()).checkpoint())
+    ranged = _range_number(agg.select(*keys, value), keys, parts)
     w_local = Window.partitionBy("_pid", first).orderBy(*order)
     local = ranged.withColumn("_prev", F.lag(value).over(w_local))
     ends = ranged.groupBy("_pid").agg(

@@ -39,11 +39,44 @@ def test_inference_limits_before_the_shuffle(spark):
     assert plan.find("Exchange hashpartitioning(ci") < plan.rfind("WindowGroupLimit")
 
 
-def test_trend_lag_uses_range_partitions(spark):
+def test_trend_lag_uses_ranges_of_keys(spark):
     agg = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), ("b", 1, 3.0)], "g string, m int, v double")
     plan = _plan(trend.lag_by_range(agg, "g", ["m"], "v", 4))
-    assert "ExistingRDD" in plan  # the dealt rows are checkpointed: both branches read the same partitions
-    assert "windowspecdefinition(_pid" in plan  # lag per (partition, key), never per whole key
+    assert "windowspecdefinition(_pid" in plan and "rangepartitioning" not in plan  # lag per (range, key), never per whole key
+    ranges = trend._range_number(spark.range(20000).selectExpr("id % 2 AS g", "id AS m"), ["g", "m"], 16).groupBy("_pid").count().collect()
+    assert 14 <= len(ranges) <= 20 and max(r["count"] for r in ranges) < 4 * 20000 / 16
+
+
+def test_trend_lag_is_that_of_the_sorted_rows(spark):
+    """Against plain Python: one group with half of all rows, groups that lie in one range, no rows; with and without exchange reuse."""
+    rows = [("hot", k * 7 % 1009, float(k)) for k in range(1009)] + [(f"g{k % 300}", k, k / 3) for k in range(1000)]
+    want, last = {}, {}
+    for g, m, v in sorted(rows):
+        want[g, m] = last.get(g)
+        last[g] = v
+    agg = spark.createDataFrame(rows, "g string, m int, v double").groupBy("g", "m").agg({"v": "sum"}).withColumnRenamed("sum(v)", "v")
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            for parts in (1, 3, 8, 200):
+                got = {(r["g"], r["m"]): r["_prev"] for r in trend.lag_by_range(agg, "g", ["m"], "v", parts).collect()}
+                assert got == want, (reuse, parts)
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+    assert trend.lag_by_range(agg.limit(0), "g", ["m"], "v", 8).count() == 0
+
+
+def test_a_trend_rule_runs_nothing_while_binding(spark):
+    ts = TableSet.from_dir(spark, SF, names=["orders"])
+    rule = {"name": "t", "sheet": "orders", "metric": "o_totalprice", "previousmetric": "x", "operator": ">", "threshold": 30, "aggregate": True,
+            "groupbycolumns": ["o_custkey", "o_orderdate"]}
+    spark.sparkContext.setJobGroup("binding", "no job")
+    try:
+        run = run_kpi(ts, {"trendvalidation": [rule]})
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("binding")
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert run.summary.filter("field = 't' AND test_name = 'Trend Validation'").count() == 1
 
 
 GROUPED = {
