@@ -232,19 +232,46 @@ def _limit(n: Column, m: Column) -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges(a, b) -> node, label: the least node of its connected component. Labels flow along edges and then jump to
-    their label's label, so a round count of the logarithm of the longest path is enough; each round is written."""
-    both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    """edges(a, b) -> node, label: the least node of its connected component.
+
+    In each round every node hooks onto its least neighbour, if that is less than itself; the trees that arise are
+    followed to their roots (doubling the steps), and the edges between roots are the next round's. So an edge is read
+    in later rounds only while its ends are in two trees, and the nodes at least halve in two rounds: a root that no
+    neighbour hooks onto has a lesser root beside it in the next round.
+    """
+    left, labels = edges.select("a", "b"), None
     while True:
-        told = both.join(labels, both.a == labels.node).groupBy("b").agg(F.min("label").alias("told"))
-        new = labels.join(told, labels.node == told.b, "left").select("node", F.least("label", "told").alias("near"), F.col("label").alias("old"))
-        up = new.select(F.col("node").alias("up"), F.col("near").alias("further"))
-        jumped = materialize(new.join(up, new.near == up.up, "left").select(
-            "node", F.coalesce(F.least("near", "further"), "near").alias("label"), "old"), "labels")
+        left = materialize(left.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        if labels is not None and left.isEmpty():
+            return labels
+        # the greater end of an edge may hook, its other neighbours may be still less; the lesser end is a node, too
+        hooks = left.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(left.select(F.col("a").alias("node"), F.col("a").alias("label")))
+        trees = _rooted(materialize(hooks.groupBy("node").agg(F.min("label").alias("label")), "hooks"))
+        labels = trees if labels is None else materialize(_renamed(labels, "label", trees), "labels")
+        left = _renamed(_renamed(left, "a", trees), "b", trees)
+
+
+def _renamed(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """rows with the nodes of a column replaced by their labels, where they have one."""
+    own = labels.select(F.col("node").alias("own_"), F.col("label").alias("to_"))
+    return rows.join(own, F.col(column) == F.col("own_"), "left").withColumn(column, F.coalesce("to_", column)).select(*rows.columns)
+
+
+def _rooted(trees: DataFrame) -> DataFrame:
+    """trees(node, label), label the parent (a root's is itself) -> the same with the roots: every step jumps twice as far."""
+    while True:
+        up = trees.select(F.col("node").alias("up"), F.col("label").alias("further"))
+        jumped = materialize(trees.join(up, trees.label == up.up).select("node", F.col("further").alias("label"), F.col("label").alias("old")), "trees")
+        trees = jumped.select("node", "label")
         if jumped.filter("label <> old").isEmpty():
-            return jumped.select("node", "label")
-        labels = jumped.select("node", "label")
+            return trees
+
+
+def grown(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels of components with further edges: these are joined between the components, not the ones within them."""
+    joined = components(_renamed(_renamed(edges.select("a", "b"), "a", labels), "b", labels))
+    new = joined.join(labels.select(F.col("node").alias("own_")), F.col("node") == F.col("own_"), "left_anti")
+    return materialize(_renamed(labels, "label", joined).unionByName(new), "labels")
 
 
 def _close(verified: DataFrame) -> DataFrame:
@@ -371,8 +398,9 @@ def open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataF
     return found.dropDuplicates(["hub", "node"])
 
 
-def links(sketched: DataFrame) -> DataFrame | None:
-    """The verified links (a, b) of a materialised table of sketches; None if no two texts share a bucket."""
+def links(sketched: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The verified links (a, b) of a materialised table of sketches and their components (node, label); None if no two texts
+    share a bucket."""
     nodes = sketched.filter("n_words > 0 AND node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
     # one row of each text: joined on both keys, so the copies of a frequent text are spread
     one = sketched.select("doc_id", "node", "keys").join(
@@ -394,17 +422,19 @@ def links(sketched: DataFrame) -> DataFrame | None:
     hubs = members.groupBy("key", "size").agg(F.min_by("node", F.struct(-F.col("company"), "node")).alias("hub"))
     led = by_key(members, hubs, ["hub"]).filter("hub <> node")
     known = materialize(verify(led.select("hub", "node").distinct(), words), "verified")
-    rest = materialize(open_pairs(members.select("key", "node", "size"), components(_close(known)), words), "open")
+    labels = components(_close(known))
+    rest = materialize(open_pairs(members.select("key", "node", "size"), labels, words), "open")
     if not rest.isEmpty():
         nearest = materialize(rest.groupBy("hub", "label").agg(F.min_by("node", F.struct("least", "node")).alias("node")).select("hub", "node"), "nearest")
-        known = known.unionByName(materialize(verify(nearest.join(_settled(known), ["hub", "node"], "left_anti"), words), "verified"))
-        labels = materialize(components(_close(known)), "labels")
+        more = materialize(verify(nearest.join(_settled(known), ["hub", "node"], "left_anti"), words), "verified")
+        known, labels = known.unionByName(more), grown(labels, _close(more))
         of = lambda c: labels.select(F.col("node").alias(f"{c}_"), F.col("label").alias(f"{c}_label"))
         named = rest.select("hub", "node").join(of("hub"), F.col("hub") == F.col("hub_"), "left").join(of("node"), F.col("node") == F.col("node_"), "left")
         apart = named.filter(F.coalesce("hub_label", "hub") != F.coalesce("node_label", "node")).select("hub", "node")
-        known = known.unionByName(materialize(verify(apart.join(_settled(known), ["hub", "node"], "left_anti"), words), "verified"))
+        more = materialize(verify(apart.join(_settled(known), ["hub", "node"], "left_anti"), words), "verified")
+        known, labels = known.unionByName(more), grown(labels, _close(more))
     close = _close(known)  # a pair may have been led by either of its texts
-    return close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), labels
 
 
 def duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -420,10 +450,10 @@ def duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     found = links(sketched)
     rows = sketched.select("doc_id", "node")
     none = F.lit(0).cast("bigint")
-    if found is None or (found := materialize(found, "links")).isEmpty():
+    if found is None:
         each = nodes.select(F.col("node").alias("n"), F.col("rep").alias("class"), none.alias("links"))
     else:
-        labels = components(found).withColumnRenamed("node", "l")
+        found, labels = materialize(found[0], "links"), found[1].withColumnRenamed("node", "l")
         degree = found.select(F.explode(F.array("a", "b")).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("links"))
         labelled = nodes.join(labels, nodes.node == labels.l, "left").withColumn("label", F.coalesce("label", "node"))
         first = labelled.groupBy("label").agg(F.min("rep").alias("class")).withColumnRenamed("label", "own")
