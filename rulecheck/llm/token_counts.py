@@ -328,7 +328,9 @@ def count_tokens(df: DataFrame, pieces: Pieces, limit: int, text: str = "text",
             counter.learn(chain.from_iterable(told))
             both = [counter.total_and_fit(t, limit, w) for t, w in zip(texts, told, strict=True)]
             made = [pa.array([n for n, _ in both], pa.int64()), pa.array([c for _, c in both], pa.int64())]
-            return made + [pa.array([counter.all_prefixes(t) for t in texts], pa.list_(pa.int32()))] * prefixes
+            if prefixes:
+                made.append(pa.array([counter.all_prefixes(t) for t in texts], pa.list_(pa.int32())))
+            return made
 
         return work
 

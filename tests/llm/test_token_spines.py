@@ -64,3 +64,14 @@ def test_sorted_learning_against_the_library(pieces, monkeypatch):
             assert total == len(model.encode(t)), t
             assert total <= 7 and fit == len(t) or total > 7 and counter.all_prefixes(t)[fit] <= 7
     assert len(counter.totals) <= 300 and counter.totals.old
+
+
+def test_prefix_counts_are_made_only_where_asked_for(pieces, monkeypatch):
+    texts, made, own = ["ab cd", "", "x" * 90], [], tc.PrefixCounter.all_prefixes
+    monkeypatch.setattr(tc, "with_columns", lambda df, text, fields, make: make())
+    monkeypatch.setattr(tc, "kept_counter", tc.PrefixCounter)
+    monkeypatch.setattr(tc.PrefixCounter, "all_prefixes", lambda self, text: made.append(text) or own(self, text))
+    plain = tc.count_tokens(None, pieces, 7)(texts)
+    assert len(plain) == 2 and not made
+    more = tc.count_tokens(None, pieces, 7, prefixes=True)(texts)
+    assert made == texts and more[:2] == plain and [p[-1] for p in more[2].to_pylist()] == plain[0].to_pylist()
