@@ -361,12 +361,16 @@ def open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataF
         return lambda packed: [pa.array([bins(p).tobytes() for p in packed], pa.binary())]
 
     binned = with_columns(words, "words", [T.StructField("bins", T.BinaryType())], make).select(F.col("node").alias("b_"), "n_words", "bins")
+    # texts that share several buckets meet in each, but are one pair: it is told by the least key that both have
+    keys = cells.groupBy("node").agg(F.collect_set("key").alias("keys")).withColumnRenamed("node", "o_")
+    binned = binned.join(keys, F.col("b_") == F.col("o_")).drop("o_")
     rows = (dealt.join(binned, F.col("node") == F.col("b_")).drop("b_").repartition("key", "place").sortWithinPartitions("key", "place"))
 
     def settle(block: pa.Table) -> Iterator[pa.RecordBatch]:
         nodes, labels, ns, side = (block.column(c).to_numpy() for c in ("node", "label", "n_words", "side"))
         counts = np.frombuffer(b"".join(block.column("bins").to_pylist()), np.uint8).reshape(len(ns), BINS)
-        ns, right = ns.astype(np.int64), np.flatnonzero(side == 1)
+        ns, right, key = ns.astype(np.int64), np.flatnonzero(side == 1), block.column("key")[0].as_py()
+        keys = [frozenset(k) for k in block.column("keys").to_pylist()]
         for i in range(len(ns)):
             if side[i]:
                 continue
@@ -375,8 +379,9 @@ def open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataF
             if block.column("place")[0].as_py() >> 40 & 1 and not len(right) or not len(others):
                 continue
             least = possible(counts[i], ns[i], counts[others], ns[others])
-            others, least = others[least >= 0], least[least >= 0]
-            if len(others):
+            told = [k for k in np.flatnonzero(least >= 0).tolist() if min(keys[i] & keys[others[k]]) == key]
+            if told:
+                others, least = others[told], least[told]
                 first = [(nodes[i], nodes[j], labels[j]) if nodes[i] < nodes[j] else (nodes[j], nodes[i], labels[i]) for j in others]
                 yield pa.RecordBatch.from_arrays([*(pa.array(list(c), pa.binary()) for c in zip(*first, strict=True)), pa.array(least, pa.int64())],
                                                  names=["hub", "node", "label", "least"])
